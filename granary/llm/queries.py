@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, tokens
+from . import language, lines, mixing, packing, quality, sharding, simhash, substrings, tiff, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_mixtures(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -34,12 +38,39 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).select("doc_id", *quality.BASE, "base_failed", "kept", "d2")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.drop_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op9_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.stored_and_read(documents(spark, sf_dir))
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_language": op1_language,
         "op2_packing": op2_packing,
         "op3_mixing": op3_mixing,
         "op4_sharding": op4_sharding,
         "op5_token_counts": op5_token_counts,
+        "op6_quality": op6_quality,
+        "op7_simhash": op7_simhash,
+        "op8_lines": op8_lines,
+        "op9_tiff": op9_tiff,
+        "op10_substrings": op10_substrings,
     }
 
 
