@@ -59,6 +59,12 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -71,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_tiff": op9_tiff,
         "op10_substrings": op10_substrings,
+        "pipeline": pipeline,
     }
 
 
