@@ -1,16 +1,19 @@
 """Token counts and ids: batch encoding inside Arrow functions.
 
 The pattern of a byte-level BPE always begins a new token where white space follows a
-visible character, so a text may be cut there without changing its ids.  Texts are cut at
-all those places; the pieces of a batch that were not seen before are encoded together and
-their results kept in a bounded table per worker.  Texts with white space outside ASCII
-(where the libraries' tables could differ) are encoded in one piece.
+visible character, so a text may be cut there without changing its ids; texts of Latin
+characters are cut into pre-tokens outright, whose ids the library's model gives.  The pieces of a batch that were not seen before are encoded and their
+results kept in a bounded table per worker.  Texts with white space outside ASCII (where the
+libraries' tables could differ) are encoded in one piece, as are all texts for tokenizers of
+another kind.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +26,19 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 1 << 20
 #: Pieces kept per worker before the table is emptied.
-KEEP = 200_000
+KEEP = 400_000
 
 _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
+#: Fixed value: the pre-token pattern of byte-level BPE, with its classes written out for
+#: characters up to U+024F, where all libraries agree on them.
+_L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^ \t-\r{_L}{_N}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+#: What keeps a text from being split by it: other characters, odd white space.
+_NOT_LATIN = re.compile("[^\0-\x1b\x20-\x7e\xa1-\u024f]")
+#: Byte-level spelling: printable bytes as themselves, the others from code point 256 on.
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_SPELLED = {b: 256 + i for i, b in enumerate(_OTHERS)}
 _LOADED: dict = {}
 
 
@@ -55,6 +67,18 @@ def load(name: str = TOKENIZER):
     return _LOADED[name]
 
 
+def is_byte_level(name: str = TOKENIZER) -> bool:
+    """Whether texts may be cut: a .json tokenizer that only splits by the byte-level pattern."""
+    if not name.endswith(".json"):
+        return False
+    if ("byte level", name) not in _LOADED:
+        with open(tokenizer_path(name), encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec.get("pre_tokenizer") or {}
+        _LOADED["byte level", name] = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and all("<" in t["content"] for t in spec["added_tokens"])
+    return _LOADED["byte level", name]
+
+
 def pieces(text: str) -> list[str]:
     """`text` cut at safe boundaries; joined they are `text`."""
     return [text] if _ODD_SPACE.search(text) else _PIECES.findall(text)
@@ -66,19 +90,40 @@ class Encoder:
     def __init__(self, name: str = TOKENIZER, lengths: bool = False):
         self.name, self.lengths, self.kept = name, lengths, {}
         self.load = load(name)
-        self.cuts = name.endswith(".json")
+        self.cuts = is_byte_level(name)
+
+    def cut(self, text: str) -> list[str]:
+        """Parts whose ids, joined, are those of the text."""
+        if not self.cuts:
+            return [text]
+        if "<" not in text and not _NOT_LATIN.search(text):
+            return _TOKEN.findall(text)
+        return pieces(text)
+
+    def _ids(self, new: list[str]) -> list[bytes]:
+        found, rest = {}, []
+        tokenize = self.load.model.tokenize if self.cuts else None
+        for p in new:
+            if tokenize and "<" not in p and not _NOT_LATIN.search(p) and _TOKEN.fullmatch(p):
+                spelled = p.replace(" ", "\u0120") if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(_SPELLED)
+                found[p] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+            else:
+                rest.append(p)
+        if rest:
+            if self.name.endswith(".model"):
+                ids = self.load.encode(rest, num_threads=1)
+            else:
+                ids = [e.ids for e in self.load.encode_batch_fast(rest, add_special_tokens=False)]
+            found.update((p, array("I", i).tobytes()) for p, i in zip(rest, ids, strict=True))
+        return [found[p] for p in new]
 
     def _encode(self, new: list[str]) -> None:
-        if self.cuts:
-            found = [e.ids for e in self.load.encode_batch_fast(new, add_special_tokens=False)]
-        else:
-            found = self.load.encode(new, num_threads=1)
-        for text, ids in zip(new, found, strict=True):
-            self.kept[text] = len(ids) if self.lengths else np.asarray(ids, dtype="<u4").tobytes()
+        for text, ids in zip(new, self._ids(new), strict=True):
+            self.kept[text] = len(ids) // 4 if self.lengths else ids
 
     def __call__(self, texts: list[str]) -> list:
         """One result per text; `texts` should be about BATCH_BYTES together."""
-        cut = [pieces(t) if self.cuts else [t] for t in texts]
+        cut = [self.cut(t) for t in texts]
         new = set().union(*cut).difference(self.kept) if cut else set()
         if new:
             if len(self.kept) + len(new) > KEEP:
