@@ -1,8 +1,8 @@
 """Registered queries with their SQL, family by family."""
 
-from . import normalize, registry, relational
+from . import consolidate, enrichment, matching, normalize, registry, relational
 
-FAMILIES = (relational, normalize)
+FAMILIES = (relational, normalize, consolidate, matching, enrichment)
 
 
 def queries() -> dict:
