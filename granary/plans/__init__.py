@@ -1,8 +1,8 @@
 """Registered queries with their SQL, family by family."""
 
-from . import consolidate, enrichment, matching, normalize, quality, registry, relational
+from . import consolidate, enrichment, ingest, matching, normalize, quality, registry, relational
 
-FAMILIES = (relational, normalize, consolidate, matching, enrichment, quality)
+FAMILIES = (relational, normalize, consolidate, matching, enrichment, quality, ingest)
 
 
 def queries() -> dict:
