@@ -11,7 +11,6 @@ from granary.operators import rules as o
 from .registry import CATALOGUE, catalogue, query, sql, table
 
 C = CATALOGUE
-I, S, N = F.col("id"), F.col("size"), F.col("product_name")  # noqa: E741
 
 
 def q(*parts):
@@ -20,24 +19,24 @@ def q(*parts):
 
 @query("n1_slug_us", sql("SELECT id, replace(lower(trim('  ' || product_name || ' X')), ' ', '_') AS slug FROM catalogue", C))
 def n1(s, d):
-    return catalogue(s, d).select("id", t.slug_us(q("  ", N, " X")).alias("slug"))
+    return catalogue(s, d).select("id", t.slug_us(q("  ", F.col("product_name"), " X")).alias("slug"))
 
 
 @query("n2_slug_hy", sql("SELECT id, trim(regexp_replace(lower(brand || ' / ' || product_name || '!'), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM catalogue", C))
 def n2(s, d):
-    return catalogue(s, d).select("id", t.slug_hy(q(F.col("brand"), " / ", N, "!")).alias("slug"))
+    return catalogue(s, d).select("id", t.slug_hy(q(F.col("brand"), " / ", F.col("product_name"), "!")).alias("slug"))
 
 
 @query("n3_make_key", sql("""SELECT id, k AS plain, left(md5(k), 16) AS hashed, b || '_' || left(md5(k), 6) AS prefixed FROM (
   SELECT id, replace(lower(trim(brand)), ' ', '_') AS b, replace(lower(trim(brand)), ' ', '_') || '|' || replace(lower(trim(product_name)), ' ', '_') || '|' || coalesce(life_stage, 'unknown') AS k FROM catalogue)""", C))
 def n3(s, d):
-    cols = [F.col("brand"), N, F.col("life_stage")]
+    cols = [F.col("brand"), F.col("product_name"), F.col("life_stage")]
     return catalogue(s, d).select("id", t.make_key(cols).alias("plain"), t.make_key(cols, "hash").alias("hashed"), t.make_key(cols, "prefixed", digits=6).alias("prefixed"))
 
 
 @query("n4_fingerprint", sql("SELECT id, md5(lower(trim(brand)) || '|' || lower(trim(product_name)) || '|' || lower(trim(coalesce(life_stage, '')))) AS fp FROM catalogue", C))
 def n4(s, d):
-    return catalogue(s, d).select("id", t.fingerprint([F.col("brand"), N, F.col("life_stage")]).alias("fp"))
+    return catalogue(s, d).select("id", t.fingerprint([F.col("brand"), F.col("product_name"), F.col("life_stage")]).alias("fp"))
 
 
 @query("n5_clean_text", r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[^A-Za-z0-9 .,%&+-]', ' ', 'g'), ' +', ' ', 'g'))) AS cleaned FROM documents")
@@ -48,19 +47,19 @@ def n5(s, d):
 @query("n6_match_name", sql(r"""SELECT id, array_to_string(list_filter(string_split_regex(regexp_replace(regexp_replace(CASE WHEN starts_with(x, b || ' ') THEN substring(x, length(b) + 2) ELSE x END, '([0-9]+ *x *)?[0-9]+([.,][0-9]+)? *(kg|g|lb|oz|ml|l)\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'), ' +'), lambda w: w <> '' AND w NOT IN ('new', 'the')), ' ') AS name
 FROM (SELECT id, lower(trim(brand)) AS b, lower(trim(brand || ' ' || product_name || ' 12 x 400g')) AS x FROM catalogue)""", C))
 def n6(s, d):
-    return catalogue(s, d).select("id", t.match_name(q(F.col("brand"), " ", N, " 12 x 400g"), F.col("brand"), ["new", "the"]).alias("name"))
+    return catalogue(s, d).select("id", t.match_name(q(F.col("brand"), " ", F.col("product_name"), " 12 x 400g"), F.col("brand"), ["new", "the"]).alias("name"))
 
 
 @query("n7_tokenize", sql(r"""SELECT id, array_to_string(list_filter(list_transform(string_split_regex(lower('Meat (dried 4%), ' || product_name || ' 26%; Rice'), '[,;|]'), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: length(x) >= 1), '/') AS plain,
   array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(lower('Meat (dried 4%), ' || product_name || ' 26%; Rice'), '\([^)]*\)', ' ', 'g'), '[0-9]+([.,][0-9]+)? *%?', ' ', 'g'), '[,;|]'), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: length(x) >= 1), '/') AS bare FROM catalogue""", C))
 def n7(s, d):
-    text = q("Meat (dried 4%), ", N, " 26%; Rice")
+    text = q("Meat (dried 4%), ", F.col("product_name"), " 26%; Rice")
     return catalogue(s, d).select("id", F.array_join(t.tokenize(text), "/").alias("plain"), F.array_join(t.tokenize(text, drop_parens=True, strip_digits=True), "/").alias("bare"))
 
 
 @query("n8_norm_tokens", sql("SELECT id, array_to_string(list_filter([lower(trim(form)), CASE WHEN lower(trim(product_name)) <> lower(trim(form)) THEN lower(trim(product_name)) END], lambda x: x IS NOT NULL), '/') AS tokens FROM catalogue", C))
 def n8(s, d):
-    return catalogue(s, d).select("id", F.array_join(t.norm_tokens(F.array(F.upper("form"), q(" ", N, " "), N, F.lit(""))), "/").alias("tokens"))
+    return catalogue(s, d).select("id", F.array_join(t.norm_tokens(F.array(F.upper("form"), q(" ", F.col("product_name"), " "), F.col("product_name"), F.lit(""))), "/").alias("tokens"))
 
 
 @query("n9_canonical_tokens", sql("""SELECT id, string_agg(coalesce(m.v, w), '/' ORDER BY i) AS tokens FROM (SELECT id, unnest(string_split(product_name, ' ')) AS w, generate_subscripts(string_split(product_name, ' '), 1) AS i FROM catalogue) LEFT JOIN (SELECT * FROM (VALUES ('red', 'colour'), ('blue', 'colour'), ('gizmo', 'gadget')) v(k, v)) m ON w = m.k GROUP BY id""", C))
@@ -89,29 +88,29 @@ def n12(s, d):
 
 @query("n13_parse_percent", sql("SELECT id, CASE WHEN size * 3 + 0.5 <= 100 THEN CAST(size * 3 + 0.5 AS DOUBLE) END AS pct FROM catalogue", C))
 def n13(s, d):
-    return catalogue(s, d).select("id", p.parse_percent(q("crude ", S * 3, ",5 %")).alias("pct"))
+    return catalogue(s, d).select("id", p.parse_percent(q("crude ", F.col("size") * 3, ",5 %")).alias("pct"))
 
 
 @query("n14_parse_energy", sql("SELECT id, round(CASE id % 3 WHEN 0 THEN size * 30 / 4.184::DOUBLE WHEN 1 THEN (size * 30)::DOUBLE ELSE size * 30 / 10.0::DOUBLE END, 6) AS kcal FROM catalogue", C))
 def n14(s, d):
-    unit = F.when(I % 3 == 0, " kJ/100g").when(I % 3 == 1, " kcal/100g").otherwise(" kcal per kg")
-    return catalogue(s, d).select("id", F.round(p.parse_energy(q(S * 30, unit)), 6).alias("kcal"))
+    unit = F.when(F.col("id") % 3 == 0, " kJ/100g").when(F.col("id") % 3 == 1, " kcal/100g").otherwise(" kcal per kg")
+    return catalogue(s, d).select("id", F.round(p.parse_energy(q(F.col("size") * 30, unit)), 6).alias("kcal"))
 
 
 @query("n15_parse_weight", sql("SELECT id, round(CASE id % 4 WHEN 0 THEN 12 * size * 0.001::DOUBLE WHEN 1 THEN size + 0.5::DOUBLE WHEN 2 THEN size * 0.45359237::DOUBLE ELSE NULL END, 9) AS kg FROM catalogue", C))
 def n15(s, d):
-    text = F.when(I % 4 == 0, q("tin 12 x ", S, "g")).when(I % 4 == 1, q(S, ",5 kg bag")).when(I % 4 == 2, q(S, " lb")).otherwise(q(S, " pieces"))
+    text = F.when(F.col("id") % 4 == 0, q("tin 12 x ", F.col("size"), "g")).when(F.col("id") % 4 == 1, q(F.col("size"), ",5 kg bag")).when(F.col("id") % 4 == 2, q(F.col("size"), " lb")).otherwise(q(F.col("size"), " pieces"))
     return catalogue(s, d).select("id", F.round(p.parse_weight_kg(text), 9).alias("kg"))
 
 
 @query("n16_pack_sizes", sql("SELECT id, size || 'kg/' || size || '.5l/400g' AS packs FROM catalogue", C))
 def n16(s, d):
-    return catalogue(s, d).select("id", F.array_join(p.pack_sizes(q(S, " KG or ", S, ",5l, 6 x 400g")), "/").alias("packs"))
+    return catalogue(s, d).select("id", F.array_join(p.pack_sizes(q(F.col("size"), " KG or ", F.col("size"), ",5l, 6 x 400g")), "/").alias("packs"))
 
 
 @query("n17_money", sql("SELECT id, round((1000 + size + 0.25) * CASE id % 3 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.5::DOUBLE END, 4) AS base FROM catalogue", C))
 def n17(s, d):
-    text = q(F.when(I % 3 == 0, "€").when(I % 3 == 1, "$").otherwise("£"), "1,", F.lpad((S).cast("string"), 3, "0"), ".25")
+    text = q(F.when(F.col("id") % 3 == 0, "€").when(F.col("id") % 3 == 1, "$").otherwise("£"), "1,", F.lpad((F.col("size")).cast("string"), 3, "0"), ".25")
     rates = s.createDataFrame([("EUR", 1.0), ("USD", 0.5)], "currency string, rate double")
     priced = catalogue(s, d).select("id", p.parse_money(text).alias("price"), p.currency_of(text, {"€": "EUR", "$": "USD", "£": "GBP"}, "EUR").alias("currency"))
     return o.to_base_currency(priced, "price", "currency", rates).select("id", F.round("base", 4).alias("base"))
@@ -119,7 +118,7 @@ def n17(s, d):
 
 @query("n18_unit_price", sql("SELECT id, round(price / size, 6) AS first_price, round(price / ((size + 0.4::DOUBLE) / 2), 6) AS mean_price FROM catalogue", C))
 def n18(s, d):
-    sizes = F.array(q(S, "kg"), F.lit("400g"))
+    sizes = F.array(q(F.col("size"), "kg"), F.lit("400g"))
     return catalogue(s, d).select("id", F.round(p.unit_price(F.col("price"), sizes), 6).alias("first_price"), F.round(p.unit_price(F.col("price"), sizes, "mean"), 6).alias("mean_price"))
 
 
@@ -142,14 +141,14 @@ def n21(s, d):
 
 @query("n22_parse_range", sql("SELECT id, round(CASE WHEN id % 3 = 2 THEN size * 0.9::DOUBLE ELSE size::DOUBLE END, 6) AS low, round(CASE WHEN id % 3 = 2 THEN size * 1.1::DOUBLE ELSE size + 2::DOUBLE END, 6) AS high FROM catalogue", C))
 def n22(s, d):
-    text = F.when(I % 3 == 0, q(S, "-", S + 2, " years")).when(I % 3 == 1, q(S, " to ", S + 2, " kg")).otherwise(q("about ", S))
+    text = F.when(F.col("id") % 3 == 0, q(F.col("size"), "-", F.col("size") + 2, " years")).when(F.col("id") % 3 == 1, q(F.col("size"), " to ", F.col("size") + 2, " kg")).otherwise(q("about ", F.col("size")))
     got = p.parse_range(text, spread=0.1)
     return catalogue(s, d).select("id", F.round(got["low"], 6).alias("low"), F.round(got["high"], 6).alias("high"))
 
 
 @query("n23_ordinal", sql("SELECT id, CASE WHEN contains(product_name, 'cold') THEN 1 WHEN contains(product_name, 'old') THEN 2 WHEN contains(product_name, 'hot') THEN 5 END AS n FROM catalogue", C))
 def n23(s, d):
-    return catalogue(s, d).select("id", p.ordinal(N, [("cold", 1), ("old", 2), ("hot", 5)]).alias("n"))
+    return catalogue(s, d).select("id", p.ordinal(F.col("product_name"), [("cold", 1), ("old", 2), ("hot", 5)]).alias("n"))
 
 
 @query("n24_size_from_weight", sql("SELECT id, CASE WHEN kcal < 300 THEN 'S' WHEN kcal < 400 THEN 'M' WHEN kcal IS NOT NULL THEN 'L' END AS size_class, CASE WHEN kcal < 300 THEN 10 WHEN kcal < 400 THEN 12 WHEN kcal IS NOT NULL THEN 18 END AS months FROM catalogue", C))
@@ -180,7 +179,7 @@ def n28(s, d):
 
 @query("n29_extract_code", sql(r"SELECT id, CASE id % 3 WHEN 0 THEN lpad(CAST(id AS VARCHAR), 13, '4') WHEN 1 THEN lpad(CAST(id AS VARCHAR), 8, '2') END AS code FROM catalogue", C))
 def n29(s, d):
-    text = F.when(I % 3 == 0, q("ean ", F.lpad(I.cast("string"), 13, "4"), ".")).when(I % 3 == 1, q(F.lpad(I.cast("string"), 8, "2"), " code")).otherwise(q("no ", I))
+    text = F.when(F.col("id") % 3 == 0, q("ean ", F.lpad(F.col("id").cast("string"), 13, "4"), ".")).when(F.col("id") % 3 == 1, q(F.lpad(F.col("id").cast("string"), 8, "2"), " code")).otherwise(q("no ", F.col("id")))
     return catalogue(s, d).select("id", t.extract_code(text).alias("code"))
 
 
@@ -197,19 +196,19 @@ def n31(s, d):
 
 @query("n32_casts", sql("SELECT id, CASE WHEN id % 2 = 0 THEN size + 0.5::DOUBLE END AS d, CASE WHEN id % 2 = 0 THEN size END AS i, CASE id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS b FROM catalogue", C))
 def n32(s, d):
-    text = F.when(I % 2 == 0, q(" ", S, ",5")).otherwise(F.lit("n/a"))
-    flag = F.when(I % 3 == 0, "Yes").when(I % 3 == 1, "off").otherwise("maybe")
+    text = F.when(F.col("id") % 2 == 0, q(" ", F.col("size"), ",5")).otherwise(F.lit("n/a"))
+    flag = F.when(F.col("id") % 3 == 0, "Yes").when(F.col("id") % 3 == 1, "off").otherwise("maybe")
     return catalogue(s, d).select("id", p.to_double(text).alias("d"), p.to_int(text).alias("i"), p.to_bool(flag).alias("b"))
 
 
 @query("n33_parse_block", sql("SELECT id, product_name AS name, CASE WHEN id % 2 = 0 THEN form END AS form FROM catalogue", C))
 def n33(s, d):
-    text = q("Brand: x; Name : ", N, "\n", F.when(I % 2 == 0, q("FORM:", F.col("form"), ";")).otherwise(F.lit("Other: 1")))
+    text = q("Brand: x; Name : ", F.col("product_name"), "\n", F.when(F.col("id") % 2 == 0, q("FORM:", F.col("form"), ";")).otherwise(F.lit("Other: 1")))
     got = p.parse_block(text, ["Name", "Form"])
     return catalogue(s, d).select("id", got["Name"].alias("name"), got["Form"].alias("form"))
 
 
 @query("n34_repair_array", sql("SELECT id, CASE WHEN id % 3 = 0 THEN 0 ELSE 2 END AS n FROM catalogue", C))
 def n34(s, d):
-    text = F.when(I % 3 == 0, F.lit("[broken")).otherwise(q('["', N, '","b"]'))
+    text = F.when(F.col("id") % 3 == 0, F.lit("[broken")).otherwise(q('["', F.col("product_name"), '","b"]'))
     return catalogue(s, d).select("id", F.size(p.repair_array(text)).alias("n"))
