@@ -9,13 +9,14 @@ smaller id.
    its anchors.  Where the same anchor has the same full snippet in two documents of a block
    of input, the later one is resolved at once (all of it is removed) and only the first goes
    on: a passage that many documents share is combined before anything is shuffled.
-2. Anchors that meet a second document in one shuffle by anchor go on; most end here.
-3. Equal snippets of an anchor are combined to their smallest id.  The distinct snippets of a
-   run of anchors form one text; from its suffix order and BWT, breadth-first backward
-   extension derives the classes of equal prefixes of length 1, 2, 3, ..., dropping intervals
-   of one row, and stops at WINDOW: the rows left are windows that occur more than once, and
-   each class yields its smallest id.  An anchor with more than CROWD distinct snippets is
-   resolved by grouping its windows themselves, which splits it over all tasks.
+2. Anchors are dealt by hash to buckets, as packed arrays sorted by hash (the shuffle then
+   carries some nine bytes for each).  Those that no second document has end there.
+3. The snippets of a run of anchors form one text; from its suffix order and BWT,
+   breadth-first backward extension derives the classes of equal prefixes of length 1, 2, 3,
+   ..., dropping intervals of one row, and stops at WINDOW: the rows left are windows that
+   occur more than once, and each class yields its smallest id.  An anchor that occurs more
+   than CROWD times is resolved by grouping its windows themselves, which splits it over all
+   tasks.
 4. A window is removed where that smallest id is below the document's own.
 """
 
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -36,7 +37,8 @@ SIDE = WINDOW - K
 SNIPPET = K + 2 * SIDE
 #: Bytes of text that anchors are sought in at once, and that one transform is made of.
 BLOCK, TEXT = 1 << 20, 2 << 20
-#: Distinct snippets beyond which an anchor is resolved window by window.
+#: Occurrences (equal snippets of a block of input count once) beyond which an anchor is resolved
+#: window by window.
 CROWD = 5_000
 #: Stands for a null id: larger than all others.
 LAST = (1 << 63) - 1
@@ -117,9 +119,9 @@ def _runs(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[np.append(new[1:], len(start)) - 1].tolist(), strict=True))
 
 
-def _block_anchors(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
-    """Rows (a, doc, tag, pos, end) of some documents (doc, tag, text bytes): end -1 for an
-    anchor that goes on; else a resolved span."""
+def _block(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """Anchors of some documents (doc, tag, text bytes): hash, snippet hash (0: cut off by an
+    end of the text), position, index of the document."""
     parts, origin, who = [], [], []
     for i, (_, _, text) in enumerate(docs):
         for first in range(0, len(text), BLOCK):
@@ -134,48 +136,130 @@ def _block_anchors(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]
     pos = at - (ends - [len(p) for p in parts])[part] + origin[part, 0]
     mine = (pos >= origin[part, 1]) & (pos < origin[part, 2])
     pos, gram, snip, index = pos[mine], gram[mine], snip[mine], who[part[mine]]
-    doc, tag, size = (np.array([f(d) for d in docs], dtype=np.int64)[index] for f in (lambda d: d[0], lambda d: d[1], lambda d: len(d[2])))
-    full = (pos >= SIDE) & (pos + K + SIDE <= size)
+    size = np.array([len(d[2]) for d in docs], dtype=np.int64)[index]
+    return gram, np.where((pos >= SIDE) & (pos + K + SIDE <= size), snip, np.uint64(0)), pos, index
+
+
+def _planes(*arrays: np.ndarray) -> bytes:
+    """Arrays of equal length, byte by byte: high bytes that are zero take no room compressed."""
+    return b"".join(a.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays)
+
+
+def _arrays(data: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(n, 8, -1).transpose(0, 2, 1)).view("<i8")[:, :, 0]
+
+
+def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, buckets: int) -> Iterator[tuple[int, bool, bytes, bytes]]:
+    """(bucket, resolved, documents, rows): anchors that go on, and spans resolved here."""
     order = np.lexsort((pos, doc, snip, gram))
-    order = order[full[order]]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (gram[order][1:] != gram[order][:-1]) | (snip[order][1:] != snip[order][:-1])
-    lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
-    later = np.zeros(len(pos), dtype=bool)
-    later[order] = doc[order] > doc[lead]
+    gram, snip, pos, doc, tag = (x[order] for x in (gram, snip, pos, doc, tag))
+    new = np.ones(len(gram), dtype=bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (snip[1:] != snip[:-1]) | (snip[1:] == 0)
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(gram) else order
+    later = doc > doc[lead]
+    if later.any():
+        at = np.flatnonzero(later)
+        at = at[np.lexsort((pos[at], tag[at], doc[at]))]
+        edges = np.flatnonzero(np.concatenate([[True], (doc[at][1:] != doc[at][:-1]) | (tag[at][1:] != tag[at][:-1])]))
+        for s, e in zip(edges, np.append(edges[1:], len(at)), strict=True):
+            spans = np.array(_runs(pos[at[s:e]] - SIDE, pos[at[s:e]] + K + SIDE), dtype=np.int64)
+            yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1])
     on = ~later
-    spans: list[tuple[int, int, int, int]] = []
-    where = np.flatnonzero(later)  # in order of the documents
-    for i, p in zip(np.unique(index[where]).tolist(), np.split(pos[where], np.flatnonzero(np.diff(index[where])) + 1), strict=False):
-        spans += [(docs[i][0], docs[i][1], s, e) for s, e in _runs(p - SIDE, p + K + SIDE)]
-    s = np.array(spans, dtype=np.int64).reshape(-1, 4)
-    fill = np.full(on.sum(), -1, dtype=np.int64)
-    with np.errstate(over="ignore"):
-        spread = _mixed(s[:, 0].astype(np.uint64) + s[:, 2].astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
-    return tuple(np.concatenate(x) for x in ((gram[on].view(np.int64), spread), (doc[on], s[:, 0]), (tag[on], s[:, 1]), (pos[on], s[:, 2]), (fill, s[:, 3])))
+    gram, pos, doc, tag = (x[on] for x in (gram, pos, doc, tag))
+    short = (gram >> np.uint64(16)).astype(np.int64)
+    bucket = (short.astype(np.float64) * (buckets / 2.0**48)).astype(np.int64)  # monotone in the hash
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(short) else short
+    for s, e in zip(cuts, np.append(cuts[1:], len(short)), strict=True) if len(short) else ():
+        keys, which = np.unique(np.stack([doc[s:e], tag[s:e]]), axis=1, return_inverse=True) if e - s < 64 else _distinct(doc[s:e], tag[s:e])
+        yield int(bucket[s]), False, _planes(keys[0], keys[1]), _planes(np.diff(short[s:e], prepend=0), which.reshape(-1), pos[s:e])
+
+
+def _distinct(doc: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((tag, doc))
+    d, t = doc[order], tag[order]
+    new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])
+    which = np.empty(len(doc), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return np.stack([d[new], t[new]]), which
 
 
 def anchors(texts: DataFrame) -> DataFrame:
-    """a, doc, tag, pos, end from rows (doc, tag, text)."""
+    """bucket, resolved, documents, rows: packed anchors of rows (doc, tag, text)."""
+    buckets = max(32, 2 * texts.rdd.getNumPartitions())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(docs: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in _block_anchors(docs)], names=["a", "doc", "tag", "pos", "end"])
-
+        types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
         for batch in batches:
-            held, size = [], 0
+            found, held, size = [], [], 0
+
+            def seek(held: list, found: list) -> None:
+                gram, snip, pos, index = _block(held)
+                key = np.array([d[:2] for d in held], dtype=np.int64)
+                found.append((gram, snip, pos, key[index, 0], key[index, 1]))
+
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = (text.as_py() or "").encode()
                 if len(data) >= WINDOW:
                     held.append((doc, tag, data))
                     size += len(data)
                 if size >= BLOCK:
-                    yield done(held)
+                    seek(held, found)
                     held, size = [], 0
             if held:
-                yield done(held)
+                seek(held, found)
+            if found:
+                out = list(_parcels(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets))
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["bucket", "resolved", "documents", "rows"])
+
+    return texts.select("doc", "tag", "text").mapInArrow(run, "bucket int, resolved boolean, documents binary, rows binary")
+
+
+def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
+    """a, doc, tag, pos, end, crowd: anchors that two documents have (end -1), resolved spans.
+
+    A bucket's arrays, some millions of anchors at most, meet in one task; their number grows
+    with the input, their size does not.
+    """
 
-    return texts.select("doc", "tag", "text").mapInArrow(run, "a long, doc long, tag long, pos long, end long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "doc", "tag", "pos", "end", "crowd"]
+
+        def out(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, end: np.ndarray, crowd: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(a), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (a, doc, tag, pos, end, crowd)], names=names)
+
+        def close(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+            parts = []
+            for documents, rows in held:
+                keys, (step, which, pos) = _arrays(documents, 2), _arrays(rows, 3)
+                parts.append((np.cumsum(step), keys[0][which], keys[1][which], pos))
+            a, doc, tag, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((doc, a))
+            a, doc, tag, pos = a[order], doc[order], tag[order], pos[order]
+            starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+            n = np.diff(np.append(starts, len(a)))
+            met = np.repeat(doc[starts] < doc[starts + n - 1], n)
+            crowd = np.repeat(n > CROWD, n)
+            yield from out(a[met], doc[met], tag[met], pos[met], np.full(int(met.sum()), -1, dtype=np.int64), crowd[met])
+
+        held, now = [], None
+        for batch in batches:
+            for bucket, resolved, documents, rows in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if resolved:
+                    (doc,), (tag,) = _arrays(documents, 2)
+                    start, end = _arrays(rows, 2)
+                    yield from out(np.zeros(len(start), dtype=np.int64), np.full(len(start), doc), np.full(len(start), tag), start, end, np.zeros(len(start), dtype=bool))
+                    continue
+                if bucket != now and held:
+                    yield from close(held)
+                    held = []
+                now = bucket
+                held.append((documents, rows))
+        if held:
+            yield from close(held)
+
+    rows = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "a long, doc long, tag long, pos long, end long, crowd boolean")
 
 
 def snippets(shared: DataFrame, texts: DataFrame) -> DataFrame:
@@ -270,63 +354,77 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, window: int = WINDOW
     return which[at], at - first[which[at]], least
 
 
-def _classes(distinct: DataFrame) -> DataFrame:
-    """a, side, snippet_hash, least (array: smallest id that has the window at each offset) of
-    the distinct snippets; each anchor's are in one task, and in one transform."""
+SPANS = "doc long, tag long, spans array<struct<start: long, end: long>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _by_transform(found: DataFrame) -> DataFrame:
+    """SPANS of the removed windows; each anchor's snippets are in one task, in one transform."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            text, offset, low = repeated_windows([r[2] for r in rows], np.array([r[4] for r in rows], dtype=np.int64))
+            number: dict[tuple, int] = {}
+            texts, owner, which = [], [], np.empty(len(rows), dtype=np.int64)
+            for i, (a, doc, _, _, _, snippet) in enumerate(rows):
+                k = which[i] = number.setdefault((a, snippet), len(texts))
+                if k == len(texts):
+                    texts.append(snippet)
+                    owner.append(doc)
+                elif doc < owner[k]:
+                    owner[k] = doc
+            owner = np.array(owner, dtype=np.int64)
+            text, offset, low = repeated_windows(texts, owner)
             order = np.lexsort((offset, text))
             text, offset, low = text[order], offset[order], low[order]
-            starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else text
-            ends = np.append(starts[1:], len(text))
-            found = [(rows[i][0], rows[i][1], rows[i][3], offset[s:e].tolist(), low[s:e].tolist()) for i, s, e in zip(text[starts].tolist(), starts, ends, strict=True)] if len(text) else []
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in found], t) for j, t in enumerate(types)], names=["a", "side", "snippet_hash", "offsets", "least"])
+            first, last = np.searchsorted(text, np.arange(len(texts))), np.searchsorted(text, np.arange(len(texts)), "right")
+            out: dict[tuple, list] = {}
+            for (_, doc, tag, pos, side, snippet), k in zip(rows, which.tolist(), strict=True):
+                begin = pos - side
+                if owner[k] < doc:
+                    if len(snippet) >= WINDOW:
+                        out.setdefault((doc, tag), []).append((begin, begin + len(snippet)))
+                elif first[k] < last[k]:
+                    hit = offset[first[k] : last[k]][low[first[k] : last[k]] < doc] + begin
+                    out.setdefault((doc, tag), []).extend(_runs(hit, hit + WINDOW))
+            rows_out = [(d, t, [{"start": s, "end": e} for s, e in x]) for (d, t), x in out.items() if x]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows_out], pa.int64()), pa.array([r[1] for r in rows_out], pa.int64()), pa.array([r[2] for r in rows_out], _SPAN)], names=["doc", "tag", "spans"])
 
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if held and size >= TEXT and row[0] != held[-1][0]:
                     yield done(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[2])
+                size += len(row[5])
         if held:
             yield done(held)
 
-    rows = distinct.select("a", "side", "snippet", "snippet_hash", "low").repartition(F.col("a")).sortWithinPartitions("a")
-    return rows.mapInArrow(run, "a long, side int, snippet_hash long, offsets array<long>, least array<long>")
+    rows = found.select("a", "doc", "tag", "pos", "side", "snippet").repartition(F.col("a")).sortWithinPartitions("a")
+    return rows.mapInArrow(run, SPANS)
 
 
-def _crowded(distinct: DataFrame) -> DataFrame:
-    """The same for anchors with many distinct snippets: windows themselves are grouped."""
-    offsets = F.sequence(F.lit(0), F.octet_length("snippet") - WINDOW)
-    rows = distinct.where(F.octet_length("snippet") >= WINDOW).select("a", "side", "snippet_hash", "low", "snippet", F.explode(offsets).alias("offset"))
-    rows = rows.withColumn("w", F.expr(f"substring(snippet, offset + 1, {WINDOW})")).drop("snippet")
-    least = rows.groupBy("w").agg(F.min("low").alias("m"), F.count("*").alias("n")).where("n > 1").select("w", "m")
-    joined = rows.join(least, "w").groupBy("a", "side", "snippet_hash").agg(F.sort_array(F.collect_list(F.struct("offset", "m"))).alias("f"))
-    return joined.select("a", "side", "snippet_hash", F.col("f.offset").cast("array<long>").alias("offsets"), F.col("f.m").alias("least"))
+def _by_window(found: DataFrame) -> DataFrame:
+    """The same for crowded anchors: equal snippets are combined, and their windows grouped."""
+    found = found.withColumn("h", F.xxhash64("snippet"))
+    distinct = found.groupBy("a", "h", "snippet").agg(F.min("doc").alias("low")).where(F.octet_length("snippet") >= WINDOW)
+    rows = distinct.select("a", "h", "low", "snippet", F.explode(F.sequence(F.lit(0), F.octet_length("snippet") - WINDOW)).alias("offset"))
+    rows = rows.select("a", "h", "low", "offset", F.expr(f"substring(snippet, offset + 1, {WINDOW})").alias("w"))
+    least = rows.groupBy("w").agg(F.min("low").alias("m"), F.count("*").alias("n")).select("w", "m")
+    least = rows.join(least, "w").groupBy("a", "h").agg(F.collect_list(F.struct("offset", "m")).alias("least"))
+    hits = found.select("a", "h", "doc", "tag", (F.col("pos") - F.col("side")).alias("begin")).join(least, ["a", "h"])
+    spans = F.transform(F.filter("least", lambda x: x["m"] < F.col("doc")), lambda x: F.struct((F.col("begin") + x["offset"]).alias("start"), (F.col("begin") + x["offset"] + WINDOW).alias("end")))
+    return hits.select("doc", "tag", spans.alias("spans")).where(F.size("spans") > 0)
 
 
 def removed_spans(texts: DataFrame) -> DataFrame:
     """doc, tag, spans (array of (start, end), may overlap) from rows (doc, tag, text)."""
-    by = Window.partitionBy("a")
-    met = anchors(texts).withColumn("lo", F.min("doc").over(by)).withColumn("hi", F.max("doc").over(by))
-    met = materialize(met.where((F.col("end") >= 0) | (F.col("lo") < F.col("hi"))).drop("lo", "hi"), "anchors")
-    found = snippets(met.where(F.col("end") < 0), texts).withColumn("snippet_hash", F.xxhash64("snippet"))
-    distinct = found.groupBy("a", "side", "snippet", "snippet_hash").agg(F.min("doc").alias("low"))
-    many = distinct.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("a")
-    alone = _classes(distinct.join(many, "a", "left_anti"))
-    crowd = _crowded(distinct.join(many, "a", "left_semi"))
-    least = distinct.select("a", "side", "snippet_hash", "low").join(alone.unionByName(crowd), ["a", "side", "snippet_hash"], "left")
-    hits = found.select("a", "side", "snippet_hash", "doc", "tag", "pos", F.octet_length("snippet").alias("size")).join(least, ["a", "side", "snippet_hash"])
-    begin = F.col("pos") - F.col("side")
-    whole = F.when((F.col("low") < F.col("doc")) & (F.col("size") >= WINDOW), F.array(F.struct(begin.alias("start"), (begin + F.col("size")).alias("end"))))
-    windows = F.transform(F.filter(F.arrays_zip("offsets", "least"), lambda x: x["least"] < F.col("doc")), lambda x: F.struct((begin + x["offsets"]).alias("start"), (begin + x["offsets"] + WINDOW).alias("end")))
-    spans = hits.select("doc", "tag", F.coalesce(whole, windows).alias("spans")).where(F.size("spans") > 0)
-    resolved = met.where(F.col("end") >= 0).select("doc", "tag", F.array(F.struct(F.col("pos").alias("start"), F.col("end"))).alias("spans"))
+    packed = anchors(texts)
+    met = materialize(shared_anchors(packed, max(32, 2 * texts.rdd.getNumPartitions())), "anchors")
+    spans = _by_transform(snippets(met.where((F.col("end") < 0) & ~F.col("crowd")), texts))
+    if met.where("crowd").head(1):
+        spans = spans.unionByName(_by_window(snippets(met.where((F.col("end") < 0) & F.col("crowd")), texts)))
+    resolved = met.where(F.col("end") >= 0).select("doc", "tag", F.array(F.struct(F.col("pos").alias("start"), "end")).alias("spans"))
     return spans.unionByName(resolved).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
