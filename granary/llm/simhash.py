@@ -19,7 +19,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -138,6 +138,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _grouped(marked: DataFrame, edges: DataFrame, node: str) -> DataFrame:
+    """`marked` (doc_id, `node`, ...) with component_id from edges between nodes."""
+    distinct = marked.groupBy(node).agg(F.min("doc_id").alias("first"))
+    found = components(edges).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    nodes = found.unionByName(found.select(F.col("_root").alias("_node"), "_root").distinct())
+    named = nodes.join(distinct, F.col("_node") == F.col(node))
+    lowest = named.groupBy("_root").agg(F.min("first").alias("component_id"))
+    of = nodes.join(lowest, "_root").select(F.col("_node").alias(node), "component_id")
+    ids = distinct.join(of, node, "left").select(node, F.coalesce("component_id", "first").alias("component_id"))
+    return marked.join(ids, node)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, text_hash, fingerprint (16 hex digits), component_id; a row per input row.
 
@@ -146,25 +158,119 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     empty texts have fingerprint zero and link like any other.  Other columns are not carried.
     """
     marked = materialize(fingerprints(docs, key, text, shingle), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = components(links(distinct))
-    nodes = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    named = nodes.join(distinct, F.col("node") == F.col("fp"))
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = nodes.join(lowest, "root").select(F.col("node").alias("fp"), "component_id")
-    ids = distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return marked.join(ids, "fp").select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay when one document of each component is kept: the one with
-    the smallest key (nulls last), then text hash; of fully repeated rows one stays."""
-    groups = near_duplicates(docs, key, text, shingle)
+    grouped = _grouped(marked, links(marked.select("fp").distinct()), "fp")
+    return grouped.select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Looser similarity.  Two texts that share 0.8 of their shingles differ in a seventh of all
+# bits; within 64 bits that is too near to chance, and pivot coordinates that far apart
+# discard nothing.  So fingerprints of WIDE words are taken, filed by bands of their bits, and
+# met pairs verified by all of them.
+
+WIDE, BAND_BITS, BANDS = 8, 24, 128
+#: Widening of the accepted distance: one and a half standard deviations of 512 bits at 0.8.
+SLACK = 12
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """WIDE hashes of each hash, a column each."""
+    with np.errstate(over="ignore"):
+        z = h[:, None] + np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+
+def wide_fingerprint(text: str | None, shingle: int) -> bytes:
+    """Majority bits over the distinct word shingles; zero without words."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return bytes(8 * WIDE)
+    line = b" ".join(words)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(size + 1) - 1
+    starts = (ends - size)[: max(1, len(words) - shingle + 1)].tolist()
+    ends = ends[min(shingle, len(words)) - 1 :].tolist()
+    digest = xxhash.xxh64_digest
+    hashed = np.unique(np.frombuffer(b"".join([digest(line[s:e], SEED) for s, e in zip(starts, ends, strict=True)]), dtype=">u8")).astype(np.uint64)
+    votes = np.zeros(64 * WIDE, dtype=np.int64)
+    for i in range(0, len(hashed), 255):
+        votes += np.unpackbits(_mix(hashed[i : i + 255]).view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * votes > len(hashed)).tobytes()
+
+
+def most_apart(similarity: float) -> int:
+    """Largest accepted distance at a Jaccard similarity of shingle sets of about equal size."""
+    return int(64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + SLACK
+
+
+def _wide(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "text_hash", "bits"])
+
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, bits binary").withColumn("node", F.xxhash64("bits"))
+
+
+def _bands(distinct: DataFrame) -> DataFrame:
+    """node, band: a row for each band's number and bits."""
+    picked = np.random.default_rng(SEED).permuted(np.tile(np.arange(64 * WIDE), (BANDS, 1)), axis=1)[:, :BAND_BITS]
+    power = 1 << np.arange(BAND_BITS, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                bits = np.unpackbits(np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(-1, 8 * WIDE), axis=1)
+                bands = bits[:, picked] @ power + (np.arange(BANDS, dtype=np.int64) << BAND_BITS)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(bands.reshape(-1))], names=["node", "band"])
+
+    return distinct.select("node", "bits").mapInArrow(run, "node long, band long")
+
+
+def similar_links(marked: DataFrame, similarity: float) -> DataFrame:
+    """Edges (u, v) between nodes whose fingerprints are within `most_apart(similarity)`.
+
+    A pair at similarity 0.8 meets in a band with probability 0.93, nearer ones almost surely.
+    Members of a band's block up to BLOCK meet each other; those of a larger one, near copies
+    by the hundreds, meet its smallest and largest node (and others in other bands).
+    """
+    distinct = marked.groupBy("node").agg(F.first("bits").alias("bits"))
+    filed = _bands(distinct)
+    blocks = filed.groupBy("band").agg(F.count("*").alias("_n"), F.min("node").alias("_low"), F.max("node").alias("_high")).where(F.col("_n") > 1)
+    met = materialize(filed.join(blocks, "band"), "bands")
+    few = met.where(F.col("_n") <= BLOCK).select("band", "node")
+    pairs = few.select("band", F.col("node").alias("u")).join(few.select("band", F.col("node").alias("v")), "band").where(F.col("u") < F.col("v")).select("u", "v")
+    ends = met.where(F.col("_n") > BLOCK).select(F.explode(F.array(F.struct(F.col("_low").alias("u"), F.col("node").alias("v")), F.struct(F.col("node").alias("u"), F.col("_high").alias("v")))).alias("p")).select("p.*")
+    pairs = pairs.unionByName(ends.where(F.col("u") < F.col("v"))).distinct()
+    words = [F.conv(F.hex(F.substring("bits", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE)]
+    table = distinct.select("node", *words)
+    left, right = (table.select(F.col("node").alias(c), *[F.col(f"w{i}").alias(f"{c}{i}") for i in range(WIDE)]) for c in "uv")
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"u{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(WIDE)])
+    return pairs.join(left, "u").join(right, "v").where(apart <= most_apart(similarity)).select("u", "v")
+
+
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, text_hash, component_id; a row per input row.
+
+    Components over links of texts whose shingle sets have about `similarity` in common or more.
+    Texts without words link to each other; other cases are as in `near_duplicates`.
+    """
+    marked = materialize(_wide(docs, key, text, shingle), "fingerprints")
+    return _grouped(marked, similar_links(marked, similarity), "node").select("doc_id", "text_hash", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` that stay when one document of each component of similar documents
+    is kept: the one with the smallest key (nulls last), then text hash; of fully repeated rows
+    one stays."""
+    groups = similar_documents(docs, key, text, shingle, similarity)
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("lead")
     stay = groups.groupBy("component_id").agg(lead).select(F.col("lead.doc_id").alias("_id"), F.col("lead.text_hash").alias("_th")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_text"))
     kept = rows.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")), "left_semi")
-    from pyspark.sql import Window
-
     again = F.row_number().over(Window.partitionBy("_key", "_text").orderBy(F.xxhash64("row")))
     return kept.withColumn("_again", again).where(F.col("_again") == 1).select("row.*")

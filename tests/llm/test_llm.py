@@ -383,11 +383,45 @@ def test_pivots_never_discard_a_link(spark):
     assert joined.where(~simhash.within_table("a", "b")).count() == 0
 
 
+def jaccard(a, b, k=5):
+    x, y = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_similar_documents_are_found_and_others_left_alone(spark):
+    rng, rows, of = random.Random(12), [], {}
+    for base in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        for copy in range(150 if base == 0 else 6):
+            text = list(words)
+            for _ in range(0 if copy == 0 else rng.randint(0, max(1, len(words) // 45))):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(5000)}"
+            of[len(rows)] = (base, jaccard(" ".join(text), " ".join(words)))
+            rows.append((len(rows), " ".join(text)))
+    first = {b: min(i for i, (c, _) in of.items() if c == b) for b in range(40)}
+    got_ = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(of[c][0] == of[i][0] for i, c in got_.items())
+    near = [i for i, (_, j) in of.items() if j >= 0.8]
+    assert len(near) > 250 and sum(got_[i] == first[of[i][0]] for i in near) / len(near) >= 0.97
+
+
+def test_accepted_distance():
+    assert simhash.most_apart(1.0) == simhash.SLACK
+    assert simhash.most_apart(0.8) == 77 + simhash.SLACK
+    assert simhash.wide_fingerprint("  ", 5) == simhash.wide_fingerprint(None, 5) == bytes(64)
+
+
 def test_one_of_each(docs, docs_rows, no_docs):
     kept = simhash.one_of_each(docs).collect()
-    roots = brute_components([r[0] for r in docs_rows], [brute_fingerprint(r[1], 5) for r in docs_rows])
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted({c for c in roots if c is not None})
-    assert len({r["doc_id"] for r in kept}) == len(kept)
+    groups = simhash.similar_documents(docs).collect()
+    assert len(groups) == len(docs_rows)
+    assert sorted(r["doc_id"] for r in kept) == sorted({r["component_id"] for r in groups})
+    same = defaultdict(set)
+    for i, r in enumerate(docs_rows):
+        if r[0] is not None:
+            same[r[1]].add(i)
+    by_id = {r["doc_id"]: r["component_id"] for r in groups}
+    assert all(len({by_id[docs_rows[i][0]] for i in where}) == 1 for where in same.values())
     assert simhash.one_of_each(docs).columns == docs.columns
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
 

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from granary.llm import mixing, quality, simhash
-from test_llm import WORD, brute_components, brute_fingerprint, brute_lines
+from test_llm import WORD, brute_lines, jaccard
 
 
 @pytest.fixture(scope="module")
@@ -38,10 +38,16 @@ def test_line_stage(stages):
     assert sum(k[3] * n for k, n in want.items()) > 0
 
 
-def test_near_stage(stages):
-    before = stages["line_dedup"]
-    roots = brute_components([r["doc_id"] for r in before], [brute_fingerprint(r["text"], 5) for r in before])
-    assert sorted(r["doc_id"] for r in stages["near_dedup"] if r["doc_id"] is not None) == sorted({c for c in roots if c is not None})
+def test_near_stage(stages, spark, docs):
+    rows = spark.createDataFrame(stages["line_dedup"], docs.select(*corpus_pipeline.COLUMNS).schema)
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(rows).collect()}
+    assert sorted(r["doc_id"] for r in stages["near_dedup"]) == sorted(set(groups.values()))
+    texts = {r["doc_id"]: r["text"] or "" for r in stages["line_dedup"]}
+    ids = [k for k in texts if len(texts[k].split()) >= 5]
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            if jaccard(texts[a], texts[b]) >= 0.95:
+                assert groups[a] == groups[b]
 
 
 def test_mix_stage(stages, spark, docs):
