@@ -10,7 +10,8 @@ smaller id.
    of input, the later one is resolved at once (all of it is removed) and only the first goes
    on: a passage that many documents share is combined before anything is shuffled.
 2. Anchors are dealt by hash to buckets, as packed arrays sorted by hash (the shuffle then
-   carries some nine bytes for each).  Those that no second document has end there.
+   carries some fifteen bytes for each).  Those that no second document has end there, and those
+   whose snippet a smaller document has (by its hash) are resolved there.
 3. The snippets of a run of anchors form one text; from its suffix order and BWT,
    breadth-first backward extension derives the classes of equal prefixes of length 1, 2, 3,
    ..., dropping intervals of one row, and stops at WINDOW: the rows left are windows that
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ WINDOW, K = 50, 20
 SIDE = WINDOW - K
 SNIPPET = K + 2 * SIDE
 #: Bytes of text that anchors are sought in at once, and that one transform is made of.
-BLOCK, TEXT = 1 << 20, 2 << 20
+BLOCK, TEXT = 1 << 18, 2 << 20
+#: Blocks whose anchors are combined before they are dealt out.
+COMBINE = 8
 #: Occurrences (equal snippets of a block of input count once) beyond which an anchor is resolved
 #: window by window.
 CROWD = 5_000
@@ -141,11 +145,12 @@ def _block(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
 
 
 def _planes(*arrays: np.ndarray) -> bytes:
-    """Arrays of equal length, byte by byte: high bytes that are zero take no room compressed."""
-    return b"".join(a.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays)
+    """Arrays of equal length, byte by byte and compressed: high bytes that are zero take no room."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays))
 
 
 def _arrays(data: bytes, n: int) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(data)
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(n, 8, -1).transpose(0, 2, 1)).view("<i8")[:, :, 0]
 
 
@@ -165,13 +170,13 @@ def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarra
             spans = np.array(_runs(pos[at[s:e]] - SIDE, pos[at[s:e]] + K + SIDE), dtype=np.int64)
             yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1])
     on = ~later
-    gram, pos, doc, tag = (x[on] for x in (gram, pos, doc, tag))
-    short = (gram >> np.uint64(16)).astype(np.int64)
+    gram, pos, doc, tag, snip = (x[on] for x in (gram, pos, doc, tag, snip))
+    short, snip = (gram >> np.uint64(16)).astype(np.int64), (snip >> np.uint64(16)).astype(np.int64)
     bucket = (short.astype(np.float64) * (buckets / 2.0**48)).astype(np.int64)  # monotone in the hash
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(short) else short
     for s, e in zip(cuts, np.append(cuts[1:], len(short)), strict=True) if len(short) else ():
-        keys, which = np.unique(np.stack([doc[s:e], tag[s:e]]), axis=1, return_inverse=True) if e - s < 64 else _distinct(doc[s:e], tag[s:e])
-        yield int(bucket[s]), False, _planes(keys[0], keys[1]), _planes(np.diff(short[s:e], prepend=0), which.reshape(-1), pos[s:e])
+        keys, which = _distinct(doc[s:e], tag[s:e])
+        yield int(bucket[s]), False, _planes(keys[0], keys[1]), _planes(np.diff(short[s:e], prepend=0), which, pos[s:e], snip[s:e])
 
 
 def _distinct(doc: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,33 +188,42 @@ def _distinct(doc: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.stack([d[new], t[new]]), which
 
 
+def bucket_count(texts: DataFrame) -> int:
+    return max(32, 4 * texts.rdd.getNumPartitions())
+
+
 def anchors(texts: DataFrame) -> DataFrame:
     """bucket, resolved, documents, rows: packed anchors of rows (doc, tag, text)."""
-    buckets = max(32, 2 * texts.rdd.getNumPartitions())
+    buckets = bucket_count(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
-        for batch in batches:
-            found, held, size = [], [], 0
+        def seek(held: list) -> tuple[np.ndarray, ...]:
+            gram, snip, pos, index = _block(held)
+            key = np.array([d[:2] for d in held], dtype=np.int64)
+            return gram, snip, pos, key[index, 0], key[index, 1]
 
-            def seek(held: list, found: list) -> None:
-                gram, snip, pos, index = _block(held)
-                key = np.array([d[:2] for d in held], dtype=np.int64)
-                found.append((gram, snip, pos, key[index, 0], key[index, 1]))
+        def done(found: list) -> pa.RecordBatch:
+            out = list(_parcels(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets))
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["bucket", "resolved", "documents", "rows"])
 
+        for batch in batches:
+            found, held, size = [], [], 0
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = (text.as_py() or "").encode()
                 if len(data) >= WINDOW:
                     held.append((doc, tag, data))
                     size += len(data)
                 if size >= BLOCK:
-                    seek(held, found)
+                    found.append(seek(held))
                     held, size = [], 0
+                if len(found) >= COMBINE:
+                    yield done(found)
+                    found = []
             if held:
-                seek(held, found)
+                found.append(seek(held))
             if found:
-                out = list(_parcels(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets))
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["bucket", "resolved", "documents", "rows"])
+                yield done(found)
 
     return texts.select("doc", "tag", "text").mapInArrow(run, "bucket int, resolved boolean, documents binary, rows binary")
 
@@ -231,34 +245,42 @@ def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
         def close(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
             parts = []
             for documents, rows in held:
-                keys, (step, which, pos) = _arrays(documents, 2), _arrays(rows, 3)
-                parts.append((np.cumsum(step), keys[0][which], keys[1][which], pos))
-            a, doc, tag, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((doc, a))
-            a, doc, tag, pos = a[order], doc[order], tag[order], pos[order]
+                keys, (step, which, pos, snip) = _arrays(documents, 2), _arrays(rows, 4)
+                parts.append((np.cumsum(step), keys[0][which], keys[1][which], pos, snip))
+            a, doc, tag, pos, snip = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
+            once = np.sort(a)
+            often = np.isin(a, once[1:][once[1:] == once[:-1]])
+            order = np.flatnonzero(often)
+            order = order[np.lexsort((doc[order], snip[order], a[order]))]
+            a, doc, tag, pos, snip = (x[order] for x in (a, doc, tag, pos, snip))
+            if not len(a):
+                return
             starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
             n = np.diff(np.append(starts, len(a)))
-            met = np.repeat(doc[starts] < doc[starts + n - 1], n)
-            crowd = np.repeat(n > CROWD, n)
-            yield from out(a[met], doc[met], tag[met], pos[met], np.full(int(met.sum()), -1, dtype=np.int64), crowd[met])
-
-        held, now = [], None
+            same = np.concatenate([[False], (a[1:] == a[:-1]) & (snip[1:] == snip[:-1]) & (snip[1:] != 0)])
+            lead = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+            later = doc > doc[lead]  # the same surroundings are in a smaller document
+            zero = np.zeros(len(a), dtype=np.int64)
+            yield from out(zero[later], doc[later], tag[later], pos[later] - SIDE, pos[later] + K + SIDE, np.zeros(int(later.sum()), dtype=bool))
+            kinds = np.add.reduceat((~same).astype(np.int64), starts)
+            met = np.repeat((kinds > 1) & (np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)), n) & ~later
+            crowd = np.repeat(np.add.reduceat((~later).astype(np.int64), starts) > CROWD, n)
+            yield from out(a[met], doc[met], tag[met], pos[met], zero[met] - 1, crowd[met])
+
+        held: dict[int, list[tuple[bytes, bytes]]] = {}
         for batch in batches:
             for bucket, resolved, documents, rows in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if resolved:
                     (doc,), (tag,) = _arrays(documents, 2)
                     start, end = _arrays(rows, 2)
                     yield from out(np.zeros(len(start), dtype=np.int64), np.full(len(start), doc), np.full(len(start), tag), start, end, np.zeros(len(start), dtype=bool))
-                    continue
-                if bucket != now and held:
-                    yield from close(held)
-                    held = []
-                now = bucket
-                held.append((documents, rows))
-        if held:
-            yield from close(held)
+                else:
+                    held.setdefault(bucket, []).append((documents, rows))
+        while held:
+            yield from close(held.popitem()[1])
 
-    rows = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    rows = packed.repartition(buckets, "bucket")
     return rows.mapInArrow(run, "a long, doc long, tag long, pos long, end long, crowd boolean")
 
 
@@ -290,20 +312,22 @@ def snippets(shared: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ordered by their first `depth` symbols at least, by doubling."""
-    rank = data.astype(np.int64)
-    size = 1
+    """Positions ordered by their first `depth` symbols (under 512) at least: seven symbols make
+    the first key, then their number doubles."""
+    n, size = len(data), 7
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(size):
+        key[: max(0, n - i)] |= data[i:].astype(np.int64) << (9 * (size - 1 - i))
     while True:
-        n = len(rank)
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - size] = rank[size:] + 1
-        key = rank * (int(after.max(initial=0)) + 1) + after
-        order = np.argsort(key, kind="stable")
-        if size * 2 >= depth:
+        order = np.argsort(key)
+        if size >= depth:
             return order
         key = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        after = np.zeros(n, dtype=np.int64)
+        after[: max(0, n - size)] = rank[size:] + 1
+        key = rank * (n + 1) + after
         size *= 2
 
 
@@ -317,34 +341,38 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, window: int = WINDOW
     """
     none = np.zeros(0, dtype=np.int64)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    data = np.zeros(int(sizes.sum()) + len(texts), dtype=np.int64)
+    data = np.zeros(int(sizes.sum()) + len(texts), dtype=np.int32)
     first = np.cumsum(sizes + 1) - sizes - 1
     which = np.repeat(np.arange(len(texts)), sizes + 1)
     filled = np.ones(len(data), dtype=bool)
     filled[first + sizes] = False
-    data[filled] = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int64) + 1
-    order = suffix_order(data, window)
-    row_of = np.empty(len(order), dtype=np.int64)
-    row_of[order] = np.arange(len(order))
-    bwt = data[order - 1]
+    data[filled] = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    data[filled] += 1
+    order = suffix_order(data, window).astype(np.int32)
+    wide = np.int32 if len(data) < 1 << 22 else np.int64
+    row_of = np.empty(len(order), dtype=np.int32)
+    row_of[order] = np.arange(len(order), dtype=np.int32)
+    bwt = data[order - 1].astype(wide)
     bwt[order == 0] = 0
     back = row_of[order - 1]  # row of the suffix one symbol longer
     rows = np.flatnonzero(data[order] > 0)
-    cls = data[order[rows]]
+    cls = data[order[rows]].astype(wide)
+    made = np.zeros(len(data), dtype=wide)
     for level in range(1, window + 1):
-        new = np.concatenate([[True], cls[1:] != cls[:-1]])
-        number = np.cumsum(new) - 1
-        often = np.bincount(number) > 1
-        keep = often[number]
-        rows, number = rows[keep], number[keep]
+        new = np.ones(len(cls) + 1, dtype=bool)
+        np.not_equal(cls[1:], cls[:-1], out=new[1 : len(cls)])
+        keep = ~(new[:-1] & new[1:])  # rows that aren't alone
+        rows, new = rows[keep], new[:-1][keep]
+        number = np.cumsum(new, dtype=wide)
         if level == window or not len(rows):
             break
-        open_ = bwt[rows] > 0
-        rows, number = rows[open_], number[open_]
-        symbol, nxt = bwt[rows], back[rows]
-        sort = np.argsort(nxt, kind="stable")  # by symbol, then by the class of the rest
-        rows = nxt[sort]
-        cls = symbol[sort] * (len(data) + 1) + number[sort]
+        symbol = bwt[rows]
+        open_ = symbol > 0
+        nxt = back[rows[open_]]
+        made[nxt] = symbol[open_] * (len(data) + 1) + number[open_]  # by row: by symbol, then by the class of the rest
+        rows = np.flatnonzero(made)
+        cls = made[rows]
+        made[rows] = 0
     if not len(rows):
         return none, none, none
     at = order[rows]
@@ -420,7 +448,7 @@ def _by_window(found: DataFrame) -> DataFrame:
 def removed_spans(texts: DataFrame) -> DataFrame:
     """doc, tag, spans (array of (start, end), may overlap) from rows (doc, tag, text)."""
     packed = anchors(texts)
-    met = materialize(shared_anchors(packed, max(32, 2 * texts.rdd.getNumPartitions())), "anchors")
+    met = materialize(shared_anchors(packed, bucket_count(texts)), "anchors")
     spans = _by_transform(snippets(met.where((F.col("end") < 0) & ~F.col("crowd")), texts))
     if met.where("crowd").head(1):
         spans = spans.unionByName(_by_window(snippets(met.where((F.col("end") < 0) & F.col("crowd")), texts)))
