@@ -168,6 +168,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 # met pairs verified by all of them.
 
 WIDE, BAND_BITS, BANDS = 8, 24, 128
+#: Largest block of a band whose members all meet.
+PAIRED = 8
 #: Widening of the accepted distance: one and a half standard deviations of 512 bits at 0.8.
 SLACK = 12
 
@@ -235,16 +237,16 @@ def similar_links(marked: DataFrame, similarity: float) -> DataFrame:
     """Edges (u, v) between nodes whose fingerprints are within `most_apart(similarity)`.
 
     A pair at similarity 0.8 meets in a band with probability 0.93, nearer ones almost surely.
-    Members of a band's block up to BLOCK meet each other; those of a larger one, near copies
-    by the hundreds, meet its smallest and largest node (and others in other bands).
+    Members of a band's block up to PAIRED meet each other; those of a larger one, which chance
+    doesn't make, meet its smallest and largest node (and others in other bands).
     """
     distinct = marked.groupBy("node").agg(F.first("bits").alias("bits"))
     filed = _bands(distinct)
     blocks = filed.groupBy("band").agg(F.count("*").alias("_n"), F.min("node").alias("_low"), F.max("node").alias("_high")).where(F.col("_n") > 1)
     met = materialize(filed.join(blocks, "band"), "bands")
-    few = met.where(F.col("_n") <= BLOCK).select("band", "node")
+    few = met.where(F.col("_n") <= PAIRED).select("band", "node")
     pairs = few.select("band", F.col("node").alias("u")).join(few.select("band", F.col("node").alias("v")), "band").where(F.col("u") < F.col("v")).select("u", "v")
-    ends = met.where(F.col("_n") > BLOCK).select(F.explode(F.array(F.struct(F.col("_low").alias("u"), F.col("node").alias("v")), F.struct(F.col("node").alias("u"), F.col("_high").alias("v")))).alias("p")).select("p.*")
+    ends = met.where(F.col("_n") > PAIRED).select(F.explode(F.array(F.struct(F.col("_low").alias("u"), F.col("node").alias("v")), F.struct(F.col("node").alias("u"), F.col("_high").alias("v")))).alias("p")).select("p.*")
     pairs = pairs.unionByName(ends.where(F.col("u") < F.col("v"))).distinct()
     words = [F.conv(F.hex(F.substring("bits", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE)]
     table = distinct.select("node", *words)
