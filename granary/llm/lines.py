@@ -121,14 +121,15 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth:
     first = hits.groupBy("template").agg(F.min(F.struct("doc", "tag", "line")).alias("_first"))
     gone = hits.join(first, "template").where(F.struct("doc", "tag", "line") != F.col("_first"))
     gone = gone.groupBy("doc", "tag").agg(F.collect_set("line").alias("_gone"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(text).cast("string").alias("_text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"))
     rows = rows.join(gone, ["doc", "tag"], "left")
-    lines = F.split("_text", "\n")
+    whole = F.col("row").getField(text).cast("string")
+    lines = F.split(whole, "\n")
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i))
     has_word = F.lit(r"[^\x20\x09-\x0D]")
     return rows.select(
         "row",
-        F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n")).alias("kept"),
+        F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(left, "\n")).alias("kept"),
         F.coalesce(F.size(F.filter(lines, lambda x: F.regexp_like(x, has_word))).cast("long"), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
