@@ -38,12 +38,12 @@ WINDOW, K = 50, 20
 SIDE = WINDOW - K
 SNIPPET = K + 2 * SIDE
 #: Bytes of text that anchors are sought in at once, and that one transform is made of.
-BLOCK, TEXT = 1 << 18, 2 << 20
+BLOCK, TEXT = 1 << 18, 1 << 20
 #: Blocks whose anchors are combined before they are dealt out.
 COMBINE = 8
 #: Occurrences (equal snippets of a block of input count once) beyond which an anchor is resolved
-#: window by window.
-CROWD = 5_000
+#: window by window: its snippets, some two MB, are what one transform can well hold.
+CROWD = 26_000
 #: Stands for a null id: larger than all others.
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
