@@ -164,14 +164,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 # Looser similarity.  Two texts that share 0.8 of their shingles differ in a seventh of all
 # bits; within 64 bits that is too near to chance, and pivot coordinates that far apart
-# discard nothing.  So fingerprints of WIDE words are taken, filed by bands of their bits, and
-# met pairs verified by all of them.
+# discard nothing.  So candidates come from bands of minima of hashed shingles, which two texts
+# share with a probability that only their shared shingles make, and are decided by the shingle
+# sets themselves.
 
-WIDE, BAND_BITS, BANDS = 8, 24, 128
-#: Largest block of a band whose members all meet.
-PAIRED = 8
+#: Words of a wide fingerprint.
+WIDE = 8
 #: Widening of the accepted distance: one and a half standard deviations of 512 bits at 0.8.
 SLACK = 12
+#: Minima in a band, and bands: at 0.8 a pair has none in common with a probability of 5e-8.
+ROWS, BANDS = 4, 32
+#: Bytes of text of the parts that a large group is compared in, two at a time.
+PART = 8 << 20
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -183,18 +187,23 @@ def _mix(h: np.ndarray) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def wide_fingerprint(text: str | None, shingle: int) -> bytes:
-    """Majority bits over the distinct word shingles; zero without words."""
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted hashes of the distinct word shingles; the whole text where it has fewer words."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return bytes(8 * WIDE)
+        return np.zeros(0, dtype=np.uint64)
     line = b" ".join(words)
     size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(size + 1) - 1
     starts = (ends - size)[: max(1, len(words) - shingle + 1)].tolist()
     ends = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_digest
-    hashed = np.unique(np.frombuffer(b"".join([digest(line[s:e], SEED) for s, e in zip(starts, ends, strict=True)]), dtype=">u8")).astype(np.uint64)
+    return np.unique(np.frombuffer(b"".join([digest(line[s:e], SEED) for s, e in zip(starts, ends, strict=True)]), dtype=">u8").astype(np.uint64))
+
+
+def wide_fingerprint(text: str | None, shingle: int) -> bytes:
+    """Majority bits over the distinct word shingles; zero without words."""
+    hashed = shingle_set(text, shingle)
     votes = np.zeros(64 * WIDE, dtype=np.int64)
     for i in range(0, len(hashed), 255):
         votes += np.unpackbits(_mix(hashed[i : i + 255]).view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
@@ -206,63 +215,119 @@ def most_apart(similarity: float) -> int:
     return int(64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + SLACK
 
 
-def _wide(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [wide_fingerprint(t.as_py(), shingle) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "text_hash", "bits"])
-
-    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, bits binary").withColumn("node", F.xxhash64("bits"))
+def _band_keys(hashed: np.ndarray) -> np.ndarray:
+    """A hash for each band of a shingle set: of ROWS minima under hash functions of its own."""
+    rng = np.random.default_rng(SEED)
+    flip, times = (rng.integers(1 << 63, size=(ROWS * BANDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+    low = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(hashed), 512):
+            low = np.minimum(low, ((hashed[i : i + 512] ^ flip) * times).min(axis=1))
+        for minima in low.reshape(ROWS, BANDS):
+            key = (key ^ minima) * np.uint64(0xBF58476D1CE4E5B9)
+            key = key ^ (key >> np.uint64(29))
+    return key.view(np.int64)
 
 
-def _bands(distinct: DataFrame) -> DataFrame:
-    """node, band: a row for each band's number and bits."""
-    picked = np.random.default_rng(SEED).permuted(np.tile(np.arange(64 * WIDE), (BANDS, 1)), axis=1)[:, :BAND_BITS]
-    power = 1 << np.arange(BAND_BITS, dtype=np.int64)
+def _banded(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """doc_id, text_hash, node (a hash of the shingle set, 0 of an empty one), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                bits = np.unpackbits(np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(-1, 8 * WIDE), axis=1)
-                bands = bits[:, picked] @ power + (np.arange(BANDS, dtype=np.int64) << BAND_BITS)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(bands.reshape(-1))], names=["node", "band"])
+            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(2)]
+            nodes = pa.array([int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True) if len(h) else 0 for h in sets], pa.int64())
+            bands = pa.array([_band_keys(h) if len(h) else [] for h in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, bands], names=["doc_id", "text_hash", "node", "bands"])
 
-    return distinct.select("node", "bits").mapInArrow(run, "node long, band long")
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node long, bands array<long>")
+
+
+def similar_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) of pairs of sets at `similarity` or more, whose components are those of all
+    such pairs: each set that is reached is compared with all that aren't yet, by its elements'
+    postings."""
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    element = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else owner
+    by = np.argsort(element, kind="stable")
+    posting, count = owner[by], np.bincount(element)
+    begin, first = np.cumsum(count) - count, np.cumsum(size) - size
+    out, rest = [], np.ones(len(sets), dtype=bool)
+    for lead in range(len(sets)):
+        if not rest[lead]:
+            continue
+        rest[lead], reached = False, [lead]
+        while reached:
+            i = reached.pop()
+            mine = element[first[i] : first[i] + size[i]]
+            mine = mine[count[mine] > 1]
+            n = count[mine]
+            met = posting[np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            other, both = np.unique(met[rest[met]], return_counts=True)
+            other = other[both / (size[i] + size[other] - both) >= similarity].tolist()
+            rest[other] = False
+            out += [(i, j) for j in other]
+            reached += other
+    return out
+
+
+def similar_links(marked: DataFrame, docs: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
+    """Edges (u, v) between nodes whose shingle sets are at `similarity` or more; their
+    components are those of all such pairs.
+
+    Nodes that share a band, directly or over others, form a group, found by linking a band's
+    members to its smallest.  A group's texts meet in one task and are compared by their shingle
+    sets; of a group of more than twice PART bytes any two parts meet in one.
+    """
+    node = marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("bands").alias("bands"))
+    filed = node.select("node", F.explode("bands").alias("band"))
+    lows = filed.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("_n")).where(F.col("_n") > 1)
+    met = filed.join(lows, "band").where(F.col("u") < F.col("node")).select("u", F.col("node").alias("v")).distinct()
+    found = components(met)
+    of = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    wanted = of.join(node.select("node", "text_hash"), "node").select("node", "root", "text_hash")
+    texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    rows = texts.join(wanted, "text_hash").groupBy("node", "root").agg(F.first("text").alias("text"))
+    rows = materialize(rows, "groups")
+    total = rows.groupBy("root").agg(F.sum(F.octet_length("text").cast("long")).alias("_bytes"))
+    parts = total.select("root", F.when(F.col("_bytes") <= 2 * PART, 1).otherwise(F.ceil(F.col("_bytes") / PART)).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda q: F.struct(F.least("_part", q).alias("i"), F.greatest("_part", q).alias("j")))
+    rows = rows.join(parts, "root").withColumn("_part", part).select("root", F.explode(cells).alias("_cell"), "node", "text")
+    rows = rows.select(F.xxhash64("root", "_cell.i", "_cell.j").alias("cell"), "node", "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            pairs = [sorted((held[i][0], held[j][0])) for i, j in similar_sets([h for _, h in held], similarity)]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-def similar_links(marked: DataFrame, similarity: float) -> DataFrame:
-    """Edges (u, v) between nodes whose fingerprints are within `most_apart(similarity)`.
+        held, last = [], None
+        for batch in batches:
+            for cell, number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if held and cell != last:
+                    yield done(held)
+                    held = []
+                last = cell
+                held.append((number, shingle_set(text.as_py(), shingle)))
+        if held:
+            yield done(held)
 
-    A pair at similarity 0.8 meets in a band with probability 0.93, nearer ones almost surely.
-    Members of a band's block up to PAIRED meet each other; those of a larger one, which chance
-    doesn't make, meet its smallest and largest node (and others in other bands).
-    """
-    distinct = marked.groupBy("node").agg(F.first("bits").alias("bits"))
-    filed = _bands(distinct)
-    blocks = filed.groupBy("band").agg(F.count("*").alias("_n"), F.min("node").alias("_low"), F.max("node").alias("_high")).where(F.col("_n") > 1)
-    met = materialize(filed.join(blocks, "band"), "bands")
-    few = met.where(F.col("_n") <= PAIRED).select("band", "node")
-    pairs = few.select("band", F.col("node").alias("u")).join(few.select("band", F.col("node").alias("v")), "band").where(F.col("u") < F.col("v")).select("u", "v")
-    ends = met.where(F.col("_n") > PAIRED).select(F.explode(F.array(F.struct(F.col("_low").alias("u"), F.col("node").alias("v")), F.struct(F.col("node").alias("u"), F.col("_high").alias("v")))).alias("p")).select("p.*")
-    pairs = pairs.unionByName(ends.where(F.col("u") < F.col("v"))).distinct()
-    words = [F.conv(F.hex(F.substring("bits", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(WIDE)]
-    table = distinct.select("node", *words)
-    left, right = (table.select(F.col("node").alias(c), *[F.col(f"w{i}").alias(f"{c}{i}") for i in range(WIDE)]) for c in "uv")
-    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"u{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(WIDE)])
-    return pairs.join(left, "u").join(right, "v").where(apart <= most_apart(similarity)).select("u", "v")
+    rows = rows.repartition("cell").sortWithinPartitions("cell")
+    return rows.mapInArrow(run, "u long, v long").distinct()
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, text_hash, component_id; a row per input row.
 
-    Components over links of texts whose shingle sets have about `similarity` in common or more.
-    Texts without words link to each other; other cases are as in `near_duplicates`.
+    Components over links of texts whose shingle sets have a Jaccard similarity of `similarity`
+    or more.  Texts without words link to each other; other cases are as in `near_duplicates`.
     """
-    marked = materialize(_wide(docs, key, text, shingle), "fingerprints")
-    return _grouped(marked, similar_links(marked, similarity), "node").select("doc_id", "text_hash", "component_id")
+    marked = materialize(_banded(docs, key, text, shingle), "bands")
+    edges = similar_links(marked, docs, text, shingle, similarity)
+    return _grouped(marked.drop("bands"), edges, "node").select("doc_id", "text_hash", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:

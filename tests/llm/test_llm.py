@@ -405,6 +405,50 @@ def test_similar_documents_are_found_and_others_left_alone(spark):
     assert len(near) > 250 and sum(got_[i] == first[of[i][0]] for i in near) / len(near) >= 0.97
 
 
+def brute_similar(rows, similarity=0.8):
+    """The groups that links at `similarity` or more of five-word shingle sets make."""
+    parent = {k: k for k, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = {}
+    for k, text in rows:
+        w = text.split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    for a, _ in rows:
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            if min(len(x), len(y)) >= similarity * max(len(x), len(y)) and len(x & y) / len(x | y) >= similarity:
+                parent[find(a)] = find(b)
+    low = {}
+    for k, _ in rows:
+        low.setdefault(find(k), k)
+    return {k: low[find(k)] for k, _ in rows}
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for i in rng.sample(range(5, len(out) - 5), n):
+        out[i] = f"y{rng.randrange(1 << 30)}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("part", [1 << 30, 200_000])
+def test_star_of_near_copies_is_one_group(spark, monkeypatch, part):
+    """1,000 edits at about 0.85 of one original, some 0.72 to each other."""
+    monkeypatch.setattr(simhash, "PART", part)
+    rng = random.Random(21)
+    words = [f"w{rng.randrange(5000)}" for _ in range(190)]
+    rows = [(i, " ".join(words) if i == 500 else edited(rng, words, 3)) for i in range(1001)]
+    want = brute_similar(rows)
+    assert set(want.values()) == {0}
+    out = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
 def test_accepted_distance():
     assert simhash.most_apart(1.0) == simhash.SLACK
     assert simhash.most_apart(0.8) == 77 + simhash.SLACK
