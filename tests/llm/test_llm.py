@@ -449,6 +449,19 @@ def test_star_of_near_copies_is_one_group(spark, monkeypatch, part):
     assert {r["doc_id"]: r["component_id"] for r in out} == want
 
 
+def test_similarity_is_that_of_the_shingle_sets(spark):
+    """Pairs on both sides of 0.8, each near it."""
+    rng, rows = random.Random(22), []
+    for k in range(300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(110 + k % 90)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, edited(rng, words, 2 + k % 5))]
+    want = brute_similar(rows)
+    near = sum(v != k for k, v in want.items())
+    assert 50 < near < 250
+    out = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
 def test_accepted_distance():
     assert simhash.most_apart(1.0) == simhash.SLACK
     assert simhash.most_apart(0.8) == 77 + simhash.SLACK
