@@ -462,7 +462,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     A null or empty text has nothing to remove.  A null id counts as larger than all others.
     Rows of equal id never remove from each other.  Other columns are not carried.
     """
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFF)).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = texts.join(removed_spans(texts), ["doc", "tag"], "left").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

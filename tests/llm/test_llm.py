@@ -635,6 +635,19 @@ def test_repeats_in_periodic_texts(spark):
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_repeats(rows)
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    """Two texts under one id whose hashes agree in 20 bits."""
+    rng, seen, pair = random.Random(13), {}, None
+    while not pair:
+        text = " ".join(f"w{rng.randrange(1 << 40)}" for _ in range(10))
+        if (other := seen.setdefault(xxh(text) & 0xFFFFF, text)) != text:
+            pair = other, text
+    extra = " ".join(f"w{rng.randrange(1 << 40)}" for _ in range(10))
+    rows = [(1, pair[0]), (2, pair[0]), (2, pair[1]), (None, extra), (None, pair[1]), (None, pair[0])]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_repeats(rows)
+
+
 def test_windows_by_transform():
     rng = random.Random(11)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 90))) for _ in range(50)]
