@@ -70,37 +70,56 @@ def leaves(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _candidates(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, tag, line, leaf, tokens of the lines in `wanted` (doc, tag, at: leaf and lines)."""
+    """doc, tag, line, leaf, tokens of the lines in `wanted` (doc, tag, at: leaf and lines), with
+    `alone` (the document's lines in the leaf are all equal) and, where not, `fresh`: the places
+    of the line whose token no line before it has there, in this leaf of the document."""
     rows = texts.select("doc", "tag", "text").join(wanted, ["doc", "tag"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.list_(pa.int32())]
         for batch in batches:
             out = []
             for doc, tag, text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 lines = lines_of(text.as_py())
-                out += [(doc, tag, i, x["leaf"], tokens_of(lines[i])) for x in at.as_py() for i in x["lines"]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["doc", "tag", "line", "leaf", "tokens"])
+                for x in at.as_py():
+                    own = [tokens_of(lines[i]) for i in x["lines"]]
+                    fresh: dict[tuple, list[int]] = {}
+                    seen: set[tuple[int, str]] = set()
+                    for tokens in map(tuple, own):
+                        if tokens not in fresh:
+                            fresh[tokens] = [p for p, w in enumerate(tokens) if (p, w) not in seen]
+                            seen.update(enumerate(tokens))
+                    alone = len(fresh) == 1
+                    out += [(doc, tag, i, x["leaf"], tokens, alone, None if alone else fresh[tuple(tokens)]) for i, tokens in zip(x["lines"], own, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["doc", "tag", "line", "leaf", "tokens", "alone", "fresh"])
 
-    return rows.mapInArrow(run, "doc long, tag long, line int, leaf long, tokens array<string>")
+    return rows.mapInArrow(run, "doc long, tag long, line int, leaf long, tokens array<string>, alone boolean, fresh array<int>")
 
 
 def templates(found: DataFrame, min_docs: int = MIN_DOCS, solid: float = SOLID) -> DataFrame:
     """leaf, tokens_hash, template, of the distinct lines whose template is to be dropped.
 
     Equal lines of a leaf are combined first; then each (place, token) is counted over
-    documents, and the distinct lines get back the tokens that are common.
+    documents, and the distinct lines get back the tokens that are common.  A document counts
+    once for a token or a template: those with several different lines in the leaf are counted
+    apart, by the places that are new in the document and by distinct templates.
     """
-    once = found.groupBy("doc", "tag", "leaf", F.xxhash64("tokens").alias("tokens_hash")).agg(F.first("tokens").alias("tokens"))
-    distinct = once.groupBy("leaf", "tokens_hash").agg(F.count("*").alias("n_docs"), F.first("tokens").alias("tokens"))
-    spread = distinct.select("leaf", "tokens_hash", "n_docs", F.posexplode("tokens").alias("place", "token"))
-    common = spread.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("_n")).where((F.col("_n") >= min_docs) & (F.col("token") != WILD)).select("leaf", "place", "token")
+    hashed = found.withColumn("tokens_hash", F.xxhash64("tokens"))
+    once = hashed.groupBy("doc", "tag", "leaf", "tokens_hash").agg(F.first("tokens").alias("tokens"), F.first("alone").cast("long").alias("alone"))
+    distinct = once.groupBy("leaf", "tokens_hash").agg(F.sum("alone").alias("n_alone"), F.first("tokens").alias("tokens"))
+    several = materialize(hashed.where(~F.col("alone")).groupBy("doc", "tag", "leaf", "tokens_hash").agg(F.first(F.transform("fresh", lambda p: F.struct(p.alias("place"), F.get("tokens", p).alias("token")))).alias("fresh")), "several")
+    spread = distinct.select("leaf", "tokens_hash", "n_alone", F.posexplode("tokens").alias("place", "token"))
+    fresh = several.select("leaf", F.explode("fresh").alias("x")).select("leaf", "x.place", "x.token", F.lit(1).cast("long").alias("n_alone"))
+    counts = spread.select("leaf", "place", "token", "n_alone").unionByName(fresh)
+    common = counts.groupBy("leaf", "place", "token").agg(F.sum("n_alone").alias("_n")).where((F.col("_n") >= min_docs) & (F.col("token") != WILD)).select("leaf", "place", "token")
     stays = spread.join(common, ["leaf", "place", "token"], "left_semi")
-    kept = stays.groupBy("leaf", "tokens_hash", "n_docs").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("template"))
+    kept = stays.groupBy("leaf", "tokens_hash", "n_alone").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("template"))
     sizes = distinct.select("leaf", "tokens_hash", F.size("tokens").alias("n_tokens"))
     kept = kept.join(sizes, ["leaf", "tokens_hash"]).where(F.size("template") >= F.col("n_tokens") * solid)
-    kept = kept.withColumn("template", F.xxhash64("leaf", "template"))
-    often = kept.groupBy("template").agg(F.sum("n_docs").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
+    kept = materialize(kept.select("leaf", "tokens_hash", "n_alone", F.xxhash64("leaf", "template").alias("template")), "kept")
+    more = several.select("doc", "tag", "leaf", "tokens_hash").join(kept, ["leaf", "tokens_hash"]).select("template", "doc", "tag").distinct()
+    docs = kept.select("template", F.col("n_alone").alias("_n")).unionByName(more.groupBy("template").agg(F.count("*").alias("_n")))
+    often = docs.groupBy("template").agg(F.sum("_n").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
     return kept.join(often, "template").select("leaf", "tokens_hash", "template")
 
 

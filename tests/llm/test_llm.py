@@ -545,6 +545,19 @@ def test_template_lines_are_dropped(docs, docs_rows, no_docs):
     assert lines.drop_lines(no_docs).count() == 0
 
 
+def test_a_document_counts_once_for_a_template(spark):
+    """Ten alike lines of one document aren't ten documents, though ten documents are in the leaf."""
+    listed = "\n".join(f"the list of goods item {w} in stock now" for w in "red blue green black white grey pink gold brown teal".split())
+    rows = [(0, listed)] + [(i, " ".join(["the list of", *(f"w{chr(97 + i)}{chr(97 + j)}" for j in range(6))])) for i in range(1, 12)]
+    shared = [(20 + i, f"one more line of the shop {w} for all to read\nand {w} alone") for i, w in enumerate("a b c d e f g h i j".split())]
+    out = {r["doc_id"]: r["n_dropped"] for r in lines.drop_lines(spark.createDataFrame(rows + shared, "doc_id long, text string")).select("row.doc_id", "n_dropped").collect()}
+    assert all(out[k] == 0 for k, _ in rows)
+    assert [out[k] for k, _ in shared] == [0] + [1] * 9
+    twice = [(k, f"{t}\n{t.replace('the shop', 'the store')}") for k, t in shared]
+    out = {r["doc_id"]: r["n_dropped"] for r in lines.drop_lines(spark.createDataFrame(twice, "doc_id long, text string")).select("row.doc_id", "n_dropped").collect()}
+    assert [out[k] for k, _ in twice] == [0] + [2] * 9
+
+
 # 9 TIFF
 
 
