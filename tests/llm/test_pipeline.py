@@ -85,3 +85,25 @@ def test_sql_of_mixing(spark, sf, duck):
     ours = entry.queries()["op3_mixing"](spark, sf).toPandas().sort_values("doc_id").reset_index(drop=True)
     theirs = duck.sql(entry.oracle_sql()["op3_mixing"]).df().sort_values("doc_id").reset_index(drop=True)
     assert (ours[sorted(ours)].to_numpy() == theirs[sorted(theirs)].to_numpy()).all()
+
+
+def test_near_stage_is_brute_force(stages):
+    """Groups by links of five-word shingle sets at 0.8, in both directions; documents without
+    an id stay where no document with one is in their group."""
+    rows = [(r["doc_id"], r["text"] or "") for r in stages["line_dedup"]]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if not a.split() and not b.split() or a.split() and b.split() and jaccard(a, b) >= 0.8:
+                root[find(i)] = find(j)
+    groups = {}
+    for i, (k, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(k)
+    want = Counter(min(ks, key=lambda k: (k is None, k)) for ks in groups.values())
+    assert Counter(r["doc_id"] for r in stages["near_dedup"]) == want
