@@ -10,15 +10,18 @@ smaller id.
    of input, the later one is resolved at once (all of it is removed) and only the first goes
    on: a passage that many documents share is combined before anything is shuffled.
 2. Anchors are dealt by hash to buckets, as packed arrays sorted by hash (the shuffle then
-   carries some fifteen bytes for each).  Those that no second document has end there, and those
-   whose snippet a smaller document has (by its hash) are resolved there.
-3. The snippets of a run of anchors form one text; from its suffix order and BWT,
-   breadth-first backward extension derives the classes of equal prefixes of length 1, 2, 3,
-   ..., dropping intervals of one row, and stops at WINDOW: the rows left are windows that
-   occur more than once, and each class yields its smallest id.  An anchor that occurs more
-   than CROWD times is resolved by grouping its windows themselves, which splits it over all
-   tasks.
+   carries some sixteen bytes for each).  Buckets are folded as they arrive: of equal snippets
+   (by a 48-bit anchor and a 64-bit snippet hash) only that of the smallest document is held, the
+   others are resolved; what no second document has ends there.
+3. The snippets of a run of anchors form one text; breadth-first backward extension on its
+   transform derives common prefixes by increasing length and stops at WINDOW: what is not
+   parted by then are windows that occur more than once, and each class yields its smallest id.
 4. A window is removed where that smallest id is below the document's own.
+
+An anchor with more than CROWD different snippets isn't held by any task: its snippets are cut
+anew at anchors of K_LONG bytes, which parts them over many tasks, and go through the same
+transform; what is still crowded there (one passage in very many documents) is grouped by its
+windows, which combines copies before the shuffle.  Results don't depend on these bounds.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +41,14 @@ from .common import materialize
 WINDOW, K = 50, 20
 SIDE = WINDOW - K
 SNIPPET = K + 2 * SIDE
+#: Bytes of anchors that part crowded snippets.
+K_LONG = 40
 #: Bytes of text that anchors are sought in at once, and that one transform is made of.
-BLOCK, TEXT = 1 << 18, 1 << 20
+BLOCK, TEXT = 1 << 18, 1 << 19
 #: Blocks whose anchors are combined before they are dealt out.
 COMBINE = 8
-#: Occurrences (equal snippets of a block of input count once) beyond which an anchor is resolved
-#: window by window: its snippets, some two MB, are what one transform can well hold.
-CROWD = 26_000
+#: Different snippets of an anchor that one transform takes, and anchors that a task folds at once.
+CROWD, FOLD = 4_096, 2_000_000
 #: Stands for a null id: larger than all others.
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -171,7 +176,7 @@ def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarra
             yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1])
     on = ~later
     gram, pos, doc, tag, snip = (x[on] for x in (gram, pos, doc, tag, snip))
-    short, snip = (gram >> np.uint64(16)).astype(np.int64), (snip >> np.uint64(16)).astype(np.int64)
+    short, snip = (gram >> np.uint64(16)).astype(np.int64), snip.view(np.int64)
     bucket = (short.astype(np.float64) * (buckets / 2.0**48)).astype(np.int64)  # monotone in the hash
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(short) else short
     for s, e in zip(cuts, np.append(cuts[1:], len(short)), strict=True) if len(short) else ():
@@ -228,232 +233,339 @@ def anchors(texts: DataFrame) -> DataFrame:
     return texts.select("doc", "tag", "text").mapInArrow(run, "bucket int, resolved boolean, documents binary, rows binary")
 
 
+def _fold(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, snip: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The anchors in order, and which of them have the snippet of a smaller document."""
+    order = np.lexsort((doc, snip, a))
+    a, doc, tag, pos, snip = (x[order] for x in (a, doc, tag, pos, snip))
+    same = np.zeros(len(a), dtype=bool)
+    same[1:] = (a[1:] == a[:-1]) & (snip[1:] == snip[:-1]) & (snip[1:] != 0)
+    lead = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+    return [a, doc, tag, pos, snip], doc > doc[lead]
+
+
 def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     """a, doc, tag, pos, end, crowd: anchors that two documents have (end -1), resolved spans.
 
-    A bucket's arrays, some millions of anchors at most, meet in one task; their number grows
-    with the input, their size does not.
+    A task folds its anchors every FOLD of them: it holds one for each different snippet, and
+    none for crowded anchors, so neither copies nor a common anchor add up in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "doc", "tag", "pos", "end", "crowd"]
 
-        def out(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, end: np.ndarray, crowd: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def out(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, end: np.ndarray, crowd: bool) -> Iterator[pa.RecordBatch]:
             for i in range(0, len(a), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (a, doc, tag, pos, end, crowd)], names=names)
-
-        def close(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-            parts = []
-            for documents, rows in held:
-                keys, (step, which, pos, snip) = _arrays(documents, 2), _arrays(rows, 4)
-                parts.append((np.cumsum(step), keys[0][which], keys[1][which], pos, snip))
-            a, doc, tag, pos, snip = (np.concatenate(x) for x in zip(*parts, strict=True))
-            parts.clear()
-            once = np.sort(a)
-            often = np.isin(a, once[1:][once[1:] == once[:-1]])
-            order = np.flatnonzero(often)
-            order = order[np.lexsort((doc[order], snip[order], a[order]))]
-            a, doc, tag, pos, snip = (x[order] for x in (a, doc, tag, pos, snip))
-            if not len(a):
-                return
-            starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-            n = np.diff(np.append(starts, len(a)))
-            same = np.concatenate([[False], (a[1:] == a[:-1]) & (snip[1:] == snip[:-1]) & (snip[1:] != 0)])
-            lead = np.flatnonzero(~same)[np.cumsum(~same) - 1]
-            later = doc > doc[lead]  # the same surroundings are in a smaller document
-            zero = np.zeros(len(a), dtype=np.int64)
-            yield from out(zero[later], doc[later], tag[later], pos[later] - SIDE, pos[later] + K + SIDE, np.zeros(int(later.sum()), dtype=bool))
-            kinds = np.add.reduceat((~same).astype(np.int64), starts)
-            met = np.repeat((kinds > 1) & (np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)), n) & ~later
-            crowd = np.repeat(np.add.reduceat((~later).astype(np.int64), starts) > CROWD, n)
-            yield from out(a[met], doc[met], tag[met], pos[met], zero[met] - 1, crowd[met])
-
-        held: dict[int, list[tuple[bytes, bytes]]] = {}
+                part = [pa.array(x[i : i + 50_000]) for x in (a, doc, tag, pos, end)]
+                yield pa.RecordBatch.from_arrays([*part, pa.array(np.full(len(part[0]), crowd))], names=names)
+
+        def fold() -> Iterator[pa.RecordBatch]:
+            nonlocal kept, crowded, size
+            kept, later = _fold(*(np.concatenate(x) for x in zip(kept, *held, strict=True)))
+            held.clear()
+            a, doc, tag, pos, _ = (x[later] for x in kept)
+            yield from out(np.zeros(len(a), dtype=np.int64), doc, tag, pos - SIDE, pos + K + SIDE, False)
+            kept = [x[~later] for x in kept]
+            value, n = np.unique(kept[0], return_counts=True)
+            crowded = np.union1d(crowded, value[n > CROWD])
+            many = np.isin(kept[0], crowded)
+            a, doc, tag, pos, _ = (x[many] for x in kept)
+            yield from out(a, doc, tag, pos, np.full(len(a), -1), True)
+            kept = [x[~many] for x in kept]
+            size = 0
+
+        none = np.zeros(0, dtype=np.int64)
+        kept, held, crowded, size = [none] * 5, [], none, 0
         for batch in batches:
-            for bucket, resolved, documents, rows in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for resolved, documents, rows in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 if resolved:
                     (doc,), (tag,) = _arrays(documents, 2)
                     start, end = _arrays(rows, 2)
-                    yield from out(np.zeros(len(start), dtype=np.int64), np.full(len(start), doc), np.full(len(start), tag), start, end, np.zeros(len(start), dtype=bool))
-                else:
-                    held.setdefault(bucket, []).append((documents, rows))
-        while held:
-            yield from close(held.popitem()[1])
+                    yield from out(np.zeros(len(start), dtype=np.int64), np.full(len(start), doc), np.full(len(start), tag), start, end, False)
+                    continue
+                keys, (step, which, pos, snip) = _arrays(documents, 2), _arrays(rows, 4)
+                held.append([np.cumsum(step), keys[0][which], keys[1][which], pos, snip])
+                size += len(pos)
+                if size >= max(FOLD, len(kept[0])):
+                    yield from fold()
+        if held:
+            yield from fold()
+        a, doc, tag, pos, snip = kept
+        if len(a):
+            starts = np.flatnonzero(_changes(a))
+            n = np.diff(np.append(starts, len(a)))
+            met = np.repeat(np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts), n)
+            yield from out(a[met], doc[met], tag[met], pos[met], np.full(int(met.sum()), -1), False)
 
     rows = packed.repartition(buckets, "bucket")
     return rows.mapInArrow(run, "a long, doc long, tag long, pos long, end long, crowd boolean")
 
 
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column, where each value begins in them, and its size."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data or b"", dtype=np.uint8), offsets[:-1], np.diff(offsets)
+
+
+def _cuts(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column of the strings of `sizes` bytes that begin at `first`."""
+    ends = np.cumsum(sizes)
+    taken = data[np.repeat(first - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(taken)])
+
+
+FOUND = ["a", "doc", "tag", "begin", "snippet"]
+FOUND_SCHEMA = "a long, doc long, tag long, begin long, snippet binary"
+
+
 def snippets(shared: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, doc, tag, pos, side (bytes before the anchor), snippet of the shared anchors."""
+    """FOUND: the snippets of the shared anchors and where they begin."""
     wanted = shared.groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "pos")).alias("_at"))
     rows = texts.select("doc", "tag", "text").join(wanted, ["doc", "tag"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for doc, tag, text, at in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data, doc, tag = text.as_py().encode(), doc.as_py(), tag.as_py()
-                spots = at.values.flatten()
-                for a, pos in zip(spots[0].to_pylist(), spots[1].to_pylist(), strict=True):
-                    side = min(pos, SIDE)
-                    out.append((a, doc, tag, pos, side, data[pos - side : pos + K + SIDE]))
-                if len(out) >= 50_000:
-                    yield batch_of(out)
-                    out = []
-            if out:
-                yield batch_of(out)
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["a", "doc", "tag", "pos", "side", "snippet"])
-
-    return rows.mapInArrow(run, "a long, doc long, tag long, pos long, side int, snippet binary")
-
-
-def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ordered by their first `depth` symbols (under 512) at least: seven symbols make
-    the first key, then their number doubles."""
-    n, size = len(data), 7
+            doc, tag = (batch.column(i).to_numpy() for i in (0, 1))
+            data, first, sizes = _bytes_of(batch.column(2))
+            which = np.repeat(np.arange(len(doc)), pc.list_value_length(batch.column(3)).to_numpy())
+            a, pos = (x.to_numpy() for x in batch.column(3).flatten().flatten())
+            for i in range(0, len(a), 50_000):
+                w, p = which[i : i + 50_000], pos[i : i + 50_000]
+                begin = np.maximum(0, p - SIDE)
+                cut = _cuts(data, first[w] + begin, np.minimum(sizes[w], p + K + SIDE) - begin)
+                yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 50_000]), pa.array(doc[w]), pa.array(tag[w]), pa.array(begin), cut], names=FOUND)
+
+    return rows.mapInArrow(run, FOUND_SCHEMA)
+
+
+def cut_anew(found: DataFrame, k: int = K_LONG) -> DataFrame:
+    """FOUND with snippets cut at anchors of `k` bytes: runs of windows with one smallest `k`-byte
+    string, under another hash.  Each window lies in one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, doc, tag, begin = (batch.column(i).to_numpy() for i in range(4))
+            data, first, sizes = _bytes_of(batch.column(4))
+            if int(sizes.sum()) < WINDOW:
+                continue
+            data, first = data[first[0] : first[-1] + sizes[-1]], first - first[0]
+            grams = _mixed(_rolling(data, k)[0] ^ np.uint64(_BASE))
+            low = _slide(grams, WINDOW - k + 1, np.minimum)
+            which = np.searchsorted(first + sizes, np.arange(len(low)), "right")
+            inside = np.arange(len(low)) + WINDOW <= (first + sizes)[which]
+            new = inside & (_changes(low) | _changes(which))
+            new[1:] |= inside[1:] & ~inside[:-1]
+            at = np.flatnonzero(new)
+            run_of = np.cumsum(new)[inside] - 1
+            size = np.bincount(run_of, minlength=len(at)) + WINDOW - 1
+            w = which[at]
+            yield pa.RecordBatch.from_arrays([pa.array(low[at].view(np.int64)), pa.array(doc[w]), pa.array(tag[w]), pa.array(begin[w] + at - first[w]), _cuts(data, at, size)], names=FOUND)
+
+    return found.select(*FOUND).mapInArrow(run, FOUND_SCHEMA)
+
+
+def _by_key(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of up to 63 - `bits` bits, and the keys so ordered, by one sort of words that
+    hold key and position."""
+    words = (keys << bits) | np.arange(len(keys), dtype=np.int64)
+    words.sort()
+    return words & ((1 << bits) - 1), words >> bits
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it; the first does."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
+
+
+def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Positions ordered by their first `depth` symbols at least (what is beyond the end counts
+    as symbol 0), where the first `size` symbols change along that order, and this size."""
+    n = len(data)
+    bits, width = max(1, n.bit_length()), max(1, int(data.max(initial=0)).bit_length())
+    if 3 * bits > 63:
+        raise ValueError("a text for one transform has to be shorter than 2 MB")
+    size = first = min((63 - bits) // width, depth)
     key = np.zeros(n, dtype=np.int64)
     for i in range(size):
-        key[: max(0, n - i)] |= data[i:].astype(np.int64) << (9 * (size - 1 - i))
-    while True:
-        order = np.argsort(key)
-        if size >= depth:
-            return order
-        key = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        after = np.zeros(n, dtype=np.int64)
-        after[: max(0, n - size)] = rank[size:] + 1
-        key = rank * (n + 1) + after
+        key[: max(0, n - i)] |= data[i:].astype(np.int64) << (width * (size - 1 - i))
+    order, key = _by_key(key, bits)
+    seed = new = _changes(key)
+    rank = np.empty(n, dtype=np.int64)
+    while size < depth:
+        rank[order] = np.cumsum(new)
+        key = rank << bits
+        key[: max(0, n - size)] |= rank[size:]
+        order, key = _by_key(key, bits)
+        new = _changes(key)
         size *= 2
+    return order, seed, first
 
 
-def repeated_windows(texts: list[bytes], owner: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, offset, smallest owner) of each window that occurs more than once in `texts`.
+def window_classes(data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix order of `data` (symbol 0 separates texts), and where along it the first `window`
+    symbols change, for suffixes that have so many before a separator.
 
-    Level n holds the rows of the suffix order whose first n symbols occur more than once, with
-    a class for each such string; extending all of them by the symbol before them (their BWT
-    symbol) gives level n + 1.  Separators (symbol 0) end an extension, so no string spans two
-    texts.
+    Breadth-first backward extension on the transform: the interval of a string w gives, for
+    each symbol c that stands before w, the interval of cw.  The end of that interval is where
+    cw is left, so where no shorter string was left there, the common prefix is as long as w;
+    only such intervals go on (others end where a shorter one did, and so would all that
+    extends them).  Lengths come in increasing order, from the intervals of the first symbols
+    that the sort began with, and the search stops at `window`.
     """
-    none = np.zeros(0, dtype=np.int64)
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    data = np.zeros(int(sizes.sum()) + len(texts), dtype=np.int32)
-    first = np.cumsum(sizes + 1) - sizes - 1
-    which = np.repeat(np.arange(len(texts)), sizes + 1)
-    filled = np.ones(len(data), dtype=bool)
-    filled[first + sizes] = False
-    data[filled] = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    data[filled] += 1
-    order = suffix_order(data, window).astype(np.int32)
-    wide = np.int32 if len(data) < 1 << 22 else np.int64
-    row_of = np.empty(len(order), dtype=np.int32)
-    row_of[order] = np.arange(len(order), dtype=np.int32)
-    bwt = data[order - 1].astype(wide)
+    order, left, size = suffix_order(data, window)
+    n = len(data)
+    left = np.append(left, True)
+    if size >= window:
+        return order, left[:n]
+    bwt = data[order - 1].astype(np.int64)
     bwt[order == 0] = 0
-    back = row_of[order - 1]  # row of the suffix one symbol longer
-    rows = np.flatnonzero(data[order] > 0)
-    cls = data[order[rows]].astype(wide)
-    made = np.zeros(len(data), dtype=wide)
-    for level in range(1, window + 1):
-        new = np.ones(len(cls) + 1, dtype=bool)
-        np.not_equal(cls[1:], cls[:-1], out=new[1 : len(cls)])
-        keep = ~(new[:-1] & new[1:])  # rows that aren't alone
-        rows, new = rows[keep], new[:-1][keep]
-        number = np.cumsum(new, dtype=wide)
-        if level == window or not len(rows):
+    by_symbol, symbol = _by_key(bwt, max(1, n.bit_length()))
+    step = np.empty(n, dtype=np.int64)  # row of the suffix one symbol longer
+    step[by_symbol] = np.arange(n)
+    same = np.zeros(n + 1, dtype=bool)
+    np.equal(symbol[1:], symbol[:-1], out=same[1:n])
+    before, after = np.full(n, -1), np.full(n, n)  # rows with the same symbol
+    before[by_symbol[1:]] = np.where(same[1:n], by_symbol[:-1], -1)
+    after[by_symbol[:-1]] = np.where(same[1:n], by_symbol[1:], n)
+    low = np.flatnonzero(left[:n])
+    high = np.append(low[1:], n) - 1
+    for _ in range(size, window):
+        alone = low == high
+        row = low[alone]
+        row = row[bwt[row] > 0]
+        ends = [step[row]]
+        starts = [ends[0]]
+        low, high = low[~alone], high[~alone]
+        if len(low):
+            many = high - low + 1
+            row = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            low, high = np.repeat(low, many), np.repeat(high, many)
+            open_ = bwt[row] > 0
+            starts.append(np.sort(step[row[open_ & (before[row] < low)]]))
+            ends.append(np.sort(step[row[open_ & (after[row] > high)]]))
+        low, high = np.concatenate(starts), np.concatenate(ends)
+        new = ~left[high + 1]
+        low, high = low[new], high[new]
+        if not len(low):
             break
-        symbol = bwt[rows]
-        open_ = symbol > 0
-        nxt = back[rows[open_]]
-        made[nxt] = symbol[open_] * (len(data) + 1) + number[open_]  # by row: by symbol, then by the class of the rest
-        rows = np.flatnonzero(made)
-        cls = made[rows]
-        made[rows] = 0
-    if not len(rows):
-        return none, none, none
+        left[high + 1] = True
+    return order, left[:n]
+
+
+def repeated_windows(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, owner: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, offset, smallest owner) of each window that occurs more than once in the texts of
+    `sizes` bytes that begin at `first` in `data`, sorted by text and offset."""
+    which = np.repeat(np.arange(len(sizes)), sizes + 1)
+    start = np.cumsum(sizes + 1) - sizes - 1
+    filled = np.ones(len(which), dtype=bool)
+    filled[start + sizes] = False
+    symbols = np.zeros(256, dtype=np.int64)
+    raw = data[(np.arange(len(which)) + np.repeat(first - start, sizes + 1))[filled]]
+    symbols[raw] = 1
+    symbols = np.cumsum(symbols)  # those that occur, from 1 on
+    text = np.zeros(len(which), dtype=np.int64)
+    text[filled] = symbols[raw]
+    order, left = window_classes(text, window)
+    room = np.repeat(start + sizes, sizes + 1) - np.arange(len(which)) >= window
+    rows = np.flatnonzero(room[order])
+    cls = np.cumsum(left)[rows]
+    starts = np.flatnonzero(_changes(cls)) if len(cls) else rows
+    many = np.diff(np.append(starts, len(cls)))
     at = order[rows]
-    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-    least = np.minimum.reduceat(owner[which[at]], starts)
-    least = np.repeat(least, np.diff(np.append(starts, len(rows))))
-    return which[at], at - first[which[at]], least
+    least = np.repeat(np.minimum.reduceat(owner[which[at]], starts), many) if len(rows) else at
+    again = np.repeat(many > 1, many)
+    found = np.zeros(len(which), dtype=bool)
+    low = np.zeros(len(which), dtype=np.int64)
+    found[at[again]] = True
+    low[at[again]] = least[again]
+    at = np.flatnonzero(found)
+    return which[at], at - start[which[at]], low[at]
+
+
+SPANS = "doc long, tag long, start long, end long"
 
 
-SPANS = "doc long, tag long, spans array<struct<start: long, end: long>>"
-_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def _removed(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, begin: np.ndarray, data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """SPANS of the windows of some snippets that are in a smaller document's among them."""
+    text, offset, low = repeated_windows(data, first, sizes, doc)
+    hit = low < doc[text]
+    text, offset = text[hit], offset[hit]
+    start = _changes(text)
+    start[1:] |= offset[1:] > offset[:-1] + WINDOW
+    end = np.append(start[1:], True)[: len(text)]
+    text, lead = text[start], offset[start]
+    columns = (doc[text], tag[text], begin[text] + lead, begin[text] + offset[end] + WINDOW)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "tag", "start", "end"])
 
 
 def _by_transform(found: DataFrame) -> DataFrame:
     """SPANS of the removed windows; each anchor's snippets are in one task, in one transform."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            number: dict[tuple, int] = {}
-            texts, owner, which = [], [], np.empty(len(rows), dtype=np.int64)
-            for i, (a, doc, _, _, _, snippet) in enumerate(rows):
-                k = which[i] = number.setdefault((a, snippet), len(texts))
-                if k == len(texts):
-                    texts.append(snippet)
-                    owner.append(doc)
-                elif doc < owner[k]:
-                    owner[k] = doc
-            owner = np.array(owner, dtype=np.int64)
-            text, offset, low = repeated_windows(texts, owner)
-            order = np.lexsort((offset, text))
-            text, offset, low = text[order], offset[order], low[order]
-            first, last = np.searchsorted(text, np.arange(len(texts))), np.searchsorted(text, np.arange(len(texts)), "right")
-            out: dict[tuple, list] = {}
-            for (_, doc, tag, pos, side, snippet), k in zip(rows, which.tolist(), strict=True):
-                begin = pos - side
-                if owner[k] < doc:
-                    if len(snippet) >= WINDOW:
-                        out.setdefault((doc, tag), []).append((begin, begin + len(snippet)))
-                elif first[k] < last[k]:
-                    hit = offset[first[k] : last[k]][low[first[k] : last[k]] < doc] + begin
-                    out.setdefault((doc, tag), []).extend(_runs(hit, hit + WINDOW))
-            rows_out = [(d, t, [{"start": s, "end": e} for s, e in x]) for (d, t), x in out.items() if x]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows_out], pa.int64()), pa.array([r[1] for r in rows_out], pa.int64()), pa.array([r[2] for r in rows_out], _SPAN)], names=["doc", "tag", "spans"])
+        def done(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size
+            a, doc, tag, begin, sizes = (np.concatenate([h[i] for h in held]) for i in range(5))
+            data = np.concatenate([h[5] for h in held])
+            ends = np.cumsum(sizes)
+            cuts, low = np.append(np.flatnonzero(_changes(a)), len(a)), 0
+            if not last:
+                cuts = cuts[:-1]  # the last anchor may go on
+            while low < cuts[-1]:
+                base = ends[low] - sizes[low]
+                high = int(cuts[min(np.searchsorted(cuts, np.searchsorted(ends, base + TEXT) + 1), len(cuts) - 1)])
+                yield _removed(a[low:high], doc[low:high], tag[low:high], begin[low:high], data, (ends - sizes)[low:high], sizes[low:high])
+                low = high
+            base = int(ends[low - 1]) if low else 0
+            held = [(a[low:], doc[low:], tag[low:], begin[low:], sizes[low:], data[base:])]
+            size = len(data) - base
 
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if held and size >= TEXT and row[0] != held[-1][0]:
-                    yield done(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[5])
+            data, first, sizes = _bytes_of(batch.column(4))
+            if not len(sizes):
+                continue
+            held.append((*(batch.column(i).to_numpy() for i in range(4)), sizes, data[first[0] : first[-1] + sizes[-1]]))
+            size += int(sizes.sum())
+            if size >= 4 * TEXT:
+                yield from done(False)
         if held:
-            yield done(held)
+            yield from done(True)
 
-    rows = found.select("a", "doc", "tag", "pos", "side", "snippet").repartition(F.col("a")).sortWithinPartitions("a")
-    return rows.mapInArrow(run, SPANS)
+    return found.select(*FOUND).repartition("a").sortWithinPartitions("a").mapInArrow(run, SPANS)
 
 
 def _by_window(found: DataFrame) -> DataFrame:
-    """The same for crowded anchors: equal snippets are combined, and their windows grouped."""
+    """The same for anchors with very many snippets of few different windows: equal snippets are
+    combined, and their windows grouped."""
     found = found.withColumn("h", F.xxhash64("snippet"))
     distinct = found.groupBy("a", "h", "snippet").agg(F.min("doc").alias("low")).where(F.octet_length("snippet") >= WINDOW)
     rows = distinct.select("a", "h", "low", "snippet", F.explode(F.sequence(F.lit(0), F.octet_length("snippet") - WINDOW)).alias("offset"))
     rows = rows.select("a", "h", "low", "offset", F.expr(f"substring(snippet, offset + 1, {WINDOW})").alias("w"))
-    least = rows.groupBy("w").agg(F.min("low").alias("m"), F.count("*").alias("n")).select("w", "m")
+    least = rows.groupBy("w").agg(F.min("low").alias("m"))
     least = rows.join(least, "w").groupBy("a", "h").agg(F.collect_list(F.struct("offset", "m")).alias("least"))
-    hits = found.select("a", "h", "doc", "tag", (F.col("pos") - F.col("side")).alias("begin")).join(least, ["a", "h"])
-    spans = F.transform(F.filter("least", lambda x: x["m"] < F.col("doc")), lambda x: F.struct((F.col("begin") + x["offset"]).alias("start"), (F.col("begin") + x["offset"] + WINDOW).alias("end")))
-    return hits.select("doc", "tag", spans.alias("spans")).where(F.size("spans") > 0)
+    hits = found.select("a", "h", "doc", "tag", "begin").join(least, ["a", "h"]).select("doc", "tag", "begin", F.explode("least").alias("x"))
+    start = F.col("begin") + F.col("x.offset")
+    return hits.where(F.col("x.m") < F.col("doc")).select("doc", "tag", start.alias("start"), (start + WINDOW).alias("end"))
+
+
+def _crowded(found: DataFrame) -> DataFrame:
+    """SPANS from the snippets of crowded anchors, cut at longer ones."""
+    parts = materialize(cut_anew(found), "crowded")
+    many = parts.groupBy("a").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("a")
+    return _by_transform(parts.join(many, "a", "left_anti")).unionByName(_by_window(parts.join(many, "a", "left_semi")))
 
 
 def removed_spans(texts: DataFrame) -> DataFrame:
     """doc, tag, spans (array of (start, end), may overlap) from rows (doc, tag, text)."""
-    packed = anchors(texts)
-    met = materialize(shared_anchors(packed, bucket_count(texts)), "anchors")
+    met = materialize(shared_anchors(anchors(texts), bucket_count(texts)), "anchors")
     spans = _by_transform(snippets(met.where((F.col("end") < 0) & ~F.col("crowd")), texts))
     if met.where("crowd").head(1):
-        spans = spans.unionByName(_by_window(snippets(met.where((F.col("end") < 0) & F.col("crowd")), texts)))
-    resolved = met.where(F.col("end") >= 0).select("doc", "tag", F.array(F.struct(F.col("pos").alias("start"), "end")).alias("spans"))
-    return spans.unionByName(resolved).groupBy("doc", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        spans = spans.unionByName(_crowded(snippets(met.where((F.col("end") < 0) & F.col("crowd")), texts)))
+    resolved = met.where(F.col("end") >= 0).select("doc", "tag", F.col("pos").alias("start"), "end")
+    return spans.unionByName(resolved).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

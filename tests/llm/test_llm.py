@@ -631,14 +631,31 @@ def brute_repeats(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize(("crowd", "text", "block"), [(5000, 2 << 20, 1 << 20), (2, 2 << 20, 1 << 20), (5000, 300, 900), (3, 300, 900)])
-def test_repeats_are_removed(docs, docs_rows, monkeypatch, crowd, text, block):
-    monkeypatch.setattr(substrings, "CROWD", crowd)
-    monkeypatch.setattr(substrings, "TEXT", text)
-    monkeypatch.setattr(substrings, "BLOCK", block)
+@pytest.mark.parametrize(("crowd", "text", "block", "fold"), [(4096, 1 << 19, 1 << 18, 1 << 21), (2, 1 << 19, 1 << 18, 1), (4096, 300, 900, 50), (3, 300, 900, 200), (0, 1 << 19, 900, 1000)])
+def test_repeats_are_removed(docs, docs_rows, monkeypatch, crowd, text, block, fold):
+    for name, value in (("CROWD", crowd), ("TEXT", text), ("BLOCK", block), ("FOLD", fold)):
+        monkeypatch.setattr(substrings, name, value)
     assert got(substrings.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_repeats(docs_rows)
 
 
+def test_hot_anchor_and_ids_at_shipped_settings(spark):
+    """A phrase with 9,000 different surroundings, a passage in 3,000 documents, 5,000 rows without
+    an id and 2,000 with the same one."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    phrase, passage = "and so on, for all that we know of it, ", " ".join(word() for _ in range(30))
+    rows = []
+    for i in range(9000):
+        middle = rng.choice(["", passage]) if i % 3 == 0 else ""
+        text = f"{word()} {word()} {phrase}{word()} {word()} {middle} {word()}"
+        rows.append((None if i < 5000 else 7 if i < 7000 else i, text if i % 10 else rows[rng.randrange(i)][1] + word() if i else text))
+    rng.shuffle(rows)
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = brute_repeats(rows)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+    assert sum(n for k, n in want.items() if k[2]) > 1000
+
+
 def test_repeats_in_periodic_texts(spark):
     rng, rows = random.Random(7), []
     for i in range(60):
@@ -673,7 +690,8 @@ def test_windows_by_transform():
                 count[w] += 1
                 least[w] = min(least.get(w, o), o)
         want = {(k, i): least[t[i : i + window]] for k, t in enumerate(texts) for i in range(len(t) - window + 1) if count[t[i : i + window]] > 1}
-        text, offset, low = substrings.repeated_windows(texts, owner, window)
+        sizes = np.array([len(x) for x in texts])
+        text, offset, low = substrings.repeated_windows(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes, owner, window)
         assert dict(zip(zip(text.tolist(), offset.tolist(), strict=True), low.tolist(), strict=True)) == want
 
 
