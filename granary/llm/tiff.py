@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 # Fixed values of the format: compression schemes and tags.
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_AT, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES = 256, 257, 258, 259, 262, 273, 277, 278, 279
-PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_AT, TILE_BYTES = 317, 322, 323, 324, 325
+PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_AT, TILE_BYTES = 284, 317, 322, 323, 324, 325
 
 #: Width of a stored payload in pixels, rows of a page, rows of a strip, side of a tile.
 PAGE_WIDTH, PAGE_ROWS, STRIP_ROWS, TILE_SIDE = 64, 1024, 128, 32
-#: Largest payload that is stored with LZW, whose coder is a Python loop.
-LZW_MOST = 4096
 #: Bytes of pixels in an output batch.
 OUT_BYTES = 4 << 20
+#: Most bytes that any scheme makes of one byte: a larger page is a fault of its directory.
+RATIO = 4096
 
 
 @dataclass(frozen=True)
@@ -58,70 +58,60 @@ def packbits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unpackbits(data: bytes) -> bytes:
-    out, at, end = [], 0, len(data)
-    while at < end:
+def unpackbits(data: bytes, most: int) -> bytes:
+    out, at, end, size = [], 0, len(data), 0
+    while at < end and size < most:
         n = data[at]
         if n < 128:
             out.append(data[at + 1 : at + 2 + n])
             at += n + 2
         else:
-            if n > 128:
-                out.append(data[at + 1 : at + 2] * (257 - n))
+            out.append(data[at + 1 : at + 2] * (257 - n) if n > 128 else b"")
             at += 2 if n > 128 else 1
+        size += len(out[-1])
     return b"".join(out)
 
 
-def lzw(data: bytes) -> bytes:
-    """MSB-first codes of 9 to 12 bits, widened one code early, as readers expect."""
-    table = {bytes([i]): i for i in range(256)}
-    bits, filled, out, width, word = 256, 9, bytearray(), 9, b""
-
-    def put(code: int) -> None:
-        nonlocal bits, filled
-        bits = bits << width | code
-        filled += width
-        while filled >= 8:
-            filled -= 8
-            out.append(bits >> filled & 255)
-        bits &= (1 << filled) - 1
-
-    for i in range(len(data)):
-        byte = data[i : i + 1]
-        longer = word + byte
-        if longer in table:
-            word = longer
-            continue
-        put(table[word])
-        table[longer] = len(table) + 2
-        if len(table) + 2 > 4094:
-            put(256)
-            table = {bytes([k]): k for k in range(256)}
-            width = 9
-        elif len(table) + 2 >= 1 << width:
-            width += 1
-        word = byte
-    if word:
-        put(table[word])
-        if len(table) + 3 >= 1 << width and width < 12:
-            width += 1
-    put(257)
-    if filled:
-        out.append(bits << (8 - filled) & 255)
-    return bytes(out)
+def _widths(free: np.ndarray) -> np.ndarray:
+    """Bits of a code that is written when `free` is the next code to be given out."""
+    return 9 + (free >= 512) + (free >= 1024) + (free >= 2048)
 
 
-def unlzw(data: bytes) -> bytes:
-    first = [bytes([i]) for i in range(256)] + [b"", b""]
-    table, out, width, bits, filled, last = first[:], [], 9, 0, 0, None
+def lzw(data: bytes) -> bytes:
+    """MSB-first codes of 9 to 12 bits, widened one code early, as readers expect."""
+    codes, frees, table, free, code = [256], [258], {}, 258, -1
     for byte in data:
-        bits = bits << 8 | byte
-        filled += 8
-        if filled < width:
-            continue
-        filled -= width
-        code = bits >> filled
-        bits &= (1 << filled) - 1
+        key = code << 8 | byte
+        if code < 0:
+            code = byte
+        elif key in table:
+            code = table[key]
+        else:
+            codes.append(code)
+            frees.append(free)
+            table[key], code = free, byte
+            free += 1
+            if free > 4094:
+                codes.append(256)
+                frees.append(free)
+                table, free = {}, 258
+    if code >= 0:
+        codes.append(code)
+        frees.append(free)
+        free += 1
+    codes, width = np.array([*codes, 257]), _widths(np.array([*frees, free]))
+    bits = (codes[:, None] >> np.arange(11, -1, -1)) & 1
+    return np.packbits(bits[np.arange(12) >= 12 - width[:, None]].astype(np.uint8)).tobytes()
+
+
+def unlzw(data: bytes, most: int) -> bytes:
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8).astype(np.int64)
+    words = ((raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]).tolist()
+    table, out, size, width, at, last, end = first[:], [], 0, 9, 0, None, 8 * len(data)
+    while at + width <= end and size < most:
+        code = (words[at >> 3] >> (24 - (at & 7) - width)) & ((1 << width) - 1)
+        at += width
         if code == 257:
             break
         if code == 256:
@@ -131,10 +121,14 @@ def unlzw(data: bytes) -> bytes:
             word = table[code]
         else:
             word = table[code] if code < len(table) else last + last[:1]
+            if code > len(table):
+                raise ValueError("a code before its entry")
             table.append(last + word[:1])
+            if len(table) + 1 >= 1 << width and width < 12:
+                width += 1
         out.append(word)
+        size += len(word)
         last = word
-        width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
     return b"".join(out)
 
 
@@ -142,10 +136,13 @@ def squeeze(data: bytes, compression: int) -> bytes:
     return {NONE: bytes, PACKBITS: packbits, LZW: lzw, DEFLATE: lambda x: zlib.compress(x, 1)}[compression](data)
 
 
-def expand(data: bytes, compression: int) -> bytes:
+def expand(data: bytes, compression: int, most: int) -> bytes:
+    """The bytes of a strip or tile, no more than `most` or little beyond."""
     if compression in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
-    return {NONE: bytes, PACKBITS: unpackbits, LZW: unlzw}[compression](data)
+        return zlib.decompressobj().decompress(data, most)
+    if compression not in (NONE, PACKBITS, LZW):
+        raise ValueError(f"compression {compression} is not read")
+    return data[:most] if compression == NONE else {PACKBITS: unpackbits, LZW: unlzw}[compression](data, most)
 
 
 def _differ(block: np.ndarray) -> np.ndarray:
@@ -205,26 +202,37 @@ def directories(data: bytes) -> Iterator[dict[int, list[int]]]:
             if form:
                 size = struct.calcsize(f"={count}{form}")
                 where = at + 10 + 12 * i if size <= 4 else struct.unpack_from(f"{end}I", data, at + 10 + 12 * i)[0]
+                if where + size > len(data):
+                    raise ValueError(f"values of tag {tag} are beyond the end")
                 tags[tag] = list(struct.unpack_from(f"{end}{count}{form}", data, where))
         yield tags
         (at,) = struct.unpack_from(f"{end}I", data, at + 2 + 12 * n)
 
 
 def decode_page(data: bytes, tags: dict[int, list[int]]) -> np.ndarray:
-    """Rows x columns x samples of a chunky 8-bit page."""
+    """Rows x columns x samples of a chunky 8-bit page.  Sizes are checked against the data
+    before anything is allocated."""
     width, height, samples = tags[WIDTH][0], tags[HEIGHT][0], tags.get(SAMPLES, [1])[0]
-    if set(tags.get(BITS, [1])) != {8}:
-        raise ValueError("only 8-bit samples are read")
+    if set(tags.get(BITS, [1])) != {8} or (samples > 1 and tags.get(PLANAR, [1])[0] != 1):
+        raise ValueError("only 8-bit samples side by side are read")
     compression, differed = tags.get(COMPRESSION, [1])[0], tags.get(PREDICTOR, [1])[0] == 2
     tiled = TILE_AT in tags
+    starts, sizes = (tags[TILE_AT], tags[TILE_BYTES]) if tiled else (tags[STRIP_AT], tags[STRIP_BYTES])
     step_x, step_y = (tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]) if tiled else (width, min(height, tags.get(ROWS_PER_STRIP, [height])[0]))
+    if min(width, height, samples, step_x, step_y) < 1:
+        raise ValueError("a size of zero")
+    across, down = -(-width // step_x), -(-height // step_y)
+    if len(starts) != across * down or len(sizes) != len(starts) or max(a + n for a, n in zip(starts, sizes, strict=True)) > len(data):
+        raise ValueError("strips or tiles don't fit the page or the data")
+    if max(width * height, across * down * step_x * step_y if tiled else 0) * samples > RATIO * (sum(sizes) + 1):
+        raise ValueError("the page is larger than its data can be")
     page = np.zeros((height, width, samples), dtype=np.uint8)
-    across = -(-width // step_x)
-    for i, (at, size) in enumerate(zip(tags[TILE_AT if tiled else STRIP_AT], tags[TILE_BYTES if tiled else STRIP_BYTES], strict=True)):
+    for i, (at, size) in enumerate(zip(starts, sizes, strict=True)):
         y, x = i // across * step_y, i % across * step_x
         rows = step_y if tiled else min(step_y, height - y)
-        raw = expand(data[at : at + size], compression)
-        block = np.frombuffer(raw[: rows * step_x * samples], dtype=np.uint8).reshape(rows, step_x, samples)
+        most = rows * step_x * samples
+        raw = expand(data[at : at + size], compression, most)
+        block = np.frombuffer(raw[:most], dtype=np.uint8).reshape(rows, step_x, samples)
         if differed:
             block = np.cumsum(block, axis=1, dtype=np.uint8)
         page[y : y + rows, x : x + step_x] = block[: height - y, : width - x]
@@ -264,7 +272,7 @@ def pages(media: DataFrame, column: str = "media") -> DataFrame:
                             yield flush(batch, take, rows)
                             take, rows, size = [], [], 0
                     fault = None
-                except (KeyError, ValueError, IndexError, struct.error, zlib.error) as e:
+                except (KeyError, ValueError, IndexError, ArithmeticError, MemoryError, struct.error, zlib.error) as e:
                     fault = f"{type(e).__name__}: {e}"
                 if data is None or fault:
                     rows.append((None, None, None, None, None, None, None, None, fault))
@@ -289,10 +297,7 @@ def store(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             for i, value in enumerate(batch.column(2)):
                 data = (value.as_py() or "").encode()
                 payload = data + b"\0" * (-len(data) % PAGE_WIDTH or (0 if data else PAGE_WIDTH))
-                layout = LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)]
-                if layout.compression == LZW and len(payload) > LZW_MOST:
-                    layout = Layout(DEFLATE, layout.predictor, layout.tiled)
-                done.append((len(data), len(payload), encode(payload, layout)))
+                done.append((len(data), len(payload), encode(payload, LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)])))
                 if sum(len(d[2]) for d in done[-64:]) > OUT_BYTES or i + 1 == batch.num_rows or len(done) >= 1024:
                     part = batch.slice(first, len(done))
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([d[j] for d in done], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.binary())))], names=["row_id", key, "n_bytes", "payload_bytes", "media"])
