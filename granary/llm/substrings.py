@@ -44,7 +44,7 @@ SNIPPET = K + 2 * SIDE
 #: Bytes of anchors that part crowded snippets.
 K_LONG = 40
 #: Bytes of text that anchors are sought in at once, and that one transform is made of.
-BLOCK, TEXT = 1 << 18, 1 << 19
+BLOCK, TEXT = 1 << 18, 1 << 18
 #: Blocks whose anchors are combined before they are dealt out.
 COMBINE = 8
 #: Different snippets of an anchor that one transform takes, and anchors that a task folds at once.
