@@ -6,12 +6,19 @@ log distinct words over log words.  The first two are drawn to a usual value by
 so that very short texts do not stray.  Vectors are whole thousandths; sums of them are exact,
 so reruns agree bit by bit.
 
-Per language and source, a minimum-covariance-determinant estimate: from medians and
-quartiles, concentration steps take the H share of rows with the smallest distances and
-estimate mean and covariance from them again.  A step is one aggregation by group and
-distance bin; running sums along the bins give both the H quantile (as a bin edge) and the
-moments below it, so no task ever sees a whole group.  A row whose squared Mahalanobis
-distance is over CUTOFF is rejected.
+Per language and source, a minimum-covariance-determinant estimate by concentration steps from
+several deterministic starts: the medians and quartiles, the covariance of all rows, that of
+their hyperbolic tangents and that of their directions.  A step takes the H share of rows with
+the smallest distances and estimates mean and covariance from them; after FIRST_STEPS steps the
+BEST starts of smallest determinant go on until the determinant no longer falls.  The smallest
+determinant wins; mean and covariance are then estimated again from all rows within the
+chi-squared quantile of that estimate (reweighting).  A row whose squared Mahalanobis distance
+is over CUTOFF is rejected.
+
+A step is one aggregation by group, start and distance bin; running sums along the bins give
+both the H quantile (as a bin edge, so that equal rows are treated alike) and the moments below
+it, so no task ever sees a whole group: windows run over bins (some thousands at most) and, for
+the medians, over the distinct thousandths of a statistic, whose logarithms span under 40,000.
 """
 
 from __future__ import annotations
@@ -25,12 +32,16 @@ SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 GRAM = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-H, STEPS, CUTOFF = 0.75, 3, 30.0
-#: h / F(chi2 with d + 2 degrees at the h quantile of chi2 with d) for h = 0.75, d = 4.
-CONSISTENCY = 1.487
+H, CUTOFF = 0.75, 30.0
+#: Steps for all starts, starts that go on, steps at most, least fall of the log determinant.
+FIRST_STEPS, BEST, MOST_STEPS, FALL = 2, 2, 30, 1e-4
+#: h / F(chi2 with d + 2 degrees at the h quantile of chi2 with d), d = 4, for h = 0.75 and for
+#: the rows of the reweighted estimate (0.975, whose quantile is WITHIN).
+CONSISTENCY, WITHIN, CONSISTENCY_WITHIN = 1.487, 11.143, 1.0645
 #: Least standard deviation of each statistic, in thousandths: less is not told apart.
 FLOOR = (60.0, 300.0, 300.0, 25.0)
-#: Rows from which a group is estimated; smaller groups of a language are estimated together.
+#: Rows from which a group has an estimate of its own; rows of smaller groups are judged by that
+#: of their language, or, where that has fewer rows, by that of all rows.
 GROUP_MIN = 20
 #: Bins for each doubling of 1 + squared distance.
 BINS = 64
@@ -94,15 +105,43 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
     return out
 
 
-GROUP = ["_lang", "_source", "_pooled"]
+GROUP = ["_lang", "_source", "_level"]
+EACH = [*GROUP, "_start"]
+MEANS = [f"m{j}" for j in range(D)]
+LOWER = [f"l{j}{k}" for j in range(D) for k in range(j + 1)]
+SUMS = ["_n"] + [f"s{j}" for j in range(D)] + [f"p{j}{k}" for j in range(D) for k in range(j + 1)]
 
 
 def _binned(squared: Column) -> Column:
     return F.floor(F.log2(F.lit(1.0) + squared) * BINS).cast("long")
 
 
-def _first_estimate(rows: DataFrame) -> DataFrame:
-    """Median and scale of each statistic per group, from exact counts of its values."""
+def _sums(x: list[Column], names: list[str]) -> list[Column]:
+    """Count, sums and sums of products of whole numbers."""
+    every = [F.count("*")] + [F.sum(v) for v in x] + [F.sum(x[j] * x[k]) for j in range(D) for k in range(j + 1)]
+    return [c.alias(n) for c, n in zip(every, names, strict=True)]
+
+
+def _factor(rows: DataFrame, names: list[str], factor: float, floor: tuple, means: bool = True) -> DataFrame:
+    """`rows` with MEANS and LOWER, the triangle of covariance * `factor` + diag(`floor` squared),
+    from sums called `names`."""
+    n, s, p = names[0], names[1 : D + 1], dict(zip([(j, k) for j in range(D) for k in range(j + 1)], names[D + 1 :], strict=True))
+    mean = [F.col(c) / F.col(n) for c in s]
+    if means:
+        for j in range(D):
+            rows = rows.withColumn(f"m{j}", mean[j])
+    for j in range(D):
+        for k in range(j + 1):
+            spread = (F.col(p[j, k]) / F.col(n) - mean[j] * mean[k]) * factor
+            for i in range(k):
+                spread = spread - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
+            cell = F.sqrt(F.greatest(spread, F.lit(0.0)) + floor[j] ** 2) if j == k else spread / F.col(f"l{k}{k}")
+            rows = rows.withColumn(f"l{j}{k}", cell)
+    return rows
+
+
+def _medians(rows: DataFrame) -> DataFrame:
+    """Median m and scale s of each statistic per group, from exact counts of its values."""
     long = rows.select(*GROUP, F.posexplode(F.array(*X)).alias("_j", "_x")).groupBy(*GROUP, "_j", "_x").agg(F.count("*").alias("_n"))
     per = Window.partitionBy(*GROUP, "_j")
     run = per.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -110,20 +149,35 @@ def _first_estimate(rows: DataFrame) -> DataFrame:
     at = lambda q: F.min(F.when(F.col("_run") >= F.col("_all") * q, F.col("_x")))
     table = long.groupBy(*GROUP, "_j").agg(at(0.5).alias("_m"), ((at(0.75) - at(0.25)) / 1.349).alias("_s"))
     pick = lambda j, c: F.max(F.when(F.col("_j") == j, F.col(c)))
-    cells = []
-    for j in range(D):
-        cells.append(pick(j, "_m").cast("double").alias(f"m{j}"))
-        for k in range(j):
-            cells.append(F.lit(0.0).alias(f"l{j}{k}"))
-        cells.append(F.greatest(pick(j, "_s"), F.lit(FLOOR[j])).alias(f"l{j}{j}"))
-    return table.groupBy(*GROUP).agg(*cells)
+    cells = [pick(j, "_m").cast("double").alias(f"m{j}") for j in range(D)]
+    return table.groupBy(*GROUP).agg(*cells, *[F.greatest(pick(j, "_s"), F.lit(FLOOR[j])).alias(f"s{j}") for j in range(D)])
+
 
+def first_estimates(rows: DataFrame) -> DataFrame:
+    """EACH, MEANS, LOWER of the starts 0 to 3; only their shapes matter for the first step."""
+    middle = materialize(_medians(rows), "medians")
+    both = rows.alias("r").join(middle.alias("e"), _same("r", "e", GROUP))
+    z = [(F.col(f"r.{X[j]}") - F.col(f"e.m{j}")) / F.col(f"e.s{j}") for j in range(D)]
+    length = F.sqrt(sum((v * v for v in z), F.lit(0.0)))
+    whole = lambda v: F.round(v * 1000).cast("long")
+    bent = [whole(F.tanh(v)) for v in z]
+    turned = [F.when(length > 0, whole(v / length)).otherwise(F.lit(0).cast("long")) for v in z]
+    names = {i: [f"_{i}{c}" for c in SUMS] for i in (1, 2, 3)}
+    took = both.select(*[F.col(f"r.{c}") for c in (*GROUP, *X)], *[c.alias(f"_b{j}") for j, c in enumerate(bent)], *[c.alias(f"_t{j}") for j, c in enumerate(turned)])
+    sums = took.groupBy(*GROUP).agg(*[c for i, x in ((1, X), (2, [f"_b{j}" for j in range(D)]), (3, [f"_t{j}" for j in range(D)])) for c in _sums([F.col(v) for v in x], names[i])])
+    out = middle.select(*GROUP, F.lit(0).alias("_start"), *MEANS, *[(F.col(f"s{j}") if j == k else F.lit(0.0)).alias(f"l{j}{k}") for j in range(D) for k in range(j + 1)])
+    out = out.unionByName(_factor(sums, names[1], 1.0, FLOOR).select(*GROUP, F.lit(1).alias("_start"), *MEANS, *LOWER))
+    for i in (2, 3):
+        made = _factor(sums, names[i], 1.0, (30.0,) * D, means=False).alias("r").join(middle.alias("e"), _same("r", "e", GROUP))
+        cells = [(F.col(f"r.l{j}{k}") * F.col(f"e.s{j}") / 1000).alias(f"l{j}{k}") for j in range(D) for k in range(j + 1)]
+        out = out.unionByName(made.select(*[F.col(f"r.{c}") for c in GROUP], F.lit(i).alias("_start"), *[F.col(f"e.{c}") for c in MEANS], *cells))
+    return out
 
-def distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """`rows` with squared Mahalanobis distances `d2`: mean m, lower triangle l of the scatter."""
-    names = [f"m{j}" for j in range(D)] + [f"l{j}{k}" for j in range(D) for k in range(j + 1)]
-    both = rows.alias("r").join(estimate.alias("e"), _same("r", "e", GROUP), "left")
-    out = both.select(*[F.col(f"r.{c}").alias(c) for c in rows.columns], *[F.col(f"e.{c}").alias(c) for c in names])
+
+def distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
+    """`rows` by estimates of their group, with squared Mahalanobis distances `d2` and _start."""
+    both = rows.alias("r").join(estimate.alias("e"), _same("r", "e", GROUP), how)
+    out = both.select(*[F.col(f"r.{c}").alias(c) for c in rows.columns], *[F.col(f"e.{c}").alias(c) for c in ("_start", *MEANS, *LOWER)])
     for j in range(D):
         rest = F.col(X[j]) - F.col(f"m{j}")
         for k in range(j):
@@ -132,66 +186,94 @@ def distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     squared = F.lit(0.0)
     for j in range(D):
         squared = squared + F.col(f"_y{j}") * F.col(f"_y{j}")
-    return out.withColumn("d2", squared).drop(*names, *[f"_y{j}" for j in range(D)])
+    return out.withColumn("d2", squared).drop(*MEANS, *LOWER, *[f"_y{j}" for j in range(D)])
 
 
 def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One concentration step: the estimate from the H share of rows nearest to the last one."""
-    sums = [F.sum(X[j]).alias(f"s{j}") for j in range(D)] + [F.sum(F.col(X[j]) * F.col(X[k])).alias(f"p{j}{k}") for j in range(D) for k in range(j + 1)]
-    named = ["_n"] + [f"s{j}" for j in range(D)] + [f"p{j}{k}" for j in range(D) for k in range(j + 1)]
-    bins = distance(rows, estimate).withColumn("_bin", _binned(F.col("d2"))).groupBy(*GROUP, "_bin").agg(F.count("*").alias("_n"), *sums)
-    per = Window.partitionBy(*GROUP)
+    """One concentration step for each estimate: that of the H share of rows nearest to it, with
+    `size`, the logarithm of its determinant."""
+    bins = distance(rows, estimate).withColumn("_bin", _binned(F.col("d2"))).groupBy(*EACH, "_bin").agg(*_sums([F.col(x) for x in X], SUMS))
+    per = Window.partitionBy(*EACH)
     run = per.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.select(*GROUP, "_bin", F.sum("_n").over(per).alias("_all"), *[F.sum(c).over(run).alias(c) for c in named])
+    bins = bins.select(*EACH, "_bin", F.sum("_n").over(per).alias("_all"), *[F.sum(c).over(run).alias(c) for c in SUMS])
     enough = bins.where(F.col("_n") >= F.col("_all") * H)
-    got = enough.groupBy(*GROUP).agg(F.min_by(F.struct(*named), F.col("_bin")).alias("_t")).select(*GROUP, "_t.*")
-    for j in range(D):
-        got = got.withColumn(f"m{j}", F.col(f"s{j}") / F.col("_n"))
-    for j in range(D):
-        for k in range(j + 1):
-            spread = (F.col(f"p{j}{k}") / F.col("_n") - F.col(f"m{j}") * F.col(f"m{k}")) * CONSISTENCY
-            for i in range(k):
-                spread = spread - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
-            cell = F.sqrt(F.greatest(spread, F.lit(0.0)) + FLOOR[j] ** 2) if j == k else spread / F.col(f"l{k}{k}")
-            got = got.withColumn(f"l{j}{k}", cell)
-    return got.select(*GROUP, *[f"m{j}" for j in range(D)], *[f"l{j}{k}" for j in range(D) for k in range(j + 1)])
+    got = enough.groupBy(*EACH).agg(F.min_by(F.struct(*SUMS), F.col("_bin")).alias("_t")).select(*EACH, "_t.*")
+    size = sum((F.log(F.col(f"l{j}{j}")) * 2 for j in range(D)), F.lit(0.0))
+    return _factor(got, SUMS, CONSISTENCY, FLOOR).select(*EACH, *MEANS, *LOWER, size.alias("size"))
+
+
+def smallest_determinant(rows: DataFrame) -> DataFrame:
+    """GROUP, _start, MEANS, LOWER: the estimate of smallest determinant of each group."""
+    now = materialize(first_estimates(rows), "estimate")
+    for _ in range(FIRST_STEPS):
+        now = materialize(concentrate(rows, now), "estimate")
+    rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy("size", "_start"))  # four rows a group
+    now = now.withColumn("_rank", rank).where(F.col("_rank") <= BEST).drop("_rank").withColumn("_on", F.lit(True))
+    cells = [*MEANS, *LOWER, "size"]
+    for _ in range(MOST_STEPS):
+        now = materialize(now, "estimate")
+        if not now.where("_on").head(1):
+            break
+        new = concentrate(rows, now.where("_on"))
+        both = now.alias("r").join(new.alias("e"), _same("r", "e", EACH), "left")
+        falls = F.coalesce(F.col("e.size") < F.col("r.size") - FALL, F.lit(False))
+        now = both.select(*[F.col(f"r.{c}").alias(c) for c in EACH], *[F.when(falls, F.col(f"e.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in cells], falls.alias("_on"))
+    best = now.groupBy(*GROUP).agg(F.min_by(F.struct("_start", *MEANS, *LOWER), F.struct("size", "_start")).alias("_t"))
+    return best.select(*GROUP, "_t.*")
+
+
+def reweighted(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """The estimate from all rows within the chi-squared quantile of `estimate`."""
+    near = distance(rows, estimate).where(F.col("d2") <= WITHIN).groupBy(*EACH).agg(*_sums([F.col(x) for x in X], SUMS))
+    made = _factor(near, SUMS, CONSISTENCY_WITHIN, FLOOR).alias("e")
+    both = estimate.alias("r").join(made, _same("r", "e", EACH), "left")
+    return both.select(*[F.col(f"r.{c}").alias(c) for c in EACH], *[F.coalesce(F.col(f"e.{c}"), F.col(f"r.{c}")).alias(c) for c in (*MEANS, *LOWER)])
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
-    """doc_id, text_hash, BASE, base_failed, d2, kept; a row per input row.
+    """doc_id, text_hash, lang, source, BASE, base_failed, d2, kept; a row per input row.
 
-    A null or empty text has no words and fails the base rules.  Null languages and sources are
-    values of their own.  Groups under GROUP_MIN rows are estimated together per language; if
-    that is still under GROUP_MIN rows, they are kept (d2 null).  Repeated rows count as often
-    as they occur.  Other columns are not carried; clashing names don't matter.
+    A null or empty text has no words and fails the base rules (d2 null).  Null languages and
+    sources are values of their own.  Rows of groups under GROUP_MIN rows are judged by the
+    estimate over all rows of their language, where that is under GROUP_MIN rows too by the
+    one over all rows, however few: a least spread is part of every covariance.  Repeated rows
+    count as often as they occur.  Other columns are not carried; clashing names don't matter.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(lang).alias("_lang"), F.col(source).alias("_from"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     counted = text_counts(rows)
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     counted = materialize(counted.withColumn("base_failed", failed).select("doc_id", "_lang", "_from", "text_hash", *BASE, "base_failed", *vector()), "statistics")
     sizes = counted.where(~F.col("base_failed")).groupBy("_lang", "_from").agg(F.count("*").alias("_n"))
-    small = F.sum(F.when(F.col("_n") < GROUP_MIN, F.col("_n")).otherwise(0)).over(Window.partitionBy("_lang"))
-    sizes = sizes.withColumn("_pooled", F.col("_n") < GROUP_MIN).withColumn("_rows", F.when(F.col("_pooled"), small).otherwise(F.col("_n")))
-    sized = counted.alias("r").join(sizes.alias("e"), _same("r", "e", ["_lang", "_from"]), "left")
-    sized = sized.select("r.*", F.coalesce("e._pooled", F.lit(True)).alias("_pooled"), F.coalesce("e._rows", F.lit(0)).alias("_rows"))
-    sized = sized.withColumn("_source", F.when(~F.col("_pooled"), F.col("_from")))
-    used = sized.where(~F.col("base_failed") & (F.col("_rows") >= GROUP_MIN)).select(*GROUP, *X)
-    estimate = materialize(_first_estimate(used), "estimate")
-    for _ in range(STEPS):
-        estimate = materialize(concentrate(used, estimate), "estimate")
-    judged = distance(sized, estimate)
-    d2 = F.when(~F.col("base_failed") & (F.col("_rows") >= GROUP_MIN), F.col("d2"))
-    kept = ~F.col("base_failed") & (F.coalesce(d2, F.lit(0.0)) <= cutoff)
-    return judged.select("doc_id", "text_hash", *BASE, "base_failed", d2.alias("d2"), kept.alias("kept"))
-
-
-def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    of_lang = F.sum("_n").over(Window.partitionBy("_lang"))
+    level = F.when(F.col("_n") >= GROUP_MIN, 0).when(of_lang >= GROUP_MIN, 1).otherwise(2)
+    sizes = sizes.withColumn("_level", level)
+    by_lang = F.max(F.when(F.col("_level") == 1, True).otherwise(False)).over(Window.partitionBy("_lang"))
+    by_all = sizes.agg(F.max(F.col("_level") == 2).alias("_by_all"))
+    sizes = materialize(sizes.withColumn("_by_lang", by_lang).crossJoin(F.broadcast(by_all)), "sizes")  # one row more
+    good = counted.where(~F.col("base_failed"))
+    sized = good.alias("r").join(sizes.alias("e"), _same("r", "e", ["_lang", "_from"]))
+    sized = sized.select("r.*", "e._level", "e._by_lang", "e._by_all")
+    own = lambda n: F.struct(F.when(F.lit(n < 2), F.col("_lang")).alias("_lang"), F.when(F.lit(n < 1), F.col("_from")).alias("_source"), F.lit(n).alias("_level"))
+    part = [F.when(F.col("_level") == 0, own(0)), F.when(F.col("_by_lang"), own(1)), F.when(F.col("_by_all"), own(2))]
+    used = sized.select(F.explode(F.array_compact(F.array(*part))).alias("_g"), *X).select("_g.*", *X)
+    estimate = materialize(smallest_determinant(used), "estimate")
+    estimate = materialize(reweighted(used, estimate), "estimate")
+    mine = F.when(F.col("_level") == 0, own(0)).when(F.col("_level") == 1, own(1)).otherwise(own(2))
+    hers = [F.col("_lang").alias("lang"), F.col("_from").alias("source")]
+    judged = sized.select("doc_id", "text_hash", *hers, *BASE, "base_failed", *X, mine.alias("_g")).select("*", "_g._lang", "_g._source", "_g._level").drop("_g")
+    judged = distance(judged, estimate, "left")
+    names = ["doc_id", "text_hash", "lang", "source", *BASE, "base_failed"]
+    out = judged.select(*names, "d2", (F.col("d2") <= cutoff).alias("kept"))
+    return out.unionByName(counted.where("base_failed").select("doc_id", "text_hash", *hers, *BASE, "base_failed", F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept")))
+
+
+def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
     """The rows of `docs` that `judge` keeps, with their columns.
 
-    A rejected row is known by key, text, language and source hash; rows equal in these are
+    A rejected row is known by key, text hash, language and source; rows equal in these are
     judged alike.
     """
-    judged = judge(docs, key, text, **options)
-    bad = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_text"))
-    return rows.join(bad, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")), "left_anti").select("row.*")
+    judged = judge(docs, key, text, lang, source, cutoff)
+    bad = judged.where(~F.col("kept")).select("doc_id", "text_hash", "lang", "source").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    return rows.alias("r").join(bad.alias("e"), _same("r", "e", ["doc_id", "text_hash", "lang", "source"]), "left_anti").select("row.*")

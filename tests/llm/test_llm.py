@@ -244,36 +244,77 @@ def test_quality_counts(spark, docs, docs_rows):
     assert got(out, "doc_id", *quality.BASE, "base_failed") == want
 
 
+def mcd_steps(x, mean, inverse):
+    """Mean, inverse covariance and log determinant of the nearest H share, by bins."""
+    dist = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+    bins = np.floor(np.log2(1 + dist) * quality.BINS)
+    sub = x[bins <= np.sort(bins)[int(np.ceil(len(x) * quality.H)) - 1]]
+    cov = np.cov(sub.T, bias=True) * quality.CONSISTENCY + np.diag(np.array(quality.FLOOR) ** 2)
+    return sub.mean(axis=0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+
+def mcd(x):
+    """Mean, inverse covariance and log determinant of the raw estimate, from plain numpy."""
+    ordered, n, floor = np.sort(x, axis=0), len(x), np.array(quality.FLOOR)
+    q = lambda p: ordered[int(np.ceil(n * p)) - 1]
+    median, scale = q(0.5), np.maximum((q(0.75) - q(0.25)) / 1.349, floor)
+    z = (x - median) / scale
+    length = np.sqrt((z * z).sum(axis=1, keepdims=True))
+    whole = lambda v: np.floor(np.abs(v * 1000) + 0.5) * np.sign(v)
+    starts = [(median, np.diag(scale**2)), (x.mean(axis=0), np.cov(x.T, bias=True) + np.diag(floor**2))]
+    for u in (whole(np.tanh(z)), whole(np.divide(z, length, out=np.zeros_like(z), where=length > 0))):
+        starts.append((median, (np.cov(u.T, bias=True) + 900 * np.eye(4)) * np.outer(scale, scale) / 1e6))
+    now = []
+    for mean, cov in starts:
+        state = mean, np.linalg.inv(cov), None
+        for _ in range(quality.FIRST_STEPS):
+            state = mcd_steps(x, *state[:2])
+        now.append(state)
+    best = []
+    for state in sorted(now, key=lambda s: s[2])[: quality.BEST]:
+        while (new := mcd_steps(x, *state[:2]))[2] < state[2] - quality.FALL:
+            state = new
+        best.append(state)
+    return min(best, key=lambda s: s[2])
+
+
 def brute_mcd(rows):
-    """The estimate by plain numpy from (lang, source) groups of vectors."""
+    """Distances from plain numpy, of rows ((lang, source), number, vector)."""
+    sizes, langs = Counter(k for k, _, _ in rows), Counter(k[0] for k, _, _ in rows)
+    level = lambda k: 0 if sizes[k] >= quality.GROUP_MIN else 1 if langs[k[0]] >= quality.GROUP_MIN else 2
     d2 = {}
-    sizes = Counter(k for k, _, _ in rows)
-    pooled = Counter()
-    for k, n in sizes.items():
-        if n < quality.GROUP_MIN:
-            pooled[k[0]] += n
-    groups = defaultdict(list)
-    for k, i, x in rows:
-        groups[k if sizes[k] >= quality.GROUP_MIN else (k[0], "pooled")].append((i, x))
-    for k, members in groups.items():
-        if len(members) < quality.GROUP_MIN:
-            continue
-        x = np.array([m[1] for m in members], dtype=float)
-        ordered, n = np.sort(x, axis=0), len(x)
-        q = lambda p: ordered[int(np.ceil(n * p)) - 1]
-        mean, scale = q(0.5), np.maximum((q(0.75) - q(0.25)) / 1.349, quality.FLOOR)
-        dist = (((x - mean) / scale) ** 2).sum(axis=1)
-        for _ in range(quality.STEPS):
-            bins = np.floor(np.log2(1 + dist) * quality.BINS)
-            edge = np.sort(bins)[int(np.ceil(n * quality.H)) - 1]
-            sub = x[bins <= edge]
-            mean = sub.mean(axis=0)
-            cov = np.cov(sub.T, bias=True) * quality.CONSISTENCY + np.diag(np.array(quality.FLOOR) ** 2)
-            dist = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
-        d2.update({i: v for (i, _), v in zip(members, dist, strict=True)})
+    for own in {(*k, 0) if level(k) == 0 else (k[0], None, 1) if level(k) == 1 else (None, None, 2) for k in sizes}:
+        x = np.array([v for k, _, v in rows if own[2] == 2 or k[0] == own[0] and (own[2] == 1 or k[1] == own[1])], dtype=float)
+        mean, inverse, _ = mcd(x)
+        dist = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+        near = x[dist <= quality.WITHIN]
+        mean = near.mean(axis=0)
+        inverse = np.linalg.inv(np.cov(near.T, bias=True) * quality.CONSISTENCY_WITHIN + np.diag(np.array(quality.FLOOR) ** 2))
+        for k, i, v in rows:
+            if level(k) == own[2] and (own[2] == 2 or k[0] == own[0]) and (own[2] > 0 or k[1] == own[1]):
+                d2[i] = float((v - mean) @ inverse @ (v - mean))
     return d2
 
 
+def test_the_estimate_has_the_smallest_determinant_of_all_subsets():
+    """Against all subsets of twelve rows, a quarter of them far away."""
+    from itertools import combinations
+
+    rng, found = np.random.default_rng(17), 0
+    for _ in range(20):
+        x = np.round(rng.normal(0, [90, 400, 350, 60], (12, 4)))
+        x[:3] += rng.normal([2000, -3000, 2500, 900], 100, (3, 4))
+        h = int(np.ceil(12 * quality.H))
+        floor = np.diag(np.array(quality.FLOOR) ** 2)
+        every = [(np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) * quality.CONSISTENCY + floor)[1], c) for c in combinations(range(12), h)]
+        least, rows = min(every)
+        mean, inverse, size = mcd(x)
+        assert size >= least - 1e-9
+        found += abs(size - least) < 1e-9
+        assert np.argsort(np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean))[-3:].max() < 3 or size > least
+    assert found >= 16
+
+
 def test_outliers_are_those_of_brute_force(docs, docs_rows):
     rows = []
     for i, r in enumerate(docs_rows):
@@ -283,7 +324,7 @@ def test_outliers_are_those_of_brute_force(docs, docs_rows):
         letters, distinct = sum(c.isalpha() for c in r[1]), len(set(WORD.findall(r[1])))
         half = lambda v: int(np.floor(abs(v) + 0.5) * np.sign(v))
         x = [np.log((chars + 50) / (n + 10)), np.log((chars - letters + 2) / (chars + 60)), np.log2(1 + 10 * symbols / n), np.log(distinct) / np.log(n)]
-        rows.append(((r[2], r[3]), i, [half(v * 1000) for v in x]))
+        rows.append(((r[2], r[3]), i, np.array([half(v * 1000) for v in x], dtype=float)))
     want = brute_mcd(rows)
     by_key = defaultdict(list)
     for i, r in enumerate(docs_rows):
@@ -293,12 +334,25 @@ def test_outliers_are_those_of_brute_force(docs, docs_rows):
     judged = defaultdict(list)
     for r in out:
         judged[r["doc_id"]].append(r["d2"])
+        assert (r["d2"] is None) == r["base_failed"] and r["kept"] == (r["d2"] is not None and r["d2"] <= quality.CUTOFF)
     for k, d in by_key.items():
         fill = lambda v: sorted(-1.0 if x is None else x for x in v)
         assert np.allclose(fill(d), fill(judged[k]), rtol=1e-6, atol=1e-6), k
     assert any(v is not None and v > quality.CUTOFF for d in by_key.values() for v in d)
 
 
+def test_one_text_in_two_groups_has_two_verdicts(spark):
+    """Rows of equal key and text, an outlier in one source only."""
+    rng = random.Random(41)
+    plain = [(i, prose(rng, "en", 60), "en", "a") for i in range(60)]
+    odd = [(100 + i, " ".join(w + "#$%" for w in prose(rng, "en", 60).split()), "en", "b") for i in range(60)]
+    both = [(500, odd[0][1], "en", "a"), (500, odd[0][1], "en", "b")]
+    df = spark.createDataFrame(plain + odd + both, "doc_id long, text string, lang string, source string")
+    verdict = {(r["doc_id"], r["source"]): r["kept"] for r in quality.judge(df).collect()}
+    assert not verdict[500, "a"] and verdict[500, "b"]
+    assert [r["source"] for r in quality.keep_good(df).where("doc_id = 500").collect()] == ["b"]
+
+
 def test_keep_good_keeps_columns(docs, no_docs):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns
@@ -572,16 +626,43 @@ def test_tiff_round_trip(layout, size):
     assert b"".join(p.tobytes() for p in found) == payload
 
 
+def plain_lzw(data):
+    """Codes as text of bits, by a table of strings."""
+    table, bits, word, width = {bytes([i]): i for i in range(256)}, "100000000", b"", 9
+    free = 258
+    for i in range(len(data)):
+        byte = data[i : i + 1]
+        if word + byte in table:
+            word += byte
+            continue
+        bits += format(table[word], f"0{width}b")
+        table[word + byte] = free
+        free += 1
+        word = byte
+        if free == 4095:
+            bits += format(256, "012b")
+            table, free, width = {bytes([i]): i for i in range(256)}, 258, 9
+        elif free in (512, 1024, 2048):
+            width += 1
+    if word:
+        bits += format(table[word], f"0{width}b")
+        width += free + 1 in (512, 1024, 2048)
+    bits += format(257, f"0{width}b")
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+
+
 def test_codecs():
     rng = random.Random(6)
     for _ in range(60):
         n = rng.choice([0, 1, 2, 127, 128, 129, 400, 9000])
         data = bytes(rng.randrange(rng.choice([1, 2, 256])) for _ in range(n))
-        assert tiff.unpackbits(tiff.packbits(data)) == data
-        assert tiff.unlzw(tiff.lzw(data)) == data
+        assert tiff.unpackbits(tiff.packbits(data), n) == data
+        assert tiff.unlzw(tiff.lzw(data), n) == data == tiff.unlzw(plain_lzw(data), n)
+        assert tiff.lzw(data) == plain_lzw(data)
     data = bytes(rng.randrange(256) for _ in range(60000))
-    assert tiff.unlzw(tiff.lzw(data)) == data
-    assert tiff.unpackbits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])).hex() == "aaaaaa80002aaaaaaaaa80002a22aaaaaaaaaaaaaaaaaaaa"
+    assert tiff.unlzw(tiff.lzw(data), len(data)) == data and tiff.lzw(data) == plain_lzw(data)
+    assert tiff.unpackbits(bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA]), 99).hex() == "aaaaaa80002aaaaaaaaa80002a22aaaaaaaaaaaaaaaaaaaa"
 
 
 def test_big_endian_rgb_and_broken_files(spark):
@@ -597,6 +678,56 @@ def test_big_endian_rgb_and_broken_files(spark):
     assert all(out[i, None]["error"] for i in (2, 4, 5)) and out[3, None]["error"] is None
 
 
+def test_no_fault_of_a_directory_ends_the_job(spark):
+    """Every field of every entry of the directory, and every byte of the head, set to bad values."""
+    import struct
+
+    files = []
+    for layout in tiff.LAYOUTS[::2] + (tiff.Layout(tiff.NONE, True, True),):
+        good = tiff.encode(bytes(range(256)) * 4, layout)
+        (at,) = struct.unpack_from("<I", good, 4)
+        (n,) = struct.unpack_from("<H", good, at)
+        for i in range(n):
+            for where, form in ((0, "H"), (2, "H"), (4, "I"), (8, "I")):
+                for bad in (0, 1, 3, 0x7FFF, 0xFFFF, *((0x7FFFFFFF, 0xFFFFFFFF) if form == "I" else ())):
+                    data = bytearray(good)
+                    struct.pack_into(f"<{form}", data, at + 2 + 12 * i + where, bad)
+                    files.append(bytes(data))
+        files += [good[:k] for k in range(0, len(good), 7)]
+        files += [good[:k] + bytes([good[k] ^ 0x55]) + good[k + 1 :] for k in range(0, len(good), 5)]
+        files.append(good)
+    rows = [(i, f) for i, f in enumerate(files)]
+    out = defaultdict(list)
+    for r in tiff.pages(spark.createDataFrame(rows, "id int, media binary")).collect():
+        out[r["id"]].append(r)
+    assert sorted(out) == list(range(len(files)))
+    assert all((r["page"] is None) != (r["error"] is None) for x in out.values() for r in x)
+    assert [len(bytes(r["pixels"])) for r in out[len(files) - 1]] == [1024]
+
+
+def plain_feature(payload):
+    """The feature string by counting."""
+    import math
+
+    n, many = len(payload), Counter(payload)
+    mean = sum(payload) / n
+    spread = math.sqrt(max(0.0, sum(k * k * c for k, c in many.items()) / n - mean * mean))
+    entropy = -sum(c / n * math.log2(c / n) for c in many.values()) + 0.0
+    mode = min(k for k, c in many.items() if c == max(many.values()))
+    return f"mean={mean:.4f};std={spread:.4f};entropy={entropy:.4f};levels={len(many)};mode={mode}"
+
+
+def test_media_and_features_are_those_of_the_payload(docs, docs_rows):
+    want = Counter()
+    for r in docs_rows:
+        t = (r[1] or "").encode()
+        p = t + b"\0" * (-len(t) % 64 or (0 if t else 64))
+        media = tiff.encode(p, tiff.LAYOUTS[zlib.crc32(p) % 8])
+        want[r[0], len(media), hashlib.sha256(media).hexdigest(), plain_feature(p)] += 1
+        assert int.from_bytes(media[-4:], "little") == 0 and media[:4] == b"II*\0"
+    assert got(tiff.stored_and_read(docs), "doc_id", "media_bytes", "media_sha256", "feature") == want
+
+
 def test_stored_texts_read_back(docs, docs_rows, no_docs):
     want = Counter()
     for r in docs_rows:
