@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import slug_hy, slug_us
 
-from .relational import mode_by, rank_rows, small
+from .relational import mode_by, rank_rows
 from .rules import ranked_rules
 
 
 def apply_alias(df: DataFrame, alias: DataFrame, col: str = "brand", out: str = "brand_canonical") -> DataFrame:
     """Canonical name by (alias, canonical), matched lowered and trimmed; unknown names stay."""
     one = alias.groupBy(F.lower(F.trim("alias")).alias("_alias")).agg(F.min("canonical").alias("_canonical"))
-    joined = df.join(small(one), F.lower(F.trim(F.col(col))) == F.col("_alias"), "left")
+    joined = df.join(one, F.lower(F.trim(F.col(col))) == F.col("_alias"), "left")
     return joined.withColumn(out, F.coalesce("_canonical", F.col(col))).drop("_alias", "_canonical")
 
 
@@ -24,7 +24,7 @@ def apply_alias_phrase(df: DataFrame, key: str, alias: DataFrame, phrases: DataF
     """Alias first, then the first phrase (ord, phrase, canonical) that the lowered name
     contains, else the name trimmed with its first letters in capitals."""
     one = alias.groupBy(F.lower(F.trim("alias")).alias("_alias")).agg(F.min("canonical").alias("_by_alias"))
-    step = df.join(small(one), F.lower(F.trim(F.col(col))) == F.col("_alias"), "left").drop("_alias")
+    step = df.join(one, F.lower(F.trim(F.col(col))) == F.col("_alias"), "left").drop("_alias")
     found = ranked_rules(step, key, phrases.select("ord", "phrase", F.col("canonical").alias("_by_phrase")), lambda: F.contains(F.lower(F.col(col)), F.col("phrase")), [F.col("ord")], ["_by_phrase"])
     return found.withColumn(out, F.coalesce("_by_alias", "_by_phrase", F.initcap(F.trim(F.col(col))))).drop("_by_alias", "_by_phrase")
 
@@ -36,7 +36,7 @@ def build_aliases(canon: DataFrame, observed: DataFrame) -> DataFrame:
     tiers = (("exact", lambda c: c), ("lowered", lambda c: F.lower(F.trim(c))), ("slug", slug_hy))
     for how, make in tiers:
         side = canon.groupBy(make(F.col("canonical")).alias(f"_{how}")).agg(F.min("canonical").alias(f"_c_{how}"))
-        names = names.join(small(side), make(F.col("observed")) == F.col(f"_{how}"), "left")
+        names = names.join(side, make(F.col("observed")) == F.col(f"_{how}"), "left")
     found = F.coalesce(*[F.col(f"_c_{h}") for h, _ in tiers])
     how = F.when(F.col("_c_exact").isNotNull(), "exact").when(F.col("_c_lowered").isNotNull(), "lowered").when(F.col("_c_slug").isNotNull(), "slug").otherwise("unmapped")
     return names.select("observed", found.alias("canonical"), how.alias("how"))
@@ -82,7 +82,7 @@ def split_guards(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     that aren't slugs, and brands whose spellings differ; then one row for all."""
     low = F.lower(F.trim("brand"))
     frag = df.select(key, low.alias("_b"), F.lower("product_name").alias("_n"))
-    split = frag.join(small(rules.select(F.lower("source_brand").alias("_b"), F.lower("prefix").alias("_p"))), "_b").where(F.startswith("_n", F.concat("_p", F.lit(" "))))
+    split = frag.join(rules.select(F.lower("source_brand").alias("_b"), F.lower("prefix").alias("_p")), "_b").where(F.startswith("_n", F.concat("_p", F.lit(" "))))
     spell = df.groupBy(slug_hy(F.col("brand")).alias("s")).agg(F.countDistinct("brand").alias("k")).where("k > 1")
     one = df.agg(F.count_if(F.startswith(F.lower("product_name"), F.concat(low, F.lit(" ")))).alias("repeated"), F.count_if(F.coalesce(F.trim("brand"), F.lit("")) == "").alias("blank"), F.count_if(F.regexp_like(slug_us(F.col("brand")), F.lit("[^a-z0-9_]"))).alias("bad_slug"))
     counts = split.agg(F.count("*").alias("split")).crossJoin(one).crossJoin(spell.agg(F.count("*").alias("spellings")))
@@ -125,7 +125,7 @@ def clean_names(df: DataFrame, key: str, rules: DataFrame, min_confidence: float
 def brand_audit(df: DataFrame, key: str, canon: DataFrame, n: int, slug: Column | None = None) -> DataFrame:
     """Rows of each canonical slug and its first n witnesses by key."""
     made = df.select(F.col(key).alias("id"), (slug if slug is not None else slug_hy(F.col("brand"))).alias("slug"))
-    joined = made.join(small(canon.select("slug")), "slug")
+    joined = made.join(canon.select("slug"), "slug")
     top = rank_rows(joined, ["slug"], [F.col("id")]).where(F.col("rank") <= n).groupBy("slug").agg(F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), ",").alias("witnesses"))
     counts = joined.groupBy("slug").agg(F.count("*").alias("n"))
     return counts.join(top, "slug")

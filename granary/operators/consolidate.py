@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import best_per, small, union_sources
+from .relational import best_per, block_pairs, of_rows, rank_rows, union_sources
 
 
 def canonicalize(sources: Sequence[DataFrame], key: str, order: Sequence[Column], provenance: Sequence[str], fill: Sequence[str] = (), union: Sequence[str] = ()) -> DataFrame:
@@ -43,13 +43,13 @@ def publish(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 def environment(df: DataFrame, allow: DataFrame, key: str, statuses: Sequence[str], keep_missing: bool = False) -> DataFrame:
     """Rows whose key has one of the statuses; with `keep_missing`, also those without one."""
-    joined = df.join(small(allow.select(key, F.col("status").alias("_status"))), key, "left")
+    joined = df.join(allow.select(key, F.col("status").alias("_status")), key, "left")
     test = F.col("_status").isin(list(statuses))
     return joined.where(F.coalesce(test, F.lit(keep_missing))).drop("_status")
 
 
 def label_environment(df: DataFrame, allow: DataFrame, key: str) -> DataFrame:
-    joined = df.join(small(allow.select(key, F.col("status").alias("_status"))), key, "left")
+    joined = df.join(allow.select(key, F.col("status").alias("_status")), key, "left")
     name = F.when(F.col("_status") == "ACTIVE", "prod").when(F.col("_status") == "PENDING", "preview").when(F.col("_status").isNull(), "unlisted").otherwise("held")
     return joined.withColumn("environment", name).drop("_status")
 
@@ -81,14 +81,21 @@ def similar_to(df: DataFrame, key: str, value: object, weights: Mapping[str, flo
 
 
 def similar_all(df: DataFrame, key: str, block: str, weights: Mapping[str, float], k: int) -> DataFrame:
-    """The same for every row at once, within blocks."""
-    a = df.select(block, F.col(key).alias("id"), *[F.col(c).alias(f"_a_{c}") for c in weights])
-    b = df.select(block, F.col(key).alias("other"), *[F.col(c).alias(f"_b_{c}") for c in weights])
-    total = reduce(lambda x, y: x + y, [F.when(F.col(f"_a_{c}") == F.col(f"_b_{c}"), F.lit(w)).otherwise(F.lit(w * 0)) for c, w in weights.items()])
-    pairs = a.join(b, block).where(F.col("id") != F.col("other")).select("id", "other", total.alias("similarity"))
-    from .relational import rank_rows
-
-    return rank_rows(pairs, ["id"], [F.desc("similarity"), F.asc("other")]).where(F.col("rank") <= k)
+    """The same for every row at once, within blocks.
+
+    Rows of equal attributes are as similar to any other, so the different combinations of a
+    block are paired in their place, each with its k + 1 smallest keys (one may be the row
+    itself); only the best of those meet the rows.
+    """
+    cols = list(weights)
+    few = rank_rows(df.where(F.col(block).isNotNull()).select(block, key, *cols), [block, *cols], [F.asc(key)]).where(F.col("rank") <= k + 1)
+    pairs = block_pairs(df, few, block, cols, F.array_sort(F.collect_list(key)))
+    total = reduce(lambda x, y: x + y, [F.when(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(w)).otherwise(F.lit(w * 0)) for c, w in weights.items()])
+    own = [f"a_{c}" for c in cols]
+    near = pairs.select(block, *own, total.alias("similarity"), F.explode("match_id").alias("other"))
+    best = rank_rows(near, [block, *own], [F.desc("similarity"), F.asc("other")]).where(F.col("rank") <= k + 1).drop("rank")
+    found = of_rows(df, best, block, cols, key).where(F.col("id") != F.col("other"))
+    return rank_rows(found, ["id"], [F.desc("similarity"), F.asc("other")]).where(F.col("rank") <= k)
 
 
 def resolve_eav(eav: DataFrame, entity: str, field: str, value: str, order: Sequence[Column], fields: Sequence[str]) -> DataFrame:

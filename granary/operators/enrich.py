@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.functions.parse import bucket, estimate_energy, json_get, parse_money, parse_weight_kg, to_double
 from granary.functions.text import first_keyword, make_key, norm_tokens, slug_us
 
-from .relational import best_per, median_by, small
+from .relational import best_per, median_by
 from .rules import ranked_rules, token_groups
 
 #: Confidences of the classifier's stages, and the cut below which a class is dropped.
@@ -28,7 +28,7 @@ def classify(df: DataFrame, key: str, existing: str, text: Column, dictionary: D
     still.  A class under the cut is dropped; mismatch says that it differs from the existing.
     """
     rows = df.withColumns({"_text": F.lower(text), "_number": number})
-    rows = rows.join(small(lines.select(F.col("brand").alias("_lb"), F.col("label").alias("_line"))), F.col("brand") == F.col("_lb"), "left").drop("_lb")
+    rows = rows.join(lines.select(F.col("brand").alias("_lb"), F.col("label").alias("_line")), F.col("brand") == F.col("_lb"), "left").drop("_lb")
     rows = ranked_rules(rows, key, dictionary.select("ord", "word", F.col("label").alias("_dict")), lambda: F.contains(F.col("_text"), F.col("word")), [F.col("ord")], ["_dict"])
     step = F.struct(F.col(existing).alias("label"), F.lit(CONFIDENCE["existing"]).alias("confidence"), F.lit("existing").alias("stage"))
     make = lambda label, stage: F.struct(label.alias("label"), F.lit(CONFIDENCE[stage]).alias("confidence"), F.lit(stage).alias("stage"))
@@ -70,7 +70,7 @@ def enrich_price(df: DataFrame, key: str, given: str, price: str, weight: str, b
 def repair_outliers(df: DataFrame, value: str, bands: DataFrame, by: str, estimate: Column) -> DataFrame:
     """value_fixed and action: in band: kept; out of band: the estimate if that is in the band,
     else cleared; bands (by, low, high), rows without one are kept."""
-    rows = df.join(small(bands), by, "left")
+    rows = df.join(bands, by, "left")
     out = F.col(value).isNotNull() & F.col("low").isNotNull() & ~F.col(value).between(F.col("low"), F.col("high"))
     good = F.coalesce(estimate.between(F.col("low"), F.col("high")), F.lit(False))
     action = F.when(~out, "kept").when(good, "estimated").otherwise("cleared")

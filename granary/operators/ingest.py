@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from granary.functions.parse import number, parse_energy, parse_percent
 from granary.functions.text import quote
 
-from .relational import best_per, small
+from .relational import best_per
 
 
 def detect_changes(current: DataFrame, new: DataFrame, key: str, tracked: Sequence[str] = ()) -> DataFrame:
@@ -68,7 +68,7 @@ def merge_staged(canon: DataFrame, staged: DataFrame, allow: DataFrame, key: str
     taken = paired.groupBy("_target").agg(F.min(key).alias(key))
     rekey = paired.join(taken, ["_target", key])
     left = rest.join(rekey.select(key), key, "left_anti")
-    ok = small(allow.where(F.col("status").isin("ACTIVE", "PENDING")).select(pair[0]))
+    ok = allow.where(F.col("status").isin("ACTIVE", "PENDING")).select(pair[0])
     insert = left.join(ok, pair[0], "left_semi")
     skip = left.join(ok, pair[0], "left_anti")
     updates = known.select(F.col(key).alias("_old"), F.col(key).alias("_new"), *[F.col(f).alias(f"_s_{f}") for f in fields]).unionByName(rekey.select(F.col("_target").alias("_old"), F.col(key).alias("_new"), *[F.col(f).alias(f"_s_{f}") for f in fields]))
@@ -86,13 +86,13 @@ def merge_staged(canon: DataFrame, staged: DataFrame, allow: DataFrame, key: str
 def residuals(canon: DataFrame, staged: DataFrame, allow: DataFrame, key: str, pair: Sequence[str]) -> DataFrame:
     """Staged keys that the canonical table hasn't, with the reason."""
     lacking = staged.groupBy(key).agg(F.min(pair[0]).alias(pair[0])).join(canon.select(key), key, "left_anti")
-    joined = lacking.join(small(allow.select(pair[0], "status")), pair[0], "left")
+    joined = lacking.join(allow.select(pair[0], "status"), pair[0], "left")
     reason = F.when(F.col("status").isNull(), "not on the list").when(F.col("status").isin("ACTIVE", "PENDING"), "not merged").otherwise(F.concat(F.lit("status "), F.col("status")))
     return joined.select(key, pair[0], reason.alias("reason"))
 
 
 def allow_status(allow: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return ids.join(small(allow.select(key, "status")), key, "left").select(key, F.coalesce("status", F.lit("NOT_FOUND")).alias("status"))
+    return ids.join(allow.select(key, "status"), key, "left").select(key, F.coalesce("status", F.lit("NOT_FOUND")).alias("status"))
 
 
 def smart_import(canon: DataFrame, new: DataFrame, id_col: str, url: str, base: str) -> DataFrame:
@@ -202,23 +202,34 @@ def extract_pairs(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, seq int, kind string, label string, value string")
 
 
-#: Words by which labels name nutrients.
-NUTRIENTS = {"protein_percent": ("protein",), "fat_percent": ("fat", "oil"), "fiber_percent": ("fibre", "fiber"), "ash_percent": ("ash",), "moisture_percent": ("moisture", "water")}
+#: Patterns of words by which labels name nutrients, English and Spanish.
+NUTRIENTS = {"protein_percent": ("protein", "proteínas?"), "fat_percent": ("fat", "oils?", "lipids?", "grasas?"), "fiber_percent": ("fibre", "fiber", "fibra"), "ash_percent": ("ash", "inorganic matter", "cenizas?"), "moisture_percent": ("moisture", "water", "humidity", "humedad")}
+#: What labels call energy.
+ENERGY = ("energy", "kcal", "calor", "kj", "energía")
+#: Kcal in a gram of protein, fat and carbohydrate, by which energy is estimated.
+KCAL = (3.5, 8.5, 3.5)
 
 
-def nutrition(pairs: DataFrame, key: str = "page_id") -> DataFrame:
-    """Nutrients of a page: from table rows, else definitions, else text, the first in order."""
+def nutrition(pairs: DataFrame, key: str = "page_id", labels: Mapping[str, Sequence[str]] = NUTRIENTS, energy: Sequence[str] = ENERGY) -> DataFrame:
+    """Nutrients of a page: from table rows, else definitions, else text, the first in order;
+    kcal_per_100g as stated, else by difference from protein and fat, and kcal_basis (`stated`,
+    `estimated`, or null).  `labels` and `energy` are patterns of words."""
     low = F.lower("label")
     cells = {}
     rank = F.struct(F.when(F.col("kind") == "row", 0).when(F.col("kind") == "definition", 1).otherwise(2).alias("k"), "seq")
-    for name, words in NUTRIENTS.items():
+    for name, words in labels.items():
         labelled = F.when(F.regexp_like(low, F.lit(f"\\b({'|'.join(words)})\\b")), parse_percent(F.col("value")))
         free = number(F.regexp_extract(F.lower("value"), rf"\b(?:{'|'.join(words)})\b[^0-9%]{{0,20}}([0-9]+(?:[.,][0-9]+)?) *%", 1))
         value = F.when(F.col("kind").isin("row", "definition"), labelled).otherwise(F.when(free.between(0, 100), free))
         cells[name] = F.min(F.when(value.isNotNull(), F.struct(rank.alias("o"), value.alias("v"))))["v"].alias(name)
-    text = F.when(F.col("kind").isin("row", "definition"), F.when(F.regexp_like(low, F.lit("energy|kcal|calor")), F.col("value"))).otherwise(F.nullif(F.regexp_extract(F.lower("value"), r"((?:[0-9]+(?:[.,][0-9]+)?) *(?:kcal|kj)[^;,]*)", 1), F.lit("")))
-    energy = F.min(F.when(text.isNotNull(), F.struct(rank.alias("o"), parse_energy(text).alias("v"))))["v"].alias("kcal_per_100g")
-    return pairs.groupBy(key).agg(*cells.values(), energy)
+    text = F.when(F.col("kind").isin("row", "definition"), F.when(F.regexp_like(low, F.lit("|".join(energy))), F.col("value"))).otherwise(F.nullif(F.regexp_extract(F.lower("value"), r"((?:[0-9]+(?:[.,][0-9]+)?) *(?:kcal|kj)[^;,]*)", 1), F.lit("")))
+    stated = F.min(F.when(text.isNotNull(), F.struct(rank.alias("o"), parse_energy(text).alias("v"))))["v"].alias("_stated")
+    got = pairs.groupBy(key).agg(*cells.values(), stated)
+    protein, fat = (F.col(c) if c in labels else F.lit(None).cast("double") for c in ("protein_percent", "fat_percent"))
+    others = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in labels), F.lit(0.0))
+    guess = protein * KCAL[0] + fat * KCAL[1] + F.greatest(F.lit(100.0) - others, F.lit(0.0)) * KCAL[2]
+    basis = F.when(F.col("_stated").isNotNull(), "stated").when(guess.isNotNull(), "estimated")
+    return got.select(key, *labels, F.coalesce("_stated", guess).alias("kcal_per_100g"), basis.alias("kcal_basis"))
 
 
 def infobox(pairs: DataFrame, spec: Mapping[str, tuple[str, Column]], key: str = "page_id") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import match_name
 
-from .relational import percent, seeded_sample
+from .relational import block_pairs, of_rows, percent, seeded_sample
 
 
 def block_overlap(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
@@ -35,6 +35,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.size(F.array_intersect(a, b)) / F.nullif(F.size(F.array_union(a, b)), F.lit(0)), F.lit(0.0))
 
 
+def overlap(a: Column, b: Column) -> Column:
+    """Shared over the longer one's elements; 0 where both are empty."""
+    return F.coalesce(F.size(F.array_intersect(a, b)) / F.nullif(F.greatest(F.size(a), F.size(b)), F.lit(0)), F.lit(0.0))
+
+
 def edit_similarity(a: Column, b: Column) -> Column:
     """1 - Levenshtein distance over the longer length."""
     return F.coalesce(F.lit(1.0) - F.levenshtein(a, b) / F.nullif(F.greatest(F.length(a), F.length(b)), F.lit(0)), F.lit(1.0))
@@ -59,24 +64,21 @@ def tier(score: Column, tiers: Sequence[tuple[str, float]], otherwise: str) -> C
     return out
 
 
-def _sides(a: DataFrame, b: DataFrame, block: str, id_a: str, id_b: str, cols: Sequence[str]) -> DataFrame:
-    left = a.select(block, F.col(id_a).alias("id"), *[F.col(c).alias(f"a_{c}") for c in cols])
-    right = b.select(block, F.col(id_b).alias("match_id"), *[F.col(c).alias(f"b_{c}") for c in cols])
-    return left.join(right, block)
-
-
-def _best(scored: DataFrame, take: Sequence[str] = ()) -> DataFrame:
-    """Highest score of each id, smallest match_id of equals; one aggregation over all pairs."""
-    lead = F.min(F.struct((-F.col("score")).alias("o"), "match_id", *take))
-    return scored.groupBy("id").agg(lead.alias("_b")).select("id", F.col("_b.match_id").alias("match_id"), (-F.col("_b.o")).alias("score"), *[F.col(f"_b.{t}").alias(t) for t in take])
+def _best(a: DataFrame, b: DataFrame, block: str, id_a: str, id_b: str, cols: Sequence[str], score: Column, keep: Column | None = None) -> DataFrame:
+    """id, match_id, score: highest score of each row of a in its block, smallest match_id of
+    equals; pairs that fail `keep` (over score) don't count."""
+    pairs = block_pairs(a, b, block, cols, F.min(id_b)).withColumn("score", score)
+    pairs = pairs if keep is None else pairs.where(keep)
+    own = [f"a_{c}" for c in cols]
+    lead = pairs.groupBy(block, *own).agg(F.min(F.struct((-F.col("score")).alias("o"), "match_id")).alias("_b"))
+    return of_rows(a, lead.select(block, *own, F.col("_b.match_id").alias("match_id"), (-F.col("_b.o")).alias("score")), block, cols, id_a)
 
 
 def match(a: DataFrame, b: DataFrame, block: str, id_a: str, id_b: str, parts: Mapping[str, tuple[float, Column]], cols: Sequence[str], tiers: Sequence[tuple[str, float]], otherwise: str = "rejected", places: int = 6) -> DataFrame:
     """Best partner of each row of a within its block by a weighted sum of similarity columns
     over `a_*` and `b_*` columns, and its tier.  Rows without a partner are `otherwise`."""
-    pairs = _sides(a, b, block, id_a, id_b, cols)
     total = sum((F.lit(w) * c for w, c in parts.values()), F.lit(0.0))
-    best = _best(pairs.select("id", "match_id", F.round(total, places).alias("score")))
+    best = _best(a, b, block, id_a, id_b, cols, F.round(total, places))
     every = a.select(F.col(id_a).alias("id")).join(best, "id", "left")
     return every.withColumn("tier", F.coalesce(tier(F.col("score"), tiers, otherwise), F.lit(otherwise)))
 
@@ -86,18 +88,16 @@ def match_exact_then_fuzzy(a: DataFrame, b: DataFrame, block: str, name: str, fo
     times `boost` where forms agree, at most 1, at least `least`."""
     exact = a.select(block, name, F.col(id_a).alias("id")).join(b.groupBy(block, name).agg(F.min(id_b).alias("match_id")), [block, name]).select("id", "match_id", F.lit(1.0).alias("score"), F.lit("exact").alias("how"))
     rest = a.join(exact.select(F.col("id").alias(id_a)), id_a, "left_anti")
-    pairs = _sides(rest, b, block, id_a, id_b, [name, form])
     near = edit_similarity(F.col(f"a_{name}"), F.col(f"b_{name}"))
     raised = F.when(F.col(f"a_{form}") == F.col(f"b_{form}"), F.least(near * boost, F.lit(1.0))).otherwise(near)
-    fuzzy = _best(pairs.select("id", "match_id", F.round(raised, 6).alias("score")).where(F.col("score") >= least)).withColumn("how", F.lit("fuzzy"))
+    fuzzy = _best(rest, b, block, id_a, id_b, [name, form], F.round(raised, 6), F.col("score") >= least).withColumn("how", F.lit("fuzzy"))
     return exact.unionByName(fuzzy)
 
 
 def match_tokens(a: DataFrame, b: DataFrame, block: str, tokens: str, id_a: str, id_b: str, least: int = 2) -> DataFrame:
     """Partner with most shared tokens, at least `least`; smallest id of equals."""
-    pairs = _sides(a, b, block, id_a, id_b, [tokens])
-    shared = F.size(F.array_intersect(f"a_{tokens}", f"b_{tokens}"))
-    return _best(pairs.select("id", "match_id", shared.cast("double").alias("score")).where(F.col("score") >= least))
+    shared = F.size(F.array_intersect(f"a_{tokens}", f"b_{tokens}")).cast("double")
+    return _best(a, b, block, id_a, id_b, [tokens], shared, F.col("score") >= least)
 
 
 def match_variants(a: DataFrame, b: DataFrame, keys_a: Column, keys_b: Column, block: str, name: str, id_a: str, id_b: str, least: float = 0.8) -> DataFrame:
@@ -107,8 +107,8 @@ def match_variants(a: DataFrame, b: DataFrame, keys_a: Column, keys_b: Column, b
     right = b.select(F.col(id_b).alias("match_id"), F.explode(F.array_distinct(keys_b)).alias("_k"))
     exact = left.join(right.groupBy("_k").agg(F.min("match_id").alias("match_id")), "_k").groupBy("id").agg(F.min("match_id").alias("match_id")).select("id", "match_id", F.lit(1.0).alias("score"), F.lit("key").alias("how"))
     rest = a.join(exact.select(F.col("id").alias(id_a)), id_a, "left_anti")
-    pairs = _sides(rest, b, block, id_a, id_b, [name]).select("id", "match_id", F.round(edit_similarity(F.col(f"a_{name}"), F.col(f"b_{name}")), 6).alias("score"))
-    return exact.unionByName(_best(pairs.where(F.col("score") > least)).withColumn("how", F.lit("fuzzy")))
+    near = F.round(edit_similarity(F.col(f"a_{name}"), F.col(f"b_{name}")), 6)
+    return exact.unionByName(_best(rest, b, block, id_a, id_b, [name], near, F.col("score") > least).withColumn("how", F.lit("fuzzy")))
 
 
 def catalogue_overlap(a: DataFrame, b: DataFrame, block: str, name: str, id_a: str, improvable: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from granary.functions.text import is_present
 
 from .consolidate import score
-from .relational import percent, small
+from .relational import percent
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def with_status(table: DataFrame, p: Profile) -> DataFrame:
 
 def quality_prod(df: DataFrame, allow: DataFrame, key: str, p: Profile, enriched: Column) -> DataFrame:
     """The same over allowlisted groups, with their status and the share of enriched rows."""
-    joined = df.join(small(allow.select(key, F.col("status").alias("allow_status"))), key).withColumn("_e", enriched)
+    joined = df.join(allow.select(key, F.col("status").alias("allow_status")), key).withColumn("_e", enriched)
     rate = joined.groupBy(key, "allow_status").agg(percent(F.count_if("_e"), F.count("*")).alias("enriched_pct"))
     return quality_table(joined, [key], p).join(rate, key)
 
@@ -146,10 +146,14 @@ def weighted_quality(importance: Mapping[str, float], authority: Mapping[str, fl
 
 
 def leaderboard(table: DataFrame, key: str, weights: Mapping[str, float]) -> DataFrame:
-    """Groups by weighted coverage, best first, with their place."""
+    """Groups by weighted coverage, best first, with their place.  Places are counted from those
+    of each whole percent (101 rows at most), so that no task sorts all groups."""
     total = sum((F.col(f"{c}_pct") * w for c, w in weights.items()), F.lit(0.0)) / sum(weights.values())
-    scored = table.select(key, F.round(total, 4).alias("points"))
-    return scored.withColumn("place", F.row_number().over(Window.orderBy(F.desc("points"), key)))
+    scored = table.select(key, F.round(total, 4).alias("points")).withColumn("_part", F.coalesce(F.floor("points"), F.lit(-1)))
+    above = F.sum("_n").over(Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1))
+    parts = scored.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(above, F.lit(0)).alias("_above"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("points"), key))
+    return scored.join(parts, "_part").select(key, "points", (F.col("_above") + within).cast("int").alias("place"))
 
 
 def impact_queue(table: DataFrame, key: str) -> DataFrame:

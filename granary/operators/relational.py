@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import is_present
 
-#: Rows up to which a rule table is broadcast; larger ones are joined by shuffle.
-RULE_ROWS = 100_000
+#: Rows and bytes up to which a rule table is met by every row.
+RULE_ROWS, RULE_BYTES = 100_000, 16 << 20
 
 
 def small(rules: DataFrame, limit: int = RULE_ROWS) -> DataFrame:
-    """`rules` with a broadcast hint if it has at most `limit` rows, which is checked."""
-    return F.broadcast(rules) if len(rules.select(F.lit(1)).head(limit + 1)) <= limit else rules
+    """`rules` with a broadcast hint, for conditions without an equality: rows and bytes are
+    counted on the executors, at most `limit` rows and one more, and a longer table is an error.
+    Equi joins take no hint; Spark broadcasts a side by its measured size."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rules.columns]))).cast("long"))
+    n, many = rules.limit(limit + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    if n > limit or many > RULE_BYTES:
+        raise ValueError(f"over {limit} rules or {RULE_BYTES} bytes: match them by an equality, such as a token")
+    return F.broadcast(rules)
 
 
 # Projection and filters
@@ -86,13 +92,41 @@ def cross_source_pairs(df: DataFrame, keys: Sequence[str], source: str, columns:
     return a.join(b, list(keys)).where(F.col(f"{source}_a") < F.col(f"{source}_b"))
 
 
+#: Parts that the pairs of a block are dealt to.
+SALT = 8
+
+
+def block_pairs(a: DataFrame, b: DataFrame, block: str, cols: Sequence[str], b_id: Column) -> DataFrame:
+    """Pairs in a block of the different values of `cols` on either side (a_*, b_*), with `match_id`,
+    an aggregate of the right side's rows.
+
+    What a pair scores depends on `cols` alone, so equal rows are combined before they are
+    paired.  A block's left values are dealt to SALT parts, each of which meets all of its
+    right ones: a hot block is not one task's.
+    """
+    left = a.select(block, *[F.col(c).alias(f"a_{c}") for c in cols]).where(F.col(block).isNotNull()).distinct()
+    right = b.groupBy(block, *cols).agg(b_id.alias("match_id")).select(block, "match_id", *[F.col(c).alias(f"b_{c}") for c in cols])
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*[f"a_{c}" for c in cols]), F.lit(SALT)).cast("int"))
+    return left.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), [block, "_salt"]).drop("_salt")
+
+
+def of_rows(a: DataFrame, found: DataFrame, block: str, cols: Sequence[str], id_a: str) -> DataFrame:
+    """`found` (block, a_* and others) for each row of `a`: id and the others."""
+    rows = a.select(F.col(block).alias("_block"), F.col(id_a).alias("id"), *[F.col(c).alias(f"_r_{c}") for c in cols])
+    on = [F.col("_block") == F.col(block)] + [F.col(f"_r_{c}").eqNullSafe(F.col(f"a_{c}")) for c in cols]
+    rest = [c for c in found.columns if c != block and c not in {f"a_{x}" for x in cols}]
+    return rows.join(found, reduce(lambda x, y: x & y, on)).select("id", *rest)
+
+
 def block_contains_match(a: DataFrame, b: DataFrame, block: str, name: str, id_a: str, id_b: str, exact: float = 0.95, within: float = 0.8) -> DataFrame:
     """Pairs in a block whose names are equal (confidence `exact`) or contain one another
-    (`within`).  Equal names are an equi join; containment only meets rows of its block."""
-    left = a.select(block, F.col(id_a).alias("id_a"), F.col(name).alias("name_a"))
-    right = b.select(block, F.col(id_b).alias("id_b"), F.col(name).alias("name_b"))
-    both = left.join(right, block).where(F.contains("name_a", F.col("name_b")) | F.contains("name_b", F.col("name_a")))
-    return both.withColumn("confidence", F.when(F.col("name_a") == F.col("name_b"), F.lit(exact)).otherwise(F.lit(within)))
+    (`within`).  Different names are paired once, in parts of a block; rows come after."""
+    pairs = block_pairs(a, b, block, [name], F.count("*")).drop("match_id")
+    met = pairs.where(F.contains(f"a_{name}", F.col(f"b_{name}")) | F.contains(f"b_{name}", F.col(f"a_{name}")))
+    sure = F.when(F.col(f"a_{name}") == F.col(f"b_{name}"), F.lit(exact)).otherwise(F.lit(within))
+    left = of_rows(a, met.select(block, f"a_{name}", F.col(block).alias("_b"), f"b_{name}", sure.alias("confidence")), block, [name], id_a)
+    right = b.select(F.col(block).alias("_b"), F.col(name).alias(f"b_{name}"), F.col(id_b).alias("id_b"))
+    return left.join(right, ["_b", f"b_{name}"]).select(F.col("id").alias("id_a"), "id_b", "confidence")
 
 
 def rule_cross(df: DataFrame, rules: DataFrame, text: str, pattern: str) -> DataFrame:

@@ -14,7 +14,7 @@ def canonical_tokens(df: DataFrame, key: str, arr: str, rules: DataFrame, mode:
     long = df.select(key, F.posexplode(arr).alias("_i", "token"))
     if mode == "exact":
         one = rules.groupBy("token").agg(F.min("canonical").alias("canonical"))
-        mapped = long.join(small(one), "token", "left")
+        mapped = long.join(one, "token", "left")
     else:
         words = small(rules.select(F.col("token").alias("_w"), "canonical"))
         hits = long.join(words, F.contains("token", F.col("_w")) | F.contains("_w", F.col("token")), "left")
@@ -27,14 +27,15 @@ def token_groups(df: DataFrame, key: str, arr: str, rules: DataFrame, mode: str
     """key and the sorted set of rule groups (grp, token) that the tokens hit: equal, prefix or
     contains.  Rows without a hit get an empty array."""
     long = df.select(key, F.explode_outer(arr).alias("_t"))
-    words = small(rules.select("grp", F.col("token").alias("_w")))
+    words = rules.select("grp", F.col("token").alias("_w"))
+    words = words if mode == "equal" else small(words)
     on = {"equal": F.col("_t") == F.col("_w"), "prefix": F.startswith("_t", F.col("_w")), "contains": F.contains("_t", F.col("_w"))}[mode]
     return long.join(words, on, "left").groupBy(key).agg(F.sort_array(F.collect_set("grp")).alias("groups"))
 
 
 def to_base_currency(df: DataFrame, price: str, currency: str, rates: DataFrame) -> DataFrame:
     """`base`: price times the rate of its currency; null without a rate."""
-    return df.join(small(rates.withColumnRenamed("currency", "_c").withColumnRenamed("rate", "_rate")), F.col(currency) == F.col("_c"), "left").withColumn("base", F.col(price) * F.col("_rate")).drop("_c", "_rate")
+    return df.join(rates.withColumnRenamed("currency", "_c").withColumnRenamed("rate", "_rate"), F.col(currency) == F.col("_c"), "left").withColumn("base", F.col(price) * F.col("_rate")).drop("_c", "_rate")
 
 
 def map_vocab(df: DataFrame, key: str, col: str, rules: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.functions.text import PACK, match_name
 
 from .consolidate import score
-from .relational import best_per, small
+from .relational import best_per
 
 
 def duplicate_groups(df: DataFrame, key: Column, id_col: str) -> DataFrame:
@@ -121,4 +121,4 @@ def one_per_url(df: DataFrame, url: Column, prefer: str, id_col: str) -> DataFra
 
 def with_rules(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Left join to a small rule table (its size is checked before it is broadcast)."""
-    return df.join(small(rules), key, "left")
+    return df.join(rules, key, "left")

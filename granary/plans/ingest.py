@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from granary import sources, streaming
 from granary.operators import ingest as g
 
-from .registry import ALLOW, CATALOGUE, FEED, allowlist, catalogue, feed, query, sql, table
+from .registry import ALLOW, CATALOGUE, FEED, SQL, allowlist, catalogue, feed, query, sql, table
 
 C = CATALOGUE
 
@@ -56,6 +56,28 @@ def h2(s, d):
     return g.merge_staged(canon(s, d), staged(s, d), allowlist(s, d), "id", ["brand", "product_name"], ["kcal"], ["ord"])[0]
 
 
+@query("t2_merge_stream", SQL["h2_merge_staged"])
+def t2(s, d):
+    """The staged rows as a stream of one micro-batch, merged into the stored table."""
+    path = sources.scratch(s, "t2")
+    sources.write(canon(s, d), f"{path}/table")
+    sources.write(staged(s, d), f"{path}/in")
+    stream = s.readStream.schema(s.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
+    streaming.merge_stream(stream, f"{path}/table", allowlist(s, d), "id", ["brand", "product_name"], ["kcal"], ["ord"])(f"{path}/checkpoint").awaitTermination()
+    return sources.current(s, f"{path}/table")
+
+
+@query("t1_snapshot_stream", SQL["h1_detect_changes"].replace(", act AS action FROM", " FROM"))
+def t1b(s, d):
+    """The incoming snapshots as a stream, merged into the stored table."""
+    path = sources.scratch(s, "t1")
+    sources.write(stored(s, d), f"{path}/table")
+    sources.write(incoming(s, d), f"{path}/in")
+    stream = s.readStream.schema(s.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
+    streaming.snapshot_stream(stream, f"{path}/table", "k")(f"{path}/checkpoint").awaitTermination()
+    return sources.current(s, f"{path}/table")
+
+
 @query("h2_summary", sql("SELECT (SELECT count(*) FROM known) AS updated, (SELECT count(*) FROM rekey) AS rekeyed, (SELECT count(*) FROM ins) AS inserted, (SELECT count(*) FROM lefts) - (SELECT count(*) FROM ins) AS skipped, 'OK' AS health", C, ALLOW, STAGED, CANON, MERGE))
 def h2b(s, d):
     return g.merge_staged(canon(s, d), staged(s, d), allowlist(s, d), "id", ["brand", "product_name"], ["kcal"], ["ord"])[1]
@@ -101,6 +123,26 @@ def h7(s, d):
     return g.nutrition(g.extract_pairs(made_pages(s, d))).select("page_id", "protein_percent", "fat_percent", F.round("kcal_per_100g", 4).alias("kcal"))
 
 
+PAIRS = """pairs AS (SELECT id, size, product_name, unnest(CASE id % 3
+  WHEN 0 THEN [['heading', 'h2', 'Analysis'], ['row', 'Crude Protein', size || ',5 %'], ['row', 'Fat content', '12%'], ['row', 'Energy', '1570 kJ/100g']]
+  WHEN 1 THEN [['definition', 'Protein', size || '%'], ['definition', 'Metabolizable energy', '375 kcal/100g']]
+  ELSE [['heading', 'h3', 'About'], ['paragraph', 'About', 'Protein: ' || size || '%, Oil & Fat: 14,5%'], ['paragraph', 'About', 'Energy: 360 kcal per 100g'], ['json_ld', '', '{"name": "' || product_name || '", "brand": {"name": "x"}}']] END) AS p, unnest(range(CASE id % 3 WHEN 1 THEN 2 ELSE 4 END)) AS seq FROM catalogue)"""
+
+
+@query("h7_pairs", sql("SELECT id AS page_id, CAST(seq AS INT) AS seq, p[1] AS kind, p[2] AS label, p[3] AS value FROM pairs", C, PAIRS))
+def h7c(s, d):
+    return g.extract_pairs(made_pages(s, d))
+
+
+@query("h7_labels", sql("SELECT id AS page_id, CASE WHEN id % 2 = 0 THEN size * 1.0::DOUBLE END AS protein_percent, 10.5::DOUBLE AS fat_percent, CASE WHEN id % 2 = 0 THEN round(size * 3.5::DOUBLE + 10.5::DOUBLE * 8.5::DOUBLE + (100.0::DOUBLE - size - 10.5::DOUBLE - 8.0::DOUBLE) * 3.5::DOUBLE, 4) END AS kcal, CASE WHEN id % 2 = 0 THEN 'estimated' END AS basis FROM catalogue", C))
+def h7d(s, d):
+    """Spanish labels; energy is estimated where protein and fat are there."""
+    c = catalogue(s, d)
+    first = F.when(F.col("id") % 2 == 0, F.concat(F.lit("<tr><th>Proteínas</th><td>"), F.col("size").cast("string"), F.lit("%</td></tr>"))).otherwise(F.lit(""))
+    rows = c.select(F.col("id").alias("page_id"), F.concat(F.lit("<table>"), first, F.lit("<tr><td>Grasas brutas</td><td>10,5%</td></tr><tr><td>Humedad</td><td>8 %</td></tr></table>")).alias("html"))
+    return g.nutrition(g.extract_pairs(rows)).select("page_id", "protein_percent", "fat_percent", F.round("kcal_per_100g", 4).alias("kcal"), F.col("kcal_basis").alias("basis"))
+
+
 @query("h7_extract_pairs")
 def h7b(s, d):
     return g.extract_pairs(sources.read_pages(s, f"{d}/pages.parquet"))
@@ -137,9 +179,93 @@ def h12(s, d):
     return catalogue(s, d).select("id", *[c.alias(n) for n, c in g.text_flags(F.col("product_name"), {"lively": (["red", "gizmo"], ["old"])}).items()])
 
 
-@query("s5_read_many", "SELECT 'part.parquet' AS file, count(*) AS n FROM part")
+@query("s1_read_csv", "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
+def s1(s, d):
+    path = sources.scratch(s, "s1")
+    sources.write(table(s, d, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice"), path, fmt="csv")
+    return sources.read_csv(s, path, "p_partkey long, p_name string, p_brand string, p_retailprice double")
+
+
+@query("s2_read_jsonl", "SELECT event_id, user_id, event_type, props FROM events WHERE event_id % 10 <> 0")
+def s2(s, d):
+    """Events as gzip JSON lines, every tenth line cut short."""
+    path = sources.scratch(s, "s2")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "props"))
+    cut = F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 12)).otherwise(line)
+    table(s, d, "events").select(cut.alias("value")).write.option("compression", "gzip").text(path)
+    return sources.read_jsonl(s, path, "event_id long, user_id long, event_type string, props string")
+
+
+@query("s3_read_json_array", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def s3(s, d):
+    """Suppliers as JSON arrays, a file for a thousand keys."""
+    path = sources.scratch(s, "s3")
+    row = F.to_json(F.struct("s_suppkey", "s_name", "s_nationkey"))
+    files = table(s, d, "supplier").groupBy(F.floor(F.col("s_suppkey") / 1000).alias("part")).agg(F.array_join(F.collect_list(row), ",").alias("_r"))
+    files.select("part", F.concat(F.lit("["), "_r", F.lit("]")).alias("value")).write.partitionBy("part").text(path)
+    return sources.read_json_array(s, path, "s_suppkey long, s_name string, s_nationkey long").drop("part")
+
+
+@query("s4_read_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def s4(s, d):
+    return sources.read_table(s, f"{d}/orders.parquet", ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+@query("s5_read_many", "SELECT CASE WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS kind, count(*) AS n, count(*) AS n_named FROM (SELECT p_partkey AS id FROM part) GROUP BY 1")
 def s5(s, d):
-    return sources.read_many(s, f"{d}/part.parquet").groupBy(F.lit("part.parquet").alias("file")).agg(F.count("file").alias("n"))
+    """Two folders of parts, one with a column more, read by a pattern; a file belongs to one."""
+    path, p = sources.scratch(s, "s5"), table(s, d, "part").select(F.col("p_partkey").alias("id"))
+    sources.write(p.where("id % 3 <> 0"), f"{path}/kind=a")
+    sources.write(p.where("id % 3 = 0").withColumn("more", F.lit(1)), f"{path}/kind=b")
+    rows = sources.read_many(s, f"{path}/*/*.parquet")
+    files = rows.groupBy("file").agg(F.count("*").alias("n"), F.count("more").alias("more"), F.max(F.when(F.endswith("file", F.lit(".parquet")), F.col("file"))).alias("name"))
+    return files.groupBy(F.when(F.col("more") == F.col("n"), "b").otherwise("a").alias("kind")).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("name") == F.col("file"), F.col("n"))).alias("n_named"))
+
+
+@query("s7_rules", "SELECT r_name AS grp, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
+def s7(s, d):
+    """Regions and their nations as a YAML rule file, and customers by its groups."""
+    path = sources.scratch(s, "s7")
+    nations = table(s, d, "nation").join(table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    block = nations.groupBy("r_name").agg(F.sort_array(F.collect_list("n_name")).alias("t")).select(F.concat(F.lit("# a region\n"), "r_name", F.lit(":\n"), F.array_join(F.transform("t", lambda x: F.concat(F.lit("  - '"), x, F.lit("'"))), "\n")).alias("value"))
+    block.write.text(path)
+    named = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.join(sources.read_rules(s, path), F.col("n_name") == F.col("token")).groupBy("grp").agg(F.count("*").alias("n"))
+
+
+@query("s8_write", sql("SELECT id, brand, price FROM catalogue", C))
+def s8(s, d):
+    """An overwrite that an append completes."""
+    path, c = sources.scratch(s, "s8"), catalogue(s, d).select("id", "brand", "price")
+    sources.write(c.where("id % 3 = 0"), path, fmt="csv")
+    sources.write(c.where("id % 2 = 0"), path, fmt="csv")
+    sources.write(c.where("id % 2 <> 0"), path, "append", "csv")
+    return sources.read_csv(s, path, "id long, brand string, price double")
+
+
+@query("s9_materialize", sql("SELECT brand, count(*) AS n, max(price) AS top FROM catalogue GROUP BY brand", C))
+def s9(s, d):
+    name = sources.scratch(s, "s9").rsplit("/", 1)[1].replace("-", "_")
+    return sources.materialize(catalogue(s, d).groupBy("brand").agg(F.count("*").alias("n"), F.max("price").alias("top")), name)
+
+
+@query("s10_refresh", sql("SELECT id, price + 2 AS price FROM catalogue WHERE size >= 10", C))
+def s10(s, d):
+    """A table that is recomputed from itself, twice."""
+    path = sources.scratch(s, "s10")
+    sources.write(catalogue(s, d).select("id", "size", "price"), path)
+    sources.refresh(sources.current(s, path).where("size >= 10").withColumn("price", F.col("price") + 1), path)
+    return sources.refresh(sources.current(s, path).select("id", (F.col("price") + 1).alias("price")), path)
+
+
+@query("s11_snapshot", sql("SELECT id, kcal AS kept, coalesce(kcal, 0) + 1 AS now FROM catalogue", C))
+def s11(s, d):
+    """What a table held before it was changed, beside what it holds then."""
+    path, rows = sources.scratch(s, "s11"), catalogue(s, d).select("id", "kcal")
+    sources.write(rows, f"{path}/table")
+    kept = sources.snapshot(sources.current(s, f"{path}/table"), path, "before")
+    now = sources.refresh(sources.current(s, f"{path}/table").withColumn("kcal", F.coalesce("kcal", F.lit(0.0)) + 1), f"{path}/table")
+    return s.read.parquet(kept).withColumnRenamed("kcal", "kept").join(now.withColumnRenamed("kcal", "now"), "id")
 
 
 @query("s6_read_pages", "SELECT page_id, url, md5(html) AS fingerprint FROM pages")

@@ -182,10 +182,14 @@ def q24(s, d):
     return q.repair_slugs(catalogue(s, d).select("id", F.concat("brand", F.lit(" -- "), "product_name", F.lit("!")).alias("slug")), ["slug"])
 
 
-@query("q25_array_validity", sql("SELECT unnest(['good', 'mixed']) AS field, unnest([count(*), count(*)]) AS n, unnest([100.0::DOUBLE, round(count(*) FILTER (id % 50 <> 0) * 100.0::DOUBLE / count(*), 2)]) AS valid_pct, unnest([true, round(count(*) FILTER (id % 50 <> 0) * 100.0::DOUBLE / count(*), 2) >= 99]) AS passed FROM catalogue", C))
+TEXTS = """texts AS (SELECT '["' || replace(product_name, ' ', '","') || '"]' AS tags, CASE WHEN size % 9 = 0 THEN product_name WHEN size % 7 = 0 THEN '{"a": 1}' ELSE '["' || form || '"]' END AS mixed FROM catalogue)"""
+
+
+@query("q25_array_validity", sql(r"""SELECT field, count(*) AS n, round(count(*) FILTER (regexp_matches(v, '^\["[^"]*"(,"[^"]*")*\]$')) * 100.0::DOUBLE / count(*), 2) AS valid_pct, round(count(*) FILTER (regexp_matches(v, '^\["[^"]*"(,"[^"]*")*\]$')) * 100.0::DOUBLE / count(*), 2) >= 99 AS passed FROM (SELECT 'tags' AS field, tags AS v FROM texts UNION ALL SELECT 'mixed', mixed FROM texts) GROUP BY field""", C, TEXTS))
 def q25(s, d):
-    rows = catalogue(s, d).select(F.lit('["a"]').alias("good"), F.when(F.col("id") % 50 == 0, F.lit("{broken")).otherwise(F.lit('["a","b"]')).alias("mixed"))
-    return q.array_validity(rows, ["good", "mixed"])
+    tags = F.concat(F.lit('["'), F.replace("product_name", F.lit(" "), F.lit('","')), F.lit('"]'))
+    mixed = F.when(F.col("size") % 9 == 0, F.col("product_name")).when(F.col("size") % 7 == 0, F.lit('{"a": 1}')).otherwise(F.concat(F.lit('["'), F.col("form"), F.lit('"]')))
+    return q.array_validity(catalogue(s, d).select(tags.alias("tags"), mixed.alias("mixed")), ["tags", "mixed"])
 
 
 @query("q26_compare_env", sql("SELECT unnest(['rows', 'only here', 'differ']) AS metric, unnest([count(x), count(*) FILTER (y IS NULL), count(*) FILTER (x IS NOT NULL AND y IS NOT NULL AND ak IS DISTINCT FROM bk)]) AS a, unnest([count(y), count(*) FILTER (x IS NULL), count(*) FILTER (x IS NOT NULL AND y IS NOT NULL AND ak IS DISTINCT FROM bk)]) AS b FROM (SELECT a.id AS x, b.id AS y, a.kcal AS ak, b.kcal AS bk FROM (SELECT * FROM catalogue WHERE id % 10 <> 1) a FULL JOIN (SELECT id - 1000000 AS id, kcal FROM feed) b ON a.id = b.id)", C, FEED))

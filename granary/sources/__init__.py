@@ -1,5 +1,5 @@
 """Sources and sinks over any path that Spark's readers and writers open."""
 
-from .files import materialize, read_csv, read_json_array, read_jsonl, read_many, read_pages, read_table, load_rules, refresh, rollback, snapshot, write
+from .files import current, load_rules, materialize, read_csv, read_json_array, read_jsonl, read_many, read_pages, read_rules, read_table, refresh, rollback, scratch, snapshot, write
 
-__all__ = ["load_rules", "materialize", "read_csv", "read_json_array", "read_jsonl", "read_many", "read_pages", "read_table", "refresh", "rollback", "snapshot", "write"]
+__all__ = ["current", "load_rules", "materialize", "read_csv", "read_json_array", "read_jsonl", "read_many", "read_pages", "read_rules", "read_table", "refresh", "rollback", "scratch", "snapshot", "write"]

@@ -42,11 +42,26 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html", F.md5("html").alias("fingerprint"))
 
 
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """grp, token of a rule file `name:` / `  - item`, one YAML mapping of lists; other lines and
+    comments are skipped.  A file is read by one task: rule files are small."""
+    text = spark.read.text(path, wholetext=True)
+    block = F.explode(F.regexp_extract_all("value", F.lit(r"(?m)^([^\s#:][^:\n]*:[ \t]*(?:\n[ \t]+[^\n]*)*)"), F.lit(1)))
+    rows = text.select(block.alias("_b")).select(F.trim(F.regexp_extract("_b", "^([^:]+):", 1)).alias("grp"), F.explode(F.regexp_extract_all("_b", F.lit(r"\n[ \t]+-[ \t]*([^\n]*)"), F.lit(1))).alias("_t"))
+    return rows.select("grp", F.regexp_replace(F.trim("_t"), "^[\"']|[\"']$", "").alias("token"))
+
+
 def load_rules(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A rule table from plain rows; operators check its size before they broadcast it."""
     return spark.createDataFrame(list(rows), schema)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the cluster's shared folder: `spark.checkpoint.dir`, else the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def write(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
@@ -60,20 +75,42 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _versions(spark: SparkSession, path: str) -> tuple:
+    """File system, folder of versions of a table, and the numbers of the whole ones, in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path.rstrip('/')}.versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    whole = sorted(int(n[1:]) for n in names if n[0] == "v" and fs.exists(hadoop.Path(folder, f"{n}/_DONE")))
+    return fs, folder, whole
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The table at `path` as last refreshed, or as first written."""
+    _, folder, whole = _versions(spark, path)
+    return spark.read.parquet(f"{folder}/v{whole[-1]:09d}" if whole else path)
+
+
 def refresh(df: DataFrame, path: str) -> DataFrame:
-    """Recompute a stored table, even one that `df` reads: the new rows go to a folder beside it
-    first, then take its place by a rename, so readers never see half a table."""
+    """Recompute a stored table, even one that `df` reads.
+
+    Each refresh writes a new version beside the table and marks it when it is whole; `current`
+    reads the last whole one, so readers always have a table, and a job that dies leaves the
+    old one in force.  The version before the last stays for those who still read it; older
+    ones go.  One writer at a time: two that meet find the same version and one fails.
+    """
     spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
+    fs, folder, whole = _versions(spark, path)
+    at = (whole[-1] if whole else 0) + 1
     hadoop = spark._jvm.org.apache.hadoop.fs
-    target, made = hadoop.Path(path), hadoop.Path(fresh)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(made, target):
-        raise OSError(f"{fresh} could not take the place of {path}")
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+    place = lambda n: hadoop.Path(folder, f"v{n:09d}")
+    if fs.exists(place(at)):
+        fs.delete(place(at), True)  # left by a job that died
+    df.write.mode("errorifexists").parquet(str(place(at)))
+    fs.create(hadoop.Path(place(at), "_DONE"), False).close()
+    for n in whole[:-1]:
+        fs.delete(place(n), True)
+    return spark.read.parquet(str(place(at)))
 
 
 def snapshot(df: DataFrame, folder: str, tag: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from granary.operators.ingest import detect_changes, merge_staged
-from granary.sources import refresh
+from granary.sources import current, refresh
 
 
 def changed_within(batch: DataFrame, key: str) -> DataFrame:
@@ -29,7 +29,7 @@ def snapshot_stream(stream: DataFrame, path: str, key: str, tracked: Sequence[st
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
         last = changed_within(df, key).groupBy(key).agg(F.max(F.struct("seen", "fingerprint", *tracked)).alias("_l")).select(key, "_l.*")
-        merged = detect_changes(spark.read.parquet(path), last, key, tracked)
+        merged = detect_changes(current(spark, path), last, key, tracked)
         refresh(merged.drop("action"), path)
 
     return lambda checkpoint: stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -40,7 +40,7 @@ def merge_stream(stream: DataFrame, path: str, allow: DataFrame, key: str, pair:
     batch that runs twice only finds its own keys again and fills no nulls."""
 
     def batch(df: DataFrame, _: int) -> None:
-        merged, _summary = merge_staged(df.sparkSession.read.parquet(path), df, allow, key, pair, fields, order)
+        merged, _summary = merge_staged(current(df.sparkSession, path), df, allow, key, pair, fields, order)
         refresh(merged, path)
 
     return lambda checkpoint: stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -141,6 +141,43 @@ def test_files_round_trip(spark, tmp_path):
     assert sources.load_rules(spark, [("a", 1)], "k string, v int").count() == 1
 
 
+def test_a_refresh_that_dies_leaves_the_table(spark, tmp_path):
+    """At any moment `current` reads a whole table: before, after, and with a half-written version."""
+    path = str(tmp_path / "table")
+    sources.write(spark.range(10), path)
+    broken = spark.range(10).select(F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sources.refresh(broken, path)
+    assert sources.current(spark, path).count() == 10
+    (tmp_path / "table.versions" / "v000000001" / "part-0.parquet").parent.mkdir(parents=True, exist_ok=True)
+    (tmp_path / "table.versions" / "v000000001" / "part-0.parquet").write_bytes(b"half")
+    assert sources.current(spark, path).count() == 10
+    held = sources.current(spark, path)
+    for n in (8, 6, 4):
+        before = sources.current(spark, path)
+        assert sources.refresh(before.where(F.col("id") < n), path).count() == n == sources.current(spark, path).count()
+        assert before.count() == n + 2
+    assert held.count() == 10 and len(list((tmp_path / "table.versions").iterdir())) == 2
+
+
+def test_rules_are_few_or_refused(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(relational, "RULE_ROWS", 3)
+    assert relational.small(spark.range(3), 3).count() == 3
+    with pytest.raises(ValueError, match="over 3 rules"):
+        relational.small(spark.range(4), 3)
+    (tmp_path / "rules.yaml").write_text("# rules\nmeat:\n  - beef\n  - 'lamb'\nfish:\n  - \"cod\"\nnone:\n")
+    assert sorted(map(tuple, sources.read_rules(spark, str(tmp_path / "rules.yaml")).collect())) == [("fish", "cod"), ("meat", "beef"), ("meat", "lamb")]
+
+
+def test_pairs_of_a_block_are_of_different_values(spark):
+    """Ten thousand copies of five names make 25 pairs, in several parts; the best of each row is right."""
+    a = spark.range(10_000).select("id", F.lit("b").alias("block"), F.concat(F.lit("name "), (F.col("id") % 5).cast("string")).alias("name"))
+    pairs = relational.block_pairs(a, a, "block", ["name"], F.min("id"))
+    assert pairs.count() == 25
+    got = match.match(a, a.withColumnRenamed("id", "ref"), "block", "id", "ref", {"n": (1.0, match.edit_similarity(F.col("a_name"), F.col("b_name")))}, ["name"], [("same", 1.0)])
+    assert got.where("match_id = id % 5 and score = 1 and tier = 'same'").count() == 10_000
+
+
 def test_reverting_snapshots_are_changes(spark):
     df = spark.createDataFrame([("k", "A", 1), ("k", "B", 2), ("k", "A", 3), ("k", "A", 4)], "k string, fingerprint string, seen int")
     assert sorted((r["fingerprint"], r["seen"]) for r in streaming.changed_within(df, "k").collect()) == [("A", 1), ("A", 3), ("B", 2)]
@@ -153,7 +190,7 @@ def test_snapshot_stream(spark, tmp_path):
     stream = spark.readStream.schema("k string, fingerprint string, seen int").parquet(source)
     start = streaming.snapshot_stream(stream, path, "k")
     start(str(tmp_path / "checkpoint")).awaitTermination()
-    got = {r["k"]: (r["fingerprint"], r["last_seen"]) for r in spark.read.parquet(path).collect()}
+    got = {r["k"]: (r["fingerprint"], r["last_seen"]) for r in sources.current(spark, path).collect()}
     assert got == {"a": ("2", 5), "b": ("2", 6)}
 
 
@@ -164,7 +201,7 @@ def test_merge_stream(spark, tmp_path):
     allow = spark.createDataFrame([("b1", "ACTIVE")], "brand string, status string")
     stream = spark.readStream.schema("id long, brand string, name string, kcal double, ord int").parquet(source)
     streaming.merge_stream(stream, path, allow, "id", ["brand", "name"], ["kcal"], ["ord"])(str(tmp_path / "checkpoint")).awaitTermination()
-    assert sorted((r["id"], r["kcal"]) for r in spark.read.parquet(path).collect()) == [(1, 5.0), (2, 6.0)]
+    assert sorted((r["id"], r["kcal"]) for r in sources.current(spark, path).collect()) == [(1, 5.0), (2, 6.0)]
 
 
 def test_entry(spark):
