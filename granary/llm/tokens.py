@@ -1,11 +1,11 @@
 """Token counts and ids: batch encoding inside Arrow functions.
 
 The pattern of a byte-level BPE always begins a new token where white space follows a
-visible character, so a text may be cut there without changing its ids; texts of Latin
-characters are cut into pre-tokens outright, whose ids the library's model gives.  The pieces of a batch that were not seen before are encoded and their
-results kept in a bounded table per worker.  Texts with white space outside ASCII (where the
-libraries' tables could differ) are encoded in one piece, as are all texts for tokenizers of
-another kind.
+visible character, and where a letter follows a stop or bracket, so a text may be cut there
+without changing its ids; texts of Latin characters are cut into pre-tokens outright.  The pieces
+of a batch that were not seen before are encoded together by the library and their results
+kept in a bounded table per worker.  Batches are balanced by UTF-8 bytes.  Tokenizers of another
+kind get whole texts.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ BATCH_BYTES = 1 << 20
 #: Pieces kept per worker before the table is emptied.
 KEEP = 400_000
 
-_PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
+#: Letters and other visible characters whose class is the same in all Unicode tables.
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0391-\u03a1\u0410-\u044f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_STOP = r".,;:!?()\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f"
+#: Ends of parts that keep their ids apart from what follows.
+_SAFE = re.compile(f"[!-~{_LETTER}{_STOP}](?=[ \t-\r])|[{_STOP}](?=[{_LETTER}])")
 #: Fixed value: the pre-token pattern of byte-level BPE, with its classes written out for
 #: characters up to U+024F, where all libraries agree on them.
 _L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -75,17 +78,22 @@ def is_byte_level(name: str = TOKENIZER) -> bool:
         with open(tokenizer_path(name), encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
-        _LOADED["byte level", name] = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and all("<" in t["content"] for t in spec["added_tokens"])
+        _LOADED["byte level", name] = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not any(_SAFE.search(t["content"]) or "<" not in t["content"] for t in spec["added_tokens"])
     return _LOADED["byte level", name]
 
 
 def pieces(text: str) -> list[str]:
     """`text` cut at safe boundaries; joined they are `text`."""
-    return [text] if _ODD_SPACE.search(text) else _PIECES.findall(text)
+    ends = [m.end() for m in _SAFE.finditer(text)]
+    return [text[i:j] for i, j in zip([0, *ends], [*ends, len(text)], strict=True)]
 
 
 class Encoder:
-    """Ids (as little-endian unsigned 32-bit bytes) or lengths of whole texts."""
+    """Ids (as little-endian unsigned 32-bit bytes) or lengths of whole texts.
+
+    Lengths come from batches that the library encodes.  For ids, pre-tokens are given to the
+    library's model one by one, which returns them sooner than a batch of encodings does.
+    """
 
     def __init__(self, name: str = TOKENIZER, lengths: bool = False):
         self.name, self.lengths, self.kept = name, lengths, {}
@@ -100,21 +108,27 @@ class Encoder:
             return _TOKEN.findall(text)
         return pieces(text)
 
+    def _batched(self, new: list[str]) -> list[bytes]:
+        out = []
+        for run in by_bytes(new):
+            if self.name.endswith(".model"):
+                ids = self.load.encode(run, num_threads=1)
+            else:
+                ids = [e.ids for e in self.load.encode_batch_fast(run, add_special_tokens=False)]
+            out += [array("I", i).tobytes() for i in ids]
+        return out
+
     def _ids(self, new: list[str]) -> list[bytes]:
-        found, rest = {}, []
-        tokenize = self.load.model.tokenize if self.cuts else None
+        if self.lengths or not self.cuts:
+            return self._batched(new)
+        found, rest, tokenize = {}, [], self.load.model.tokenize
         for p in new:
-            if tokenize and "<" not in p and not _NOT_LATIN.search(p) and _TOKEN.fullmatch(p):
+            if "<" not in p and not _NOT_LATIN.search(p) and _TOKEN.fullmatch(p):
                 spelled = p.replace(" ", "\u0120") if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(_SPELLED)
                 found[p] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
             else:
                 rest.append(p)
-        if rest:
-            if self.name.endswith(".model"):
-                ids = self.load.encode(rest, num_threads=1)
-            else:
-                ids = [e.ids for e in self.load.encode_batch_fast(rest, add_special_tokens=False)]
-            found.update((p, array("I", i).tobytes()) for p, i in zip(rest, ids, strict=True))
+        found.update(zip(rest, self._batched(rest), strict=True))
         return [found[p] for p in new]
 
     def _encode(self, new: list[str]) -> None:
@@ -134,31 +148,32 @@ class Encoder:
         return [sum(map(get, c)) for c in cut] if self.lengths else [b"".join(map(get, c)) for c in cut]
 
 
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def by_bytes(texts: list[str | None], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Consecutive runs of texts of about `limit` characters; a null text is empty."""
+    """Consecutive runs of texts of about `limit` UTF-8 bytes; a null text is empty."""
     run, size = [], 0
     for t in texts:
         t = t or ""
-        if run and size + len(t) > limit:
+        n = n_bytes(t)
+        if run and size + n > limit:
             yield run
             run, size = [], 0
         run.append(t)
-        size += len(t)
+        size += n
     if run:
         yield run
 
 
 def split_long(text: str, limit: int = BATCH_BYTES) -> list[str]:
-    """A long text in parts of about `limit` characters, cut at safe boundaries only."""
-    if len(text) <= limit or _ODD_SPACE.search(text):
-        return [text]
+    """A long text in parts of about `limit` characters, cut at safe boundaries only: the first
+    from `limit` on.  A run without any, such as one word, stays whole."""
     out, at = [], 0
-    while len(text) - at > limit:
-        cut = next((m.start() + 1 for m in re.compile(r"[^ \t-\r][ \t-\r]").finditer(text, at + limit)), None)
-        if cut is None:
-            break
-        out.append(text[at:cut])
-        at = cut
+    while len(text) - at > limit and (m := _SAFE.search(text, at + limit)):
+        out.append(text[at : m.end()])
+        at = m.end()
     return [*out, text[at:]]
 
 
