@@ -2,13 +2,17 @@
 
 Every distinct fingerprint gets its Hamming distances to a table of reference fingerprints
 (the pivots).  Two fingerprints within t bits differ by at most t in every coordinate of the
-table, so a pair whose largest coordinate difference is over t is discarded before its bits
-are compared.  So that not all pairs are formed, pairs come from blocks: with t <= 2 and four
-segments of 16 bits, two segments at least are equal, so the six tables keyed by two segments
-hold every linked pair.  A block with more than BLOCK members isn't paired: there each member
-is filed under itself and its 64 one-bit neighbours, and all members filed under one value are
-linked to the smallest of them (two fingerprints are within two bits of each other just if
-they share such a value) - exact, and linear in the block.
+table.  The first coordinate is part of the key that forms candidate pairs: a fingerprint meets
+those at the same distance from the first pivot and at one to t more.  Of these pairs, those whose
+largest coordinate difference is over t are discarded before their bits are compared.
+
+A coordinate of random fingerprints lies within a few of 32, so no number of them parts a large
+table well.  The key therefore also holds two of four segments of 16 bits: with t <= 2 two
+segments at least are equal, so the six tables keyed by two segments hold every linked pair.
+A block of more than BLOCK members of one key is a dense cloud, whose pairs are too many to form;
+there each member is filed under itself and its 64 one-bit neighbours, and all members filed
+under one value are linked to the smallest of them (two fingerprints are within two bits of each
+other just if they share such a value) - exact, and linear in the block.
 """
 
 from __future__ import annotations
@@ -96,10 +100,13 @@ def links(distinct: DataFrame) -> DataFrame:
     counted = filed.groupBy("_table", "_key").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
     met = materialize(filed.join(counted, ["_table", "_key"]).select("_table", "_key", "_n", "fp"), "blocks")
     tabled = met.where(F.col("_n") <= BLOCK).select("_table", "_key", "fp", *[c.alias(f"_t{i}") for i, c in enumerate(distance_table(F.col("fp")))])
-    a, b = tabled.alias("a"), tabled.alias("b")
-    same = (F.col("a._table") == F.col("b._table")) & (F.col("a._key") == F.col("b._key")) & (F.col("a.fp") < F.col("b.fp"))
-    near = a.join(b, same & within_table("a", "b")).where(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= BITS_APART)
-    near = near.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+    first = F.col("_t0").bitwiseAND(F.lit(255))
+    a = tabled.withColumn("_c", first).alias("a")
+    b = tabled.withColumn("_c", F.explode(F.array(*[first - i for i in range(BITS_APART + 1)]))).alias("b")
+    same = (F.col("a._table") == F.col("b._table")) & (F.col("a._key") == F.col("b._key")) & (F.col("a._c") == F.col("b._c"))
+    once = (F.col("a.fp") < F.col("b.fp")) | (F.col("b._t0").bitwiseAND(F.lit(255)) > F.col("b._c"))
+    near = a.join(b, same & once & within_table("a", "b")).where(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= BITS_APART)
+    near = near.select(F.least("a.fp", "b.fp").alias("u"), F.greatest("a.fp", "b.fp").alias("v"))
     crowd = met.where(F.col("_n") > BLOCK).select("fp").distinct()
     balls = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << i) - (1 << 64 if i == 63 else 0))) for i in range(64)])
     balls = crowd.select("fp", F.explode(balls).alias("_ball"))
@@ -147,7 +154,7 @@ def _grouped(marked: DataFrame, edges: DataFrame, node: str) -> DataFrame:
     lowest = named.groupBy("_root").agg(F.min("first").alias("component_id"))
     of = nodes.join(lowest, "_root").select(F.col("_node").alias(node), "component_id")
     ids = distinct.join(of, node, "left").select(node, F.coalesce("component_id", "first").alias("component_id"))
-    return marked.join(ids, node)
+    return marked.join(materialize(ids, "ids"), node)  # a join of two plain shuffles: Spark splits a hot node's rows
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
