@@ -3,7 +3,9 @@
 Each source's target comes from its weight by water filling under a repeat cap.  Its weight
 schedule, a ramp over training time t in [0, 1], is integrated to a cumulative demand of
 words; the words of the source, laid out in a seeded order, are cut at the target, and each
-document's position is the time at which the demand reaches its middle.
+document's position is the time at which the demand reaches its middle.  Range-sorted by
+position, the uses of all sources are the training order; the place of a use is the number of
+words before it there.
 """
 
 from __future__ import annotations
@@ -72,8 +74,9 @@ def mix(
     text: str = "text",
     source: str = "source",
 ) -> DataFrame:
-    """One row per document: `row` (all input columns as a struct), doc_id, source, size,
-    source_size, target, taken, uses (array of (pass, words, position), empty if not taken).
+    """One row per document: `row` (all input columns as a struct), doc_id, source, source_rank,
+    size, source_size, target, taken, uses (array of (pass, words, position), empty if not
+    taken), at (words of its source before it), order_key, text_hash, n_all (documents).
 
     Null text: size 0, never taken.  Null source: a source of its own, last.  The order in a
     source is md5(seed:doc_id), then size and a hash of the text, so reruns agree; rows equal
@@ -83,23 +86,41 @@ def mix(
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_order"), F.xxhash64(text).alias("_text"))
     targets = source_targets(rows.select("source", "size"), weights, share, repeats)
-    targets = targets.select(F.col("source").alias("_source"), "n_rows", "source_size", "target", _cycle(F.col("rank"), tuple(r[0] for r in ramps)).alias("_from"), _cycle(F.col("rank"), tuple(r[1] for r in ramps)).alias("_to"))
+    targets = targets.select(F.col("source").alias("_source"), "n_rows", "source_size", "target", F.col("rank").alias("source_rank"), F.sum("n_rows").over(Window.partitionBy()).alias("n_all"), _cycle(F.col("rank"), tuple(r[0] for r in ramps)).alias("_from"), _cycle(F.col("rank"), tuple(r[1] for r in ramps)).alias("_to"))
     buckets = F.ceil(F.col("n_rows") / RANK_ROWS)
     spread = F.conv(F.substring("_order", 1, 7), 16, 10).cast("long")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_bucket", F.shiftright(spread * buckets, 28))
-    laid = two_level(rows, ["source"], "_bucket", [F.col("_order"), F.col("size"), F.col("_text")], weight="size", out="_at")
+    laid = two_level(rows, ["source"], "_bucket", [F.col("_order"), F.col("size"), F.col("_text")], weight="size", out="at")
     wanted = F.floor("target")
     uses = []
     for i in range(repeats):
-        begin = F.col("_at") + F.col("source_size") * i
+        begin = F.col("at") + F.col("source_size") * i
         words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), wanted - begin))
         uses.append(F.struct(F.lit(i).alias("pass"), words.alias("words"), position(begin + words / 2, F.col("target"), F.col("_from"), F.col("_to")).alias("position")))
     laid = laid.withColumn("uses", F.filter(F.array(*uses), lambda u: u["words"] > 0))
     taken = F.aggregate("uses", F.lit(0).cast("long"), lambda s, u: s + u["words"])
-    return laid.select("row", "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "uses")
+    return laid.select("row", "doc_id", "source", "source_rank", "size", "source_size", "target", taken.alias("taken"), "uses", "at", F.col("_order").alias("order_key"), F.col("_text").alias("text_hash"), "n_all")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
     """A row per use of a document, range-sorted by position: row, words, position, pass."""
-    used = mixed.select("row", "size", F.explode("uses").alias("use")).select("row", "size", "use.*")
-    return used.orderBy("position", F.col("row").getField(mixed.schema["row"].dataType.names[0]))
+    used = mixed.select("row", "size", "source_rank", "order_key", "text_hash", F.explode("uses").alias("use")).select("*", "use.*")
+    return used.orderBy("position", "source_rank", "pass", "order_key", "size", "text_hash").select("row", "size", "words", "position", "pass")
+
+
+def placed(mixed: DataFrame) -> DataFrame:
+    """A row per document: doc_id, size, source_size, target, taken, and of its first and last
+    use position and place (null where it isn't taken).
+
+    The order is that of `training_order`: uses are dealt to ranges of positions, whose words
+    are summed along, and sorted within.
+    """
+    same = ["doc_id", "size", "source_size", "target", "taken"]
+    used = mixed.select("source_rank", "at", *same, "order_key", "text_hash", "n_all", F.explode("uses").alias("use")).select("*", "use.*").drop("use")
+    used = used.withColumn("_bucket", F.floor(F.col("position") * F.ceil(F.col("n_all") / RANK_ROWS)))
+    order = [F.col(c) for c in ("position", "source_rank", "pass", "order_key", "size", "text_hash")]
+    ranked = two_level(used, [], "_bucket", order, weight="words", out="place")
+    ends = [f(c).alias(n) for c in ("position", "place") for f, n in ((F.min, c), (F.max, f"last_{c}"))]
+    taken = ranked.groupBy("source_rank", "at").agg(*[F.first(c).alias(c) for c in same], *ends).drop("source_rank", "at")  # a taken document has words, so its place in its source is its own
+    none = mixed.where(F.size("uses") == 0).select(*same, *[F.lit(None).cast(k).alias(c) for c, k in (("position", "double"), ("last_position", "double"), ("place", "long"), ("last_place", "long"))])
+    return taken.unionByName(none)

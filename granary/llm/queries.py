@@ -25,8 +25,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.placed(mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source")))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,18 +94,29 @@ WITH d AS (
 ), l AS (
   SELECT *, (sum(source_size::DOUBLE) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
     / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) AS level FROM f
-), o AS (
+), z AS (
   SELECT min(fill) AS first_open, arg_min(level, fill) AS open_level FROM l WHERE cap > weight * level
 ), t AS (
-  SELECT source, source_size, CASE WHEN fill >= first_open THEN weight * open_level ELSE cap END AS target FROM l LEFT JOIN o ON true
+  SELECT source, source_size, CASE WHEN fill >= first_open THEN weight * open_level ELSE cap END AS target, rnk,
+    CASE (rnk - 1) % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS ramp_from,
+    CASE (rnk - 1) % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS ramp_to FROM l LEFT JOIN z ON true
 ), c AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rnk, t.ramp_from, t.ramp_to, md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '')) AS ord,
     sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (
+  SELECT *, CAST(greatest(0, least(size, floor(target) - (before + source_size * pass))) AS BIGINT) AS words FROM c, (VALUES (0), (1)) AS q(pass)
+), u AS (
+  SELECT *, least(greatest((before + source_size * pass + words / 2.0::DOUBLE) / target, 0.0::DOUBLE), 1.0::DOUBLE) AS u FROM p WHERE words > 0
+), o AS (
+  SELECT *, CASE WHEN ramp_from = ramp_to THEN u ELSE (sqrt(ramp_from * ramp_from + (ramp_to * ramp_to - ramp_from * ramp_from) * u) - ramp_from) / (ramp_to - ramp_from) END AS position FROM u
+), g AS (
+  SELECT *, CAST(sum(words) OVER (ORDER BY position, rnk, pass, ord ROWS UNBOUNDED PRECEDING) - words AS BIGINT) AS place FROM o
+), a AS (
+  SELECT doc_id, rnk, before, size, sum(words) AS taken, min(position) AS position, max(position) AS last_position, min(place) AS place, max(place) AS last_place FROM g GROUP BY ALL
 )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - before - source_size)) AS BIGINT) AS taken
-FROM c
+SELECT c.doc_id, c.size, c.source_size, c.target, CAST(coalesce(a.taken, 0) AS BIGINT) AS taken, a.position, a.last_position, a.place, a.last_place
+FROM c LEFT JOIN a ON c.doc_id IS NOT DISTINCT FROM a.doc_id AND c.rnk = a.rnk AND c.before = a.before AND c.size = a.size
 """
 
 
