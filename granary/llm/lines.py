@@ -120,7 +120,7 @@ def templates(found: DataFrame, min_docs: int = MIN_DOCS, solid: float = SOLID)
     more = several.select("doc", "tag", "leaf", "tokens_hash").join(kept, ["leaf", "tokens_hash"]).select("template", "doc", "tag").distinct()
     docs = kept.select("template", F.col("n_alone").alias("_n")).unionByName(more.groupBy("template").agg(F.count("*").alias("_n")))
     often = docs.groupBy("template").agg(F.sum("_n").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
-    return kept.join(often, "template").select("leaf", "tokens_hash", "template")
+    return kept.join(materialize(often, "often"), "template").select("leaf", "tokens_hash", "template")
 
 
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS, solid: float = SOLID) -> DataFrame:
@@ -132,12 +132,12 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth:
     """
     texts = _texts(docs, key, text)
     filed = materialize(leaves(texts, depth), "leaves")
-    met = filed.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf")
+    met = materialize(filed.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf"), "leaves")  # so that a hot leaf's rows are split
     wanted = filed.join(met, "leaf").groupBy("doc", "tag").agg(F.collect_list(F.struct("leaf", "lines")).alias("at"))
     found = _candidates(texts, wanted).withColumn("tokens_hash", F.xxhash64("tokens"))
     dropped = templates(found.drop("tokens_hash"), min_docs, solid)
     hits = materialize(found.select("doc", "tag", "line", "leaf", "tokens_hash").join(dropped, ["leaf", "tokens_hash"]).select("doc", "tag", "line", "template"), "dropped")
-    first = hits.groupBy("template").agg(F.min(F.struct("doc", "tag", "line")).alias("_first"))
+    first = materialize(hits.groupBy("template").agg(F.min(F.struct("doc", "tag", "line")).alias("_first")), "first")
     gone = hits.join(first, "template").where(F.struct("doc", "tag", "line") != F.col("_first"))
     gone = gone.groupBy("doc", "tag").agg(F.collect_set("line").alias("_gone"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"))
