@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,13 +15,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one window of a two-level rank holds on average.
 RANK_ROWS = 10_000
 
+#: Buckets that are summed along in one task.
+RUN = 1_000
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
+    """The cluster's shared checkpoint folder, from `spark.checkpoint.dir` or the session.
+
+    Where neither is set, a local session (one machine) takes a folder of its own in the warehouse;
+    a cluster's is an error, since executors could not read each other's local folders.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="granary-")
-        spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
@@ -51,16 +59,23 @@ def two_level(
     """Exclusive running count (or sum of `weight`) in `by`, ordered by (`bucket`, `order`).
 
     `bucket` must be monotone in the wanted order.  Counts per bucket are combined before
-    the shuffle and summed along the buckets; rows only meet the rows of their own bucket,
-    so a `by` value with a third of the rows is spread over its buckets.
+    the shuffle and summed along runs of RUN buckets and along the buckets of a run; rows only
+    meet the rows of their own bucket, so a `by` value with a third of the rows is spread over
+    its buckets.
     """
     one = F.col(weight) if weight else F.lit(1).cast("long")
     keys = [*by, bucket]
-    per = df.groupBy(*keys).agg(F.sum(one).alias("_in_bucket"))
-    along = Window.partitionBy(*[F.col(c) for c in by]).orderBy(bucket) if by else Window.orderBy(bucket)
-    before = F.sum("_in_bucket").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_in_bucket")
-    per = per.select(*[F.col(c).alias(f"_k_{c}") for c in keys], before.alias("_before"))
-    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    per = df.groupBy(*keys).agg(F.sum(one).alias("_in_bucket")).withColumn("_run", F.floor(F.col(bucket) / RUN))
+    runs = per.groupBy(*by, "_run").agg(F.sum("_in_bucket").alias("_in_run"))
+    sofar = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    along = Window.partitionBy(*by).orderBy("_run") if by else Window.orderBy("_run")  # one row for RUN buckets
+    runs = runs.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_run")], sofar(along, "_in_run").alias("_before_run"))
+    per = per.join(runs, _null_safe([*by, "_run"])).withColumn("_before", F.col("_before_run") + sofar(Window.partitionBy(*by, "_run").orderBy(bucket), "_in_bucket"))
+    per = per.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_before")
     here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = df.join(per, on, "inner")
+    joined = df.join(per, _null_safe(keys), "inner")
     return joined.withColumn(out, F.col("_before") + F.sum(one).over(here) - one).drop("_before", *[f"_k_{c}" for c in keys])
+
+
+def _null_safe(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])

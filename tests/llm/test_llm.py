@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from made_texts import prose
 
-from granary.llm import language, lines, mixing, packing, quality, sharding, simhash, substrings, tiff, tokens
+from granary.llm import common, language, lines, mixing, packing, quality, sharding, simhash, substrings, tiff, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -78,7 +78,7 @@ def test_token_counts_of_other_tokenizers(docs, docs_rows, name):
 
 def test_safe_cuts_keep_the_ids():
     rng, t = random.Random(3), tokens.load()
-    alphabet = [*"ab Z'\n\t  \r\x0b\x1c\x85\xa0é中日ñ1½!#<|>,._-😀　​", "<|endoftext|>", "'s", "n't", "  ", "\n\n", " the"]
+    alphabet = [*"ab Z'\n\t  \r\x0b\x1c\x85\xa0é中日ñ1½!#<|>,._-😀　​", "<|endoftext|>", "'s", "n't", "  ", "\n\n", " the", *"。，、？(（）)?:；한あЖΩ\u2028"]
     encode = tokens.Encoder()
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50)))
@@ -88,6 +88,19 @@ def test_safe_cuts_keep_the_ids():
         assert "".join(parts) == text and sum((t.encode(p, add_special_tokens=False).ids for p in parts), []) == want
 
 
+def test_long_texts_are_cut_and_batches_hold_bytes():
+    cjk = "这是一个没有空格的句子。" * 4000
+    odd = "word\u00a0word and more, " * 4000
+    for text in (cjk, odd):
+        parts = tokens.split_long(text, 1000)
+        assert "".join(parts) == text and max(map(len, parts)) < 1100
+    assert tokens.split_long("a" * 5000, 1000) == ["a" * 5000]
+    runs = list(tokens.by_bytes(["é" * 300] * 10 + [None, "x" * 5000], 1000))
+    assert [sum(map(tokens.n_bytes, r)) for r in runs] == [600] * 10 + [5000]
+    t = tokens.load()
+    assert sum(tokens.Encoder(lengths=True)(tokens.split_long(cjk, 1000))) == len(t.encode(cjk, add_special_tokens=False).ids)
+
+
 def test_packing_is_whole_and_tight(docs, docs_rows, encoded):
     out = packing.pack(docs).collect()
     by_doc = defaultdict(list)
@@ -172,6 +185,21 @@ def test_mix_meets_targets(docs, docs_rows):
     assert Counter((r["doc_id"], r["taken"]) for r in again) == Counter((r["doc_id"], r["taken"]) for r in out)
 
 
+def test_places_are_those_of_the_training_order(docs):
+    mixed = mixing.mix(docs)
+    at, want = 0, defaultdict(list)
+    for r in mixing.training_order(mixed).select("row.doc_id", "row.text", "words", "position", "pass").collect():
+        want[r["doc_id"], r["text"], r["pass"]].append((r["position"], at))
+        at += r["words"]
+    out = mixing.placed(mixed).collect()
+    ours = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["position"], r["place"]) for r in out if r["place"] is not None)
+    theirs = sorted((k[0] is None, k[0] or 0, p, a) for k, v in want.items() if k[2] == 0 for p, a in v)
+    assert ours == theirs
+    lasts = Counter(r["last_place"] for r in out if r["place"] is not None)
+    assert set(lasts) <= {a for v in want.values() for _, a in v} and max(lasts.values()) == 1
+    assert len(out) == docs.count() and all((r["taken"] == 0) == (r["place"] is None) for r in out)
+
+
 def test_training_order_is_sorted_and_carries_rows(docs):
     mixed = mixing.mix(docs)
     order = mixing.training_order(mixed).select("position", "row.*").collect()
@@ -210,10 +238,13 @@ def test_mixing_and_sharding_of_nothing(no_docs):
 def test_ranks_cross_buckets(spark, monkeypatch):
     monkeypatch.setattr(sharding, "RANK_ROWS", 7)
     monkeypatch.setattr(mixing, "RANK_ROWS", 7)
+    monkeypatch.setattr(common, "RUN", 3)
     df = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b "), F.col("id").cast("string")).alias("text"), (F.col("id") % 3).cast("string").alias("source"))
     out = sharding.interleave(df).collect()
     assert Counter(r["shard"] for r in out) == Counter({s: 25 for s in range(8)})
     assert all(sorted(r["slot"] for r in out if r["shard"] == s) == list(range(25)) for s in range(8))
+    places = sorted((r["place"], r["taken"]) for r in mixing.placed(mixing.mix(df)).where("position = last_position").collect())
+    assert len(places) > 20 and len({p for p, _ in places}) == len(places)
     mixed = mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t")).collect()
     assert all(r["n"] == int(r["t"] + 1e-9) for r in mixed)
 
