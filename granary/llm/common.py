@@ -36,9 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: lineage is cut there,
-    later plans read the same rows however often, and a lost executor loses nothing."""
+    later plans read the same rows however often, and a lost executor loses nothing.
+
+    Zstandard, since the buffers of the default codec are outside the heap and, where many small
+    files are written, freed late.  The tables are those of one run: the folder is the cluster's
+    checkpoint folder, whose cleaning removes them.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,8 @@ the medians, over the distinct thousandths of a statistic, whose logarithms span
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +35,9 @@ SPACE = " \t\n\x0b\x0c\r"
 GRAM = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 H, CUTOFF = 0.75, 30.0
-#: Steps for all starts, starts that go on, steps at most, least fall of the log determinant.
-FIRST_STEPS, BEST, MOST_STEPS, FALL = 2, 2, 30, 1e-4
+#: Steps for all starts, starts that go on, steps between two looks at the determinant, looks at
+#: most, least fall of the log determinant.
+FIRST_STEPS, BEST, STEPS, MOST_LOOKS, FALL = 2, 2, 2, 15, 1e-4
 #: h / F(chi2 with d + 2 degrees at the h quantile of chi2 with d), d = 4, for h = 0.75 and for
 #: the rows of the reweighted estimate (0.975, whose quantile is WITHIN).
 CONSISTENCY, WITHIN, CONSISTENCY_WITHIN = 1.487, 11.143, 1.0645
@@ -202,19 +205,21 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     return _factor(got, SUMS, CONSISTENCY, FLOOR).select(*EACH, *MEANS, *LOWER, size.alias("size"))
 
 
+def concentrated(rows: DataFrame, estimate: DataFrame, steps: int) -> DataFrame:
+    return reduce(lambda e, _: concentrate(rows, e), range(steps), estimate)
+
+
 def smallest_determinant(rows: DataFrame) -> DataFrame:
     """GROUP, _start, MEANS, LOWER: the estimate of smallest determinant of each group."""
-    now = materialize(first_estimates(rows), "estimate")
-    for _ in range(FIRST_STEPS):
-        now = materialize(concentrate(rows, now), "estimate")
+    now = materialize(concentrated(rows, first_estimates(rows), FIRST_STEPS), "estimate")
     rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy("size", "_start"))  # four rows a group
     now = now.withColumn("_rank", rank).where(F.col("_rank") <= BEST).drop("_rank").withColumn("_on", F.lit(True))
     cells = [*MEANS, *LOWER, "size"]
-    for _ in range(MOST_STEPS):
+    for _ in range(MOST_LOOKS):
         now = materialize(now, "estimate")
         if not now.where("_on").head(1):
             break
-        new = concentrate(rows, now.where("_on"))
+        new = concentrated(rows, now.where("_on"), STEPS)
         both = now.alias("r").join(new.alias("e"), _same("r", "e", EACH), "left")
         falls = F.coalesce(F.col("e.size") < F.col("r.size") - FALL, F.lit(False))
         now = both.select(*[F.col(f"r.{c}").alias(c) for c in EACH], *[F.when(falls, F.col(f"e.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in cells], falls.alias("_on"))

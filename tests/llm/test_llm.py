@@ -303,7 +303,12 @@ def mcd(x):
         now.append(state)
     best = []
     for state in sorted(now, key=lambda s: s[2])[: quality.BEST]:
-        while (new := mcd_steps(x, *state[:2]))[2] < state[2] - quality.FALL:
+        while True:
+            new = state
+            for _ in range(quality.STEPS):
+                new = mcd_steps(x, *new[:2])
+            if new[2] >= state[2] - quality.FALL:
+                break
             state = new
         best.append(state)
     return min(best, key=lambda s: s[2])
