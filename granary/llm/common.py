@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,6 +48,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_ids(docs: DataFrame, key: str) -> DataFrame:
+    """`docs`, whose ids are whole numbers; other types are an error before any job runs."""
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} has to be a whole number, since documents are ordered by it")
+    return docs
+
+
 def hash_bucket(hashed: Column, buckets: Column) -> Column:
     """Order-preserving bucket 0..buckets-1 of a signed 64-bit hash."""
     upper = F.shiftrightunsigned(hashed.bitwiseXOR(F.lit(-(1 << 63))), 33)  # 31 bits, unsigned order

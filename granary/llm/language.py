@@ -10,6 +10,7 @@ the nested sets of the largest proportions: each language beyond the first costs
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,8 +30,11 @@ SET_MOST = 4
 #: Characters that are worked on at once.
 CHUNK = 1 << 20
 SMOOTHING = 0.5
+#: Languages that a model may have: it reaches the driver and every worker.
+LANGS_MOST = 128
 
 _LETTERS: list[np.ndarray] = []
+_SPACE = re.compile(r"\s")
 
 
 def letters() -> np.ndarray:
@@ -91,13 +95,17 @@ def count_trigrams(rows: DataFrame) -> DataFrame:
 def learn(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order and log P(trigram | language), buckets x languages.
 
-    At most BUCKETS rows for each language reach the driver, whatever the input.
+    At most BUCKETS numbers for each language reach the driver, whatever the input; over
+    LANGS_MOST languages are a ValueError.
     """
-    counts = count_trigrams(rows).toPandas()
-    langs = sorted(counts["lang"].unique())
-    table = np.full((BUCKETS, len(langs)), SMOOTHING)
-    if langs:
-        table[counts["bucket"].to_numpy(), np.searchsorted(langs, counts["lang"].to_numpy(dtype=str))] += counts["n"].to_numpy()
+    n = rows.select("lang").distinct().limit(LANGS_MOST + 1).count()
+    if n > LANGS_MOST:
+        raise ValueError(f"over {LANGS_MOST} different languages: clean the labels first")
+    per = count_trigrams(rows).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+    found = sorted(per.toArrow().to_pylist(), key=lambda r: r["lang"])
+    langs, table = [r["lang"] for r in found], np.full((BUCKETS, len(found)), SMOOTHING)
+    for i, r in enumerate(found):
+        table[r["at"], i] += r["n"]
     return langs, np.log(table / table.sum(axis=0)).astype(np.float32) if langs else table.astype(np.float32)
 
 
@@ -114,15 +122,35 @@ def _em(p: np.ndarray, doc: np.ndarray, starts: np.ndarray, theta: np.ndarray, s
     return theta, np.add.reduceat(np.log(np.maximum((theta[doc] * p).sum(axis=1), 1e-300)), starts)
 
 
+def parts_of(text: str, limit: int = CHUNK) -> Iterator[str]:
+    """`text` cut at white space from `limit` characters on: no word spans two parts."""
+    at = 0
+    while len(text) - at > limit and (m := _SPACE.search(text, at + limit)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
+def word_likelihoods(texts: list[str], logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihoods of each word in each language, and the text it is in.  Texts are worked
+    on in parts of CHUNK characters; what is kept is a row of numbers for each word."""
+    parts = [(i, p) for i, t in enumerate(texts) for p in parts_of(t)]
+    words, of = [np.zeros((0, logp.shape[1]), dtype=logp.dtype)], [np.zeros(0, dtype=np.int64)]
+    for first, run in chunks([p for _, p in parts]):
+        found, start, doc = trigrams(run)
+        if len(found):
+            at = np.flatnonzero(start)
+            words.append(np.add.reduceat(logp[found], at, axis=0))
+            of.append(np.array([i for i, _ in parts[first : first + len(run)]])[doc[at]])
+    return np.concatenate(words), np.concatenate(of)
+
+
 def mixtures(texts: list[str], logp: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """Proportion of each language in each text (rows of zeros: no letter)."""
     out = np.zeros((len(texts), logp.shape[1]))
-    found, start, doc_of = trigrams(texts)
-    if not len(found):
+    words, doc_word = word_likelihoods(texts, logp)
+    if not len(words):
         return out
-    at = np.flatnonzero(start)
-    words = np.add.reduceat(logp[found], at, axis=0)
-    doc_word = doc_of[at]
     docs, starts = np.unique(doc_word, return_index=True)
     doc = np.repeat(np.arange(len(docs)), np.diff(np.append(starts, len(doc_word))))
     alone = np.add.reduceat(words, starts, axis=0, dtype=np.float64)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, whole_ids
 
 WINDOW, K = 50, 20
 SIDE = WINDOW - K
@@ -572,9 +572,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """`key`, n_bytes, n_removed, n_spans, kept_sha256, kept (binary: what is left).
 
     A null or empty text has nothing to remove.  A null id counts as larger than all others.
-    Rows of equal id never remove from each other.  Other columns are not carried.
+    Rows of equal id never remove from each other; they are told apart by 64-bit hashes of their
+    texts.  Ids of another type than whole numbers are a TypeError.  Other columns are not carried.
     """
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    texts = whole_ids(docs, key).select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = texts.join(removed_spans(texts), ["doc", "tag"], "left").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,6 +50,64 @@ def test_mixtures_are_recovered(spark, docs):
     assert alone.max() == 1 and (alone > 0).sum() == 1
 
 
+def plain_em(text, logp):
+    """The mixture by loops over words, from the definitions."""
+    import unicodedata
+
+    letter = lambda c: unicodedata.category(c)[0] == "L"
+    low, words = "\0" + text.lower() + "\0", []
+    for i, c in enumerate(low):
+        if letter(c):
+            if not letter(low[i - 1]):
+                words.append(np.zeros(logp.shape[1]))
+            a, b, d = (ord(x) if letter(x) else 0 for x in low[i - 1 : i + 2])
+            h = (a * 0x9E3779B1 + b * 0x85EBCA77 + d * 0xC2B2AE3D) % 2**32
+            h ^= h >> 15
+            h = h * 0x2C1B3C6D % 2**32
+            words[-1] = words[-1] + logp[(h >> 16) & (language.BUCKETS - 1)].astype(np.float64)
+    k = logp.shape[1]
+    if not words:
+        return np.zeros(k)
+    peak = [w.max() for w in words]
+    p = [np.exp(w - m) for w, m in zip(words, peak, strict=True)]
+
+    def em(theta, steps):
+        for _ in range(steps):
+            theta = sum(theta * x / (theta * x).sum() for x in p) / len(p)
+        return theta, sum(np.log((theta * x).sum()) for x in p)
+
+    alone = sum(words)
+    best, value = np.eye(k)[alone.argmax()], alone.max() - sum(peak)
+    theta, full = em(np.full(k, 1 / k), language.STEPS)
+    price = language.PENALTY * np.log(max(len(words), 2))
+    if full - value > price:
+        rank = np.argsort(np.argsort(-theta, kind="stable"))
+        for size in range(2, min(k, language.SET_MOST) + 1):
+            part = np.where(rank < size, theta + 1e-6, 0)
+            fit, got_ = em(part / part.sum(), language.STEPS_SET)
+            if got_ - price * (size - 1) > value:
+                best, value = fit, got_ - price * (size - 1)
+    return best
+
+
+def test_mixtures_are_those_of_plain_em(docs, docs_rows, monkeypatch):
+    rng = random.Random(19)
+    langs, logp = language.learn(docs.where("doc_id < 120").select("lang", "text"))
+    texts = [r[1] or "" for r in docs_rows[:30] + docs_rows[140:150] if len(r[1] or "") < 5000]
+    for _ in range(20):
+        texts.append(" ".join(prose(rng, rng.choice(["en", "fr", "de"]), rng.randint(1, 30)) for _ in range(3)))
+    want = np.array([plain_em(x, logp) for x in texts])
+    assert np.allclose(language.mixtures(texts, logp), want, atol=1e-4) and ((want > 0).sum(axis=1) > 1).sum() > 5
+    monkeypatch.setattr(language, "CHUNK", 50)
+    assert np.allclose(language.mixtures(texts, logp), want, atol=1e-4)
+
+
+def test_too_many_languages_are_refused(docs, monkeypatch):
+    monkeypatch.setattr(language, "LANGS_MOST", 2)
+    with pytest.raises(ValueError, match="over 2"):
+        language.language_mixtures(docs)
+
+
 def test_language_without_learning_rows(docs, no_docs):
     assert language.language_mixtures(no_docs).count() == 0
     assert {r["lang_pred"] for r in language.language_mixtures(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
@@ -129,6 +187,28 @@ def test_packing_is_whole_and_tight(docs, docs_rows, encoded):
     assert len(sequences) <= -(-total // 2048) * 1.15 + 1
 
 
+def test_sequences_follow_the_order(spark, docs, docs_rows):
+    """Documents in five files of a training order: sequences come by quarters of it."""
+    many = docs.where("doc_id < 140").unionByName(docs.where("doc_id < 140")).unionByName(docs.where("doc_id = 140"))
+    rank = F.concat(F.lit("part-"), F.col("doc_id") % 5)
+    out = packing.pack(many.withColumn("file", rank), order=F.col("file")).withColumn("file", F.col("doc_id") % 5).collect()
+    assert sum(r["length"] for r in out) == sum(r["length"] for r in packing.pack(many).collect())
+    total, at, part = sum(r["length"] for r in out), 0, {}
+    for f in range(5):
+        n = sum(r["length"] for r in out if r["file"] == f)
+        part[f] = int((at + n / 2) / total * packing.RANGES)
+        at += n
+    assert len(set(part.values())) == 4
+    ids = {q: {r["sequence_id"] for r in out if part[r["file"]] == q} for q in set(part.values())}
+    edges = [(min(v), max(v)) for _, v in sorted(ids.items())]
+    assert all(a[1] < b[0] for a, b in zip(edges, edges[1:], strict=False)) and edges[0][0] == 0
+    assert sorted(set().union(*ids.values())) == list(range(edges[-1][1] + 1))
+    filled = defaultdict(int)
+    for r in out:
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 2048
+
+
 def test_plan_uses_each_piece_once():
     rng = random.Random(1)
     for hist in ({}, {5: 3}, {2048: 4, 1024: 3, 700: 50, 30: 9}, {rng.randint(1, 2048): rng.randint(1, 40) for _ in range(300)}):
@@ -231,6 +311,22 @@ def test_shards_are_even_and_proportional(docs, docs_rows):
         assert max(each) - min(each) <= 2 and sum(each) == n
 
 
+def test_shards_are_the_exact_cut_of_the_fractional_order(docs, docs_rows):
+    """Every row's shard and slot, from the seeded hashes and plain sorts."""
+    cols = [F.xxhash64(F.lit(11), F.col("doc_id")).alias("h"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "source"]
+    rows = [(r["h"], (r["doc_id"] is not None, r["doc_id"] or 0), r["t"], r["source"]) for r in docs.select(*cols).collect()]
+    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
+    order = []
+    for i, s in enumerate(names):
+        mine = sorted(r[:3] for r in rows if r[3] == s)
+        order += [((2 * k + 1) / (2 * len(mine)), i, *r) for k, r in enumerate(mine)]
+    want, n = Counter(), len(rows)
+    for g, r in enumerate(sorted(order)):
+        shard = g * 8 // n
+        want[r[3][1] if r[3][0] else None, names[r[1]], shard, g - -(-shard * n // 8)] += 1
+    assert got(sharding.interleave(docs), "doc_id", "source", "shard", "slot") == want
+
+
 def test_mixing_and_sharding_of_nothing(no_docs):
     assert mixing.mix(no_docs).count() == 0 and sharding.interleave(no_docs).count() == 0
 
@@ -862,5 +958,12 @@ def test_windows_by_transform():
         assert dict(zip(zip(text.tolist(), offset.tolist(), strict=True), low.tolist(), strict=True)) == want
 
 
+def test_ids_have_to_be_whole_numbers(spark):
+    named = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    for f in (substrings.remove_repeats, lines.drop_lines):
+        with pytest.raises(TypeError, match="whole number"):
+            f(named)
+
+
 def test_nothing_to_remove(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
