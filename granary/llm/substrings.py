@@ -47,8 +47,8 @@ K_LONG = 40
 BLOCK, TEXT = 1 << 18, 1 << 18
 #: Blocks whose anchors are combined before they are dealt out.
 COMBINE = 8
-#: Different snippets of an anchor that one transform takes, and anchors that a task folds at once.
-CROWD, FOLD = 4_096, 2_000_000
+#: Different snippets of an anchor that one transform takes, and anchors of a bucket that are folded at once.
+CROWD, FOLD = 4_096, 1_000_000
 #: Stands for a null id: larger than all others.
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -159,8 +159,8 @@ def _arrays(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(n, 8, -1).transpose(0, 2, 1)).view("<i8")[:, :, 0]
 
 
-def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, buckets: int) -> Iterator[tuple[int, bool, bytes, bytes]]:
-    """(bucket, resolved, documents, rows): anchors that go on, and spans resolved here."""
+def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, buckets: int) -> Iterator[tuple[int, bool, bytes, bytes, int]]:
+    """(bucket, resolved, documents, rows, n): n anchors that go on, and spans resolved here."""
     order = np.lexsort((pos, doc, snip, gram))
     gram, snip, pos, doc, tag = (x[order] for x in (gram, snip, pos, doc, tag))
     new = np.ones(len(gram), dtype=bool)
@@ -173,7 +173,7 @@ def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarra
         edges = np.flatnonzero(np.concatenate([[True], (doc[at][1:] != doc[at][:-1]) | (tag[at][1:] != tag[at][:-1])]))
         for s, e in zip(edges, np.append(edges[1:], len(at)), strict=True):
             spans = np.array(_runs(pos[at[s:e]] - SIDE, pos[at[s:e]] + K + SIDE), dtype=np.int64)
-            yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1])
+            yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1]), len(spans)
     on = ~later
     gram, pos, doc, tag, snip = (x[on] for x in (gram, pos, doc, tag, snip))
     short, snip = (gram >> np.uint64(16)).astype(np.int64), snip.view(np.int64)
@@ -181,7 +181,7 @@ def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarra
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(short) else short
     for s, e in zip(cuts, np.append(cuts[1:], len(short)), strict=True) if len(short) else ():
         keys, which = _distinct(doc[s:e], tag[s:e])
-        yield int(bucket[s]), False, _planes(keys[0], keys[1]), _planes(np.diff(short[s:e], prepend=0), which, pos[s:e], snip[s:e])
+        yield int(bucket[s]), False, _planes(keys[0], keys[1]), _planes(np.diff(short[s:e], prepend=0), which, pos[s:e], snip[s:e]), int(e - s)
 
 
 def _distinct(doc: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,11 +198,12 @@ def bucket_count(texts: DataFrame) -> int:
 
 
 def anchors(texts: DataFrame) -> DataFrame:
-    """bucket, resolved, documents, rows: packed anchors of rows (doc, tag, text)."""
+    """bucket, resolved, documents, rows, n: packed anchors of rows (doc, tag, text)."""
     buckets = bucket_count(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+        types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
+
         def seek(held: list) -> tuple[np.ndarray, ...]:
             gram, snip, pos, index = _block(held)
             key = np.array([d[:2] for d in held], dtype=np.int64)
@@ -210,7 +211,7 @@ def anchors(texts: DataFrame) -> DataFrame:
 
         def done(found: list) -> pa.RecordBatch:
             out = list(_parcels(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets))
-            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["bucket", "resolved", "documents", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=["bucket", "resolved", "documents", "rows", "n"])
 
         for batch in batches:
             found, held, size = [], [], 0
@@ -230,7 +231,7 @@ def anchors(texts: DataFrame) -> DataFrame:
             if found:
                 yield done(found)
 
-    return texts.select("doc", "tag", "text").mapInArrow(run, "bucket int, resolved boolean, documents binary, rows binary")
+    return texts.select("doc", "tag", "text").mapInArrow(run, "bucket int, resolved boolean, documents binary, rows binary, n long")
 
 
 def _fold(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, snip: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -246,8 +247,9 @@ def _fold(a: np.ndarray, doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, snip
 def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     """a, doc, tag, pos, end, crowd: anchors that two documents have (end -1), resolved spans.
 
-    A task folds its anchors every FOLD of them: it holds one for each different snippet, and
-    none for crowded anchors, so neither copies nor a common anchor add up in memory.
+    A bucket's anchors stay packed until there are FOLD of them, and are then folded: one is held
+    for each different snippet, and none for crowded anchors, so neither copies nor a common
+    anchor add up in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,43 +260,48 @@ def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
                 part = [pa.array(x[i : i + 50_000]) for x in (a, doc, tag, pos, end)]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(np.full(len(part[0]), crowd))], names=names)
 
-        def fold() -> Iterator[pa.RecordBatch]:
-            nonlocal kept, crowded, size
-            kept, later = _fold(*(np.concatenate(x) for x in zip(kept, *held, strict=True)))
-            held.clear()
-            a, doc, tag, pos, _ = (x[later] for x in kept)
-            yield from out(np.zeros(len(a), dtype=np.int64), doc, tag, pos - SIDE, pos + K + SIDE, False)
-            kept = [x[~later] for x in kept]
-            value, n = np.unique(kept[0], return_counts=True)
-            crowded = np.union1d(crowded, value[n > CROWD])
-            many = np.isin(kept[0], crowded)
-            a, doc, tag, pos, _ = (x[many] for x in kept)
+        def fold(bucket: int) -> Iterator[pa.RecordBatch]:
+            parts = [kept.pop(bucket, [none] * 5)]
+            for documents, rows in held.pop(bucket, []):
+                keys, (step, which, pos, snip) = _arrays(documents, 2), _arrays(rows, 4)
+                parts.append([np.cumsum(step), keys[0][which], keys[1][which], pos, snip])
+            size[bucket] = 0
+            now, later = _fold(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            parts.clear()
+            _, doc, tag, pos, _ = (x[later] for x in now)
+            yield from out(np.zeros(len(doc), dtype=np.int64), doc, tag, pos - SIDE, pos + K + SIDE, False)
+            now = [x[~later] for x in now]
+            value, n = np.unique(now[0], return_counts=True)
+            crowded[bucket] = np.union1d(crowded.get(bucket, none), value[n > CROWD])
+            many = np.isin(now[0], crowded[bucket])
+            a, doc, tag, pos, _ = (x[many] for x in now)
             yield from out(a, doc, tag, pos, np.full(len(a), -1), True)
-            kept = [x[~many] for x in kept]
-            size = 0
+            kept[bucket] = [x[~many] for x in now]
 
         none = np.zeros(0, dtype=np.int64)
-        kept, held, crowded, size = [none] * 5, [], none, 0
+        kept: dict[int, list[np.ndarray]] = {}
+        held: dict[int, list[tuple[bytes, bytes]]] = {}
+        crowded: dict[int, np.ndarray] = {}
+        size: dict[int, int] = {}
         for batch in batches:
-            for resolved, documents, rows in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for bucket, resolved, documents, rows, n in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if resolved:
                     (doc,), (tag,) = _arrays(documents, 2)
                     start, end = _arrays(rows, 2)
                     yield from out(np.zeros(len(start), dtype=np.int64), np.full(len(start), doc), np.full(len(start), tag), start, end, False)
                     continue
-                keys, (step, which, pos, snip) = _arrays(documents, 2), _arrays(rows, 4)
-                held.append([np.cumsum(step), keys[0][which], keys[1][which], pos, snip])
-                size += len(pos)
-                if size >= max(FOLD, len(kept[0])):
-                    yield from fold()
-        if held:
-            yield from fold()
-        a, doc, tag, pos, snip = kept
-        if len(a):
-            starts = np.flatnonzero(_changes(a))
-            n = np.diff(np.append(starts, len(a)))
-            met = np.repeat(np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts), n)
-            yield from out(a[met], doc[met], tag[met], pos[met], np.full(int(met.sum()), -1), False)
+                held.setdefault(bucket, []).append((documents, rows))
+                size[bucket] = size.get(bucket, 0) + n
+                if size[bucket] >= max(FOLD, len(kept.get(bucket, [none])[0])):
+                    yield from fold(bucket)
+        for bucket in sorted(size):
+            yield from fold(bucket)
+            a, doc, tag, pos, _ = kept.pop(bucket)
+            if len(a):
+                starts = np.flatnonzero(_changes(a))
+                n = np.diff(np.append(starts, len(a)))
+                met = np.repeat(np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts), n)
+                yield from out(a[met], doc[met], tag[met], pos[met], np.full(int(met.sum()), -1), False)
 
     rows = packed.repartition(buckets, "bucket")
     return rows.mapInArrow(run, "a long, doc long, tag long, pos long, end long, crowd boolean")
