@@ -160,7 +160,12 @@ def _arrays(data: bytes, n: int) -> np.ndarray:
 
 
 def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, buckets: int) -> Iterator[tuple[int, bool, bytes, bytes, int]]:
-    """(bucket, resolved, documents, rows, n): n anchors that go on, and spans resolved here."""
+    """(bucket, resolved, documents, rows, n): n anchors that go on, and spans resolved here.
+
+    An anchor's hash is the smallest of a window's, so it is mixed once more: buckets by the
+    hash itself would hold ever more towards zero.
+    """
+    gram = _mixed(gram ^ np.uint64(_BASE))
     order = np.lexsort((pos, doc, snip, gram))
     gram, snip, pos, doc, tag = (x[order] for x in (gram, snip, pos, doc, tag))
     new = np.ones(len(gram), dtype=bool)
