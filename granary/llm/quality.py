@@ -253,13 +253,13 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     level = F.when(F.col("_n") >= GROUP_MIN, 0).when(of_lang >= GROUP_MIN, 1).otherwise(2)
     sizes = sizes.withColumn("_level", level)
     by_lang = F.max(F.when(F.col("_level") == 1, True).otherwise(False)).over(Window.partitionBy("_lang"))
-    by_all = sizes.agg(F.max(F.col("_level") == 2).alias("_by_all"))
-    sizes = materialize(sizes.withColumn("_by_lang", by_lang).crossJoin(F.broadcast(by_all)), "sizes")  # one row more
+    sizes = materialize(sizes.withColumn("_by_lang", by_lang), "sizes")
+    by_all = bool(sizes.where("_level = 2").head(1))
     good = counted.where(~F.col("base_failed"))
     sized = good.alias("r").join(sizes.alias("e"), _same("r", "e", ["_lang", "_from"]))
-    sized = sized.select("r.*", "e._level", "e._by_lang", "e._by_all")
+    sized = sized.select("r.*", "e._level", "e._by_lang")
     own = lambda n: F.struct(F.when(F.lit(n < 2), F.col("_lang")).alias("_lang"), F.when(F.lit(n < 1), F.col("_from")).alias("_source"), F.lit(n).alias("_level"))
-    part = [F.when(F.col("_level") == 0, own(0)), F.when(F.col("_by_lang"), own(1)), F.when(F.col("_by_all"), own(2))]
+    part = [F.when(F.col("_level") == 0, own(0)), F.when(F.col("_by_lang"), own(1)), F.when(F.lit(by_all), own(2))]
     used = sized.select(F.explode(F.array_compact(F.array(*part))).alias("_g"), *X).select("_g.*", *X)
     estimate = materialize(smallest_determinant(used), "estimate")
     estimate = materialize(reweighted(used, estimate), "estimate")
