@@ -11,7 +11,7 @@ smaller id.
    on: a passage that many documents share is combined before anything is shuffled.
 2. Anchors are dealt by hash to buckets, as packed arrays sorted by hash (the shuffle then
    carries some sixteen bytes for each).  Buckets are folded as they arrive: of equal snippets
-   (by a 48-bit anchor and a 64-bit snippet hash) only that of the smallest document is held, the
+   (by a 48-bit anchor and a 56-bit snippet hash) only that of the smallest document is held, the
    others are resolved; what no second document has ends there.
 3. The snippets of a run of anchors form one text; breadth-first backward extension on its
    transform derives common prefixes by increasing length and stops at WINDOW: what is not
@@ -181,7 +181,7 @@ def _parcels(gram: np.ndarray, snip: np.ndarray, pos: np.ndarray, doc: np.ndarra
             yield int(doc[at[s]] % buckets), True, _planes(doc[at[s : s + 1]], tag[at[s : s + 1]]), _planes(spans[:, 0], spans[:, 1]), len(spans)
     on = ~later
     gram, pos, doc, tag, snip = (x[on] for x in (gram, pos, doc, tag, snip))
-    short, snip = (gram >> np.uint64(16)).astype(np.int64), snip.view(np.int64)
+    short, snip = (gram >> np.uint64(16)).astype(np.int64), (snip >> np.uint64(8)).astype(np.int64)
     bucket = (short.astype(np.float64) * (buckets / 2.0**48)).astype(np.int64)  # monotone in the hash
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(short) else short
     for s, e in zip(cuts, np.append(cuts[1:], len(short)), strict=True) if len(short) else ():
