@@ -84,7 +84,7 @@ def two_level(
     along = Window.partitionBy(*by).orderBy("_run") if by else Window.orderBy("_run")  # one row for RUN buckets
     runs = runs.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_run")], sofar(along, "_in_run").alias("_before_run"))
     per = per.join(runs, _null_safe([*by, "_run"])).withColumn("_before", F.col("_before_run") + sofar(Window.partitionBy(*by, "_run").orderBy(bucket), "_in_bucket"))
-    per = per.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_before")
+    per = materialize(per.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "_before"), "buckets")  # of a known size, so that a few need no shuffle of `df`
     here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = df.join(per, _null_safe(keys), "inner")
     return joined.withColumn(out, F.col("_before") + F.sum(one).over(here) - one).drop("_before", *[f"_k_{c}" for c in keys])

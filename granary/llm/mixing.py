@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RANK_ROWS, WORD, two_level
+from .common import RANK_ROWS, WORD, materialize, two_level
 
 WEIGHTS = (5, 2, 1)
 #: Start and end of the weight ramps, dealt to sources in turn.
@@ -86,7 +86,7 @@ def mix(
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_order"), F.xxhash64(text).alias("_text"))
     targets = source_targets(rows.select("source", "size"), weights, share, repeats)
-    targets = targets.select(F.col("source").alias("_source"), "n_rows", "source_size", "target", F.col("rank").alias("source_rank"), F.sum("n_rows").over(Window.partitionBy()).alias("n_all"), _cycle(F.col("rank"), tuple(r[0] for r in ramps)).alias("_from"), _cycle(F.col("rank"), tuple(r[1] for r in ramps)).alias("_to"))
+    targets = materialize(targets.select(F.col("source").alias("_source"), "n_rows", "source_size", "target", F.col("rank").alias("source_rank"), F.sum("n_rows").over(Window.partitionBy()).alias("n_all"), _cycle(F.col("rank"), tuple(r[0] for r in ramps)).alias("_from"), _cycle(F.col("rank"), tuple(r[1] for r in ramps)).alias("_to")), "targets")  # of a known size: a few sources need no shuffle of the rows
     buckets = F.ceil(F.col("n_rows") / RANK_ROWS)
     spread = F.conv(F.substring("_order", 1, 7), 16, 10).cast("long")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_bucket", F.shiftright(spread * buckets, 28))
