@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, packing, quality, sharding, simhash, substrings, tiff, tokens
+from . import language, lines, mixing, packing, quality, ranked, sharding, simhash, substrings, tiff, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_tiff": op9_tiff,
         "op10_substrings": op10_substrings,
+        "op13_ranked": op13_ranked,
         "pipeline": pipeline,
     }
 
@@ -120,5 +125,28 @@ FROM c LEFT JOIN a ON c.doc_id IS NOT DISTINCT FROM a.doc_id AND c.rnk = a.rnk A
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (
+  SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d
+), s AS (
+  SELECT count(DISTINCT r) AS n_docs, count(*) AS n_terms FROM t
+), f AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term
+), p AS (
+  SELECT q.item_id, f.r, f.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (50 + (50 * f.n * s.n_docs) // s.n_terms)))) AS BIGINT) AS score
+  FROM q JOIN w ON q.term = w.term JOIN f ON f.term = q.term JOIN s ON true GROUP BY ALL
+), k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM p WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL}
+    return {"op3_mixing": OP3_SQL, "op13_ranked": OP13_SQL}
