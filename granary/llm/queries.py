@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, packing, quality, ranked, sharding, simhash, substrings, tiff, tokens
+from . import language, lines, mixing, packing, quality, ranked, sharding, simhash, spelling, substrings, tiff, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -80,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_tiff": op9_tiff,
         "op10_substrings": op10_substrings,
+        "op11_spelling": op11_spelling,
         "op13_ranked": op13_ranked,
         "pipeline": pipeline,
     }
@@ -125,6 +130,38 @@ FROM c LEFT JOIN a ON c.doc_id IS NOT DISTINCT FROM a.doc_id AND c.rnk = a.rnk A
 """
 
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+), r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), u AS (
+  SELECT id, run, count(*) AS times FROM r GROUP BY ALL
+), b AS (
+  SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)) AS bytes FROM u
+), h AS (
+  SELECT run, times, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(bytes, lambda x: x::BIGINT)), lambda c, x: xor(c // 256, steps[xor(c % 256, x) + 1]::BIGINT)), 4294967295) AS h FROM b, p
+), w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, CAST(sum(times) AS BIGINT) AS n FROM h GROUP BY 1 HAVING sum(times) >= 3 AND length(word) >= 5
+), d AS (
+  SELECT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM w)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word
+), f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form, CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n FROM w LEFT JOIN best USING (word)
+), t AS (
+  WITH RECURSIVE t AS (
+    SELECT word, word AS root, 0 AS step FROM f
+    UNION ALL SELECT t.word, f.form, step + 1 FROM t JOIN f ON t.root = f.word WHERE f.form IS NOT NULL
+  ) SELECT word, arg_max(root, step) AS root FROM t GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN t USING (word)
+"""
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
@@ -149,4 +186,4 @@ SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op13_ranked": OP13_SQL}
+    return {"op3_mixing": OP3_SQL, "op11_spelling": OP11_SQL, "op13_ranked": OP13_SQL}

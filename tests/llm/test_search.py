@@ -5,15 +5,16 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
-import pyarrow as pa
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from made_texts import prose
 
-from granary.llm import ranked
+from granary.llm import ranked, spelling
 
 ITEMS = "item_id long, text string, doc_id long, score long"
 
@@ -77,7 +78,7 @@ def test_a_bound_prunes_and_loses_nothing():
         rows[i] = np.union1d(rows[i], items[i % 20])
     sizes = np.array([len(r) for r in rows])
     terms = np.concatenate(rows)
-    impacts = weights[vocabulary - 1 - terms][: len(terms)] * rng.integers(200_000, 900_000, len(terms))
+    impacts = weights[terms] * rng.integers(200_000, 900_000, len(terms))
     squares = np.add.reduceat(impacts.astype(float) ** 2, np.cumsum(sizes) - sizes)
     order = np.argsort(-squares, kind="stable")
     starts = np.cumsum(sizes) - sizes
@@ -98,3 +99,83 @@ def test_a_bound_prunes_and_loses_nothing():
 def test_terms():
     assert ranked.terms_of("Aé-b_c 中文x\x7fÀÉ9") == ["aé", "b", "c", "中文x", "ÀÉ9"]
     assert pa.array(ranked.terms_of(None)).null_count == 0 and ranked.terms_of(None) == []
+
+
+# 11 spelling variants
+
+
+def one_edit(a: str, b: str) -> bool:
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(docs_rows):
+    """The definition, by loops over all pairs of words."""
+    found = Counter()
+    for r in docs_rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", r[1] or ""):
+            run = re.sub("[A-Z]", lambda m: m.group().lower(), run)
+            h = zlib.crc32(f"{'' if r[0] is None else r[0]}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            found[run] += 1
+    words = {w: n for w, n in found.items() if len(w) >= 5 and n >= 3}
+    by_size: dict = {}
+    for w in words:
+        by_size.setdefault(len(w), []).append(w)
+    form, near = {}, {}
+    for w, n in words.items():
+        close = [v for size in (len(w) - 1, len(w), len(w) + 1) for v in by_size.get(size, ()) if one_edit(w, v)]
+        near[w] = len(close)
+        best = min(close, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+    out = Counter()
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w, form[w], root, n, near[w], words.get(form[w])] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def misspelt_rows(docs_rows):
+    """The awkward rows, with words of one half, of repeated letters, of long runs and of chains."""
+    rng = random.Random(8)
+    made = ["aaaaa", "aaaaaa", "aaaaaaa", "abaaa", "aabaa", "stone", "stones", "stonee", "sstone", "tone", "stine", "\u00e9clair", "eclair", "\u00c9clair", "z" * 300, "z" * 301, "z" * 150 + "y" + "z" * 150]
+    made += ["prefix" + "".join(rng.choice("abc") for _ in range(6)) for _ in range(120)] + ["".join(rng.choice("ab") for _ in range(5)) for _ in range(60)]
+    text = " ".join(w for i, w in enumerate(made) for _ in range(3 * 2 ** (i % 4)))
+    chain = " ".join(w for i, w in enumerate(["linka", "linkb", "linkbb", "inkbb", "inkbc", "inkbcc"]) for _ in range(3 * 2**i))
+    return [*docs_rows, (1000, text, "en", "src0", 1, 7, "x", "y", "z", 1), (1001, chain, "en", "src0", 1, 7, "x", "y", "z", 1)]
+
+
+@pytest.mark.parametrize(("cell", "chars"), [(50_000, 1 << 17), (20, 1 << 10), (1, 1 << 30)])
+def test_variants_equal_all_pairs(docs, misspelt_rows, spark, monkeypatch, cell, chars):
+    monkeypatch.setattr(spelling, "CELL", cell)  # so that halves are cut into parts
+    monkeypatch.setattr(spelling, "CHARS", chars)
+    rows = spark.createDataFrame(misspelt_rows, docs.schema)
+    want = plain_variants(misspelt_rows)
+    assert Counter(tuple(r) for r in spelling.spelling_variants(rows).collect()) == want
+    assert sum(r[1] is not None for r in want) > 30 and any(r[1] != r[2] for r in want if r[1])
+
+
+def test_variants_of_an_empty_table(no_docs):
+    out = spelling.spelling_variants(no_docs)
+    assert out.collect() == [] and out.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def test_index_order_is_that_of_suffixes():
+    rng = random.Random(2)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(200)})
+    index = spelling.Index(words)
+    text = "\x01" + "\x01".join(words) + "\x01\x00"
+    assert index.order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    for q, w in enumerate(words):
+        pairs = spelling.one_error(index, [w], [len(w) // 2])
+        end = w[len(w) - len(w) // 2 :]
+        want = [i for i, v in enumerate(words) if v.endswith(end) and one_edit(w[: len(w) - len(end)], v[: len(v) - len(end)])]
+        assert pairs[1].tolist() == want, q
