@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, packing, quality, ranked, sharding, simhash, spelling, substrings, tiff, tokens
+from . import language, lines, mixing, packing, private, quality, ranked, sharding, simhash, spelling, substrings, tiff, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, sf_dir))
 
 
+def op12_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private.find_private(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda x: x["kind"] == F.lit(private.KINDS.index(k)))).cast("long").alias(f"n_{k}") for k in private.KINDS]
+    spans = private.written(F.array_sort(F.concat("base", "added")))
+    return found.select("doc_id", *counts, F.sha2(private.written(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -85,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op9_tiff": op9_tiff,
         "op10_substrings": op10_substrings,
         "op11_spelling": op11_spelling,
+        "op12_private": op12_private,
         "op13_ranked": op13_ranked,
         "pipeline": pipeline,
     }
