@@ -48,6 +48,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each of `keys`, whose rows are equal: only those that are repeated are shuffled."""
+    many = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select(*keys)
+    many = materialize(many, "repeated")  # of a known size: mostly few
+    return rows.join(many, list(keys), "left_anti").unionByName(rows.join(many, list(keys), "left_semi").dropDuplicates(list(keys)))
+
+
 def whole_ids(docs: DataFrame, key: str) -> DataFrame:
     """`docs`, whose ids are whole numbers; other types are an error before any job runs."""
     if not isinstance(docs.schema[key].dataType, IntegralType):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_ids
+from .common import materialize, once, whole_ids
 
 DEPTH, MIN_DOCS, SOLID = 3, 10, 0.6
 WILD = "<*>"
@@ -128,10 +128,10 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth:
     (lines with a word) and n_dropped.
 
     A null text stays null, an empty one empty; lines without a word always stay.  Rows of
-    equal key and text are one document.  A null key counts as the largest; keys of another type
+    equal key and text are one document, told and cut alike, however many.  A null key counts as the largest; keys of another type
     than whole numbers are a TypeError.
     """
-    texts = _texts(whole_ids(docs, key), key, text)
+    texts = once(_texts(whole_ids(docs, key), key, text).select("doc", "tag", "text"), ["doc", "tag"])
     filed = materialize(leaves(texts, depth), "leaves")
     met = materialize(filed.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf"), "leaves")  # so that a hot leaf's rows are split
     wanted = filed.join(met, "leaf").groupBy("doc", "tag").agg(F.collect_list(F.struct("leaf", "lines")).alias("at"))

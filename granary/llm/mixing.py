@@ -79,11 +79,11 @@ def mix(
     taken), at (words of its source before it), order_key, text_hash, n_all (documents).
 
     Null text: size 0, never taken.  Null source: a source of its own, last.  The order in a
-    source is md5(seed:doc_id), then size and a hash of the text, so reruns agree; rows equal
+    source is md5(seed:doc_id:text), then size and a hash of the text, so reruns agree; rows equal
     in all of them are interchangeable.  Clashing input names stay inside `row`.
     No rows in, no rows out.
     """
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))).cast("binary"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_order"), F.xxhash64(text).alias("_text"))
     targets = source_targets(rows.select("source", "size"), weights, share, repeats)
     targets = materialize(targets.select(F.col("source").alias("_source"), "n_rows", "source_size", "target", F.col("rank").alias("source_rank"), F.sum("n_rows").over(Window.partitionBy()).alias("n_all"), _cycle(F.col("rank"), tuple(r[0] for r in ramps)).alias("_from"), _cycle(F.col("rank"), tuple(r[1] for r in ramps)).alias("_to")), "targets")  # of a known size: a few sources need no shuffle of the rows
@@ -116,6 +116,7 @@ def placed(mixed: DataFrame) -> DataFrame:
     are summed along, and sorted within.
     """
     same = ["doc_id", "size", "source_size", "target", "taken"]
+    mixed = materialize(mixed.select("source_rank", "at", *same, "order_key", "text_hash", "n_all", "uses"), "mixed")
     used = mixed.select("source_rank", "at", *same, "order_key", "text_hash", "n_all", F.explode("uses").alias("use")).select("*", "use.*").drop("use")
     used = used.withColumn("_bucket", F.floor(F.col("position") * F.ceil(F.col("n_all") / RANK_ROWS)))
     order = [F.col(c) for c in ("position", "source_rank", "pass", "order_key", "size", "text_hash")]

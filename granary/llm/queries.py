@@ -119,8 +119,8 @@ WITH d AS (
     CASE (rnk - 1) % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS ramp_from,
     CASE (rnk - 1) % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS ramp_to FROM l LEFT JOIN z ON true
 ), c AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, t.rnk, t.ramp_from, t.ramp_to, md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '')) AS ord,
-    sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS before
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rnk, t.ramp_from, t.ramp_to, md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(d.text, '')) AS ord,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(d.text, '')), d.doc_id ROWS UNBOUNDED PRECEDING) - d.size AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), p AS (
   SELECT *, CAST(greatest(0, least(size, floor(target) - (before + source_size * pass))) AS BIGINT) AS words FROM c, (VALUES (0), (1)) AS q(pass)

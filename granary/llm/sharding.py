@@ -1,6 +1,6 @@
 """Proportional stratified interleaving into shards.
 
-Rows are shuffled by a seeded hash and ranked within their source; the fractional rank
+Rows are shuffled by a seeded hash of key and text (a key, null too, may have many rows) and ranked within their source; the fractional rank
 (2 rank + 1) / (2 rows of the source) spreads every source evenly over [0, 1), so cutting the
 order by fractional rank into equal runs gives every shard the whole mixture.
 """
@@ -29,7 +29,7 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = 11, key: str =
         F.col(source).alias("_source"),
         (F.octet_length(clean) + 1).cast("long").alias("size"),
         F.crc32(clean.cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.lit(seed), F.col(key)).alias("_hash"),
+        F.xxhash64(F.lit(seed), F.col(key), clean).alias("_hash"),
         F.xxhash64(clean).alias("_text"),
     )
     per = rows.groupBy("_source").agg(F.count("*").alias("_n"))

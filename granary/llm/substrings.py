@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_ids
+from .common import materialize, once, whole_ids
 
 WINDOW, K = 50, 20
 SIDE = WINDOW - K
@@ -566,8 +566,9 @@ def _by_window(found: DataFrame) -> DataFrame:
 def _crowded(found: DataFrame) -> DataFrame:
     """SPANS from the snippets of crowded anchors, cut at longer ones."""
     parts = materialize(cut_anew(found), "crowded")
-    many = parts.groupBy("a").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("a")
-    return _by_transform(parts.join(many, "a", "left_anti")).unionByName(_by_window(parts.join(many, "a", "left_semi")))
+    many = parts.groupBy("a").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("a", F.lit(True).alias("_many"))
+    parts = materialize(parts.join(materialize(many, "many"), "a", "left"), "crowded")
+    return _by_transform(parts.where(F.col("_many").isNull()).drop("_many")).unionByName(_by_window(parts.where("_many").drop("_many")))
 
 
 def removed_spans(texts: DataFrame) -> DataFrame:
@@ -585,10 +586,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     A null or empty text has nothing to remove.  A null id counts as larger than all others.
     Rows of equal id never remove from each other; they are told apart by 64-bit hashes of their
-    texts.  Ids of another type than whole numbers are a TypeError.  Other columns are not carried.
+    texts, and rows of equal id and text are one document, however many.  Ids of another type than whole numbers are a TypeError.  Other columns are not carried.
     """
     texts = whole_ids(docs, key).select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows = texts.join(removed_spans(texts), ["doc", "tag"], "left").select("key", "text", "spans")
+    spans = removed_spans(once(texts.select("doc", "tag", "text"), ["doc", "tag"]))
+    rows = texts.join(spans, ["doc", "tag"], "left").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

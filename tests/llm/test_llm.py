@@ -313,7 +313,7 @@ def test_shards_are_even_and_proportional(docs, docs_rows):
 
 def test_shards_are_the_exact_cut_of_the_fractional_order(docs, docs_rows):
     """Every row's shard and slot, from the seeded hashes and plain sorts."""
-    cols = [F.xxhash64(F.lit(11), F.col("doc_id")).alias("h"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "source"]
+    cols = [F.xxhash64(F.lit(11), F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("h"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "source"]
     rows = [(r["h"], (r["doc_id"] is not None, r["doc_id"] or 0), r["t"], r["source"]) for r in docs.select(*cols).collect()]
     names = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
     order = []
