@@ -48,11 +48,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def once(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row of each of `keys`, whose rows are equal: only those that are repeated are shuffled."""
-    many = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select(*keys)
+def once(rows: DataFrame, key: str, more: Sequence[str]) -> DataFrame:
+    """One row of each of `key` and `more`, whose rows are equal.  Only rows of keys that are
+    repeated are shuffled; where none are, the keys alone are read for it."""
+    many = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select(key)
     many = materialize(many, "repeated")  # of a known size: mostly few
-    return rows.join(many, list(keys), "left_anti").unionByName(rows.join(many, list(keys), "left_semi").dropDuplicates(list(keys)))
+    return rows.join(many, key, "left_anti").unionByName(rows.join(many, key, "left_semi").dropDuplicates([key, *more]))
 
 
 def whole_ids(docs: DataFrame, key: str) -> DataFrame:

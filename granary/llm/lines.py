@@ -131,7 +131,7 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth:
     equal key and text are one document, told and cut alike, however many.  A null key counts as the largest; keys of another type
     than whole numbers are a TypeError.
     """
-    texts = once(_texts(whole_ids(docs, key), key, text).select("doc", "tag", "text"), ["doc", "tag"])
+    texts = once(_texts(whole_ids(docs, key), key, text).select("doc", "tag", "text"), "doc", ["tag"])
     filed = materialize(leaves(texts, depth), "leaves")
     met = materialize(filed.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf"), "leaves")  # so that a hot leaf's rows are split
     wanted = filed.join(met, "leaf").groupBy("doc", "tag").agg(F.collect_list(F.struct("leaf", "lines")).alias("at"))

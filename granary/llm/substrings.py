@@ -589,7 +589,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts, and rows of equal id and text are one document, however many.  Ids of another type than whole numbers are a TypeError.  Other columns are not carried.
     """
     texts = whole_ids(docs, key).select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("tag"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    spans = removed_spans(once(texts.select("doc", "tag", "text"), ["doc", "tag"]))
+    spans = removed_spans(once(texts.select("doc", "tag", "text"), "doc", ["tag"]))
     rows = texts.join(spans, ["doc", "tag"], "left").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
