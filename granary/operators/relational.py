@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import is_present
 
+from .candidates import contained, numbered
+
 #: Rows and bytes up to which a rule table is met by every row.
 RULE_ROWS, RULE_BYTES = 100_000, 16 << 20
 
@@ -120,13 +122,16 @@ def of_rows(a: DataFrame, found: DataFrame, block: str, cols: Sequence[str], id_
 
 def block_contains_match(a: DataFrame, b: DataFrame, block: str, name: str, id_a: str, id_b: str, exact: float = 0.95, within: float = 0.8) -> DataFrame:
     """Pairs in a block whose names are equal (confidence `exact`) or contain one another
-    (`within`).  Different names are paired once, in parts of a block; rows come after."""
-    pairs = block_pairs(a, b, block, [name], F.count("*")).drop("match_id")
-    met = pairs.where(F.contains(f"a_{name}", F.col(f"b_{name}")) | F.contains(f"b_{name}", F.col(f"a_{name}")))
+    (`within`).  Different names meet by the rarest run of letters of the one that is within the
+    other; rows come after."""
+    left, right = (numbered(x, block, [name], n).withColumn("_text", F.col(f"{n}_{name}")) for x, n in ((a, "a"), (b, "b")))
+    met = contained(right, left, "b", "a").select(F.col("text_no").alias("a_no"), F.col("needle_no").alias("b_no"))
+    met = met.unionByName(contained(left, right, "a", "b").select(F.col("needle_no").alias("a_no"), F.col("text_no").alias("b_no"))).distinct()
+    pairs = met.join(left.select("a_no", "_block", f"a_{name}"), "a_no").join(right.select("b_no", f"b_{name}"), "b_no")
     sure = F.when(F.col(f"a_{name}") == F.col(f"b_{name}"), F.lit(exact)).otherwise(F.lit(within))
-    left = of_rows(a, met.select(block, f"a_{name}", F.col(block).alias("_b"), f"b_{name}", sure.alias("confidence")), block, [name], id_a)
-    right = b.select(F.col(block).alias("_b"), F.col(name).alias(f"b_{name}"), F.col(id_b).alias("id_b"))
-    return left.join(right, ["_b", f"b_{name}"]).select(F.col("id").alias("id_a"), "id_b", "confidence")
+    found = of_rows(a, pairs.select(F.col("_block").alias(block), f"a_{name}", F.col("_block").alias("_b"), f"b_{name}", sure.alias("confidence")), block, [name], id_a)
+    rows = b.select(F.col(block).alias("_b"), F.col(name).alias(f"b_{name}"), F.col(id_b).alias("id_b"))
+    return found.join(rows, ["_b", f"b_{name}"]).select(F.col("id").alias("id_a"), "id_b", "confidence")
 
 
 def rule_cross(df: DataFrame, rules: DataFrame, text: str, pattern: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as t
 from granary.operators import match as m
+from granary.operators.candidates import edit_candidates, token_candidates
 from granary.operators import variants as v
 
 from .registry import CATALOGUE, FEED, catalogue, feed, query, sql, table
@@ -42,7 +43,7 @@ def d2(s, d):
   + 0.3::DOUBLE * (1.0::DOUBLE - levenshtein(a.product_name, b.product_name) * 1.0::DOUBLE / greatest(length(a.product_name), length(b.product_name))) + 0.1::DOUBLE * (CASE WHEN a.form = b.form THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS score FROM catalogue a JOIN ref b ON a.brand = b.brand)) x ON c.id = x.id AND k = 1""", C, REF))
 def d3(s, d):
     parts = {"tokens": (0.6, m.jaccard(F.split("a_product_name", " "), F.split("b_product_name", " "))), "chars": (0.3, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name"))), "form": (0.1, F.when(F.col("a_form") == F.col("b_form"), 1.0).otherwise(0.0))}
-    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", parts, ["product_name", "form"], [("auto", 0.75), ("review", 0.6)])
+    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", parts, ["product_name", "form"], [("auto", 0.75), ("review", 0.6)], by=by_tokens())
 
 
 NOUNS = ["ring", "rod", "gear", "bolt", "plate", "gizmo", "widget"]
@@ -59,12 +60,12 @@ def d3b(s, d):
     known = lambda c: F.filter(words(c), lambda w: w.isin(NOUNS))
     agree = lambda c: F.when(F.col(f"a_{c}") == F.col(f"b_{c}"), 1.0).otherwise(0.0)
     parts = {"tokens": (0.5, m.jaccard(words("a_product_name"), words("b_product_name"))), "keywords": (0.2, m.overlap(known("a_product_name"), known("b_product_name"))), "chars": (0.2, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name"))), "hints": (0.1, (agree("form") + agree("life_stage")) / 2.0)}
-    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", parts, ["product_name", "form", "life_stage"], [("auto", 0.75), ("review", 0.6)])
+    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", parts, ["product_name", "form", "life_stage"], [("auto", 0.75), ("review", 0.6)], by=by_tokens())
 
 
 @query("d4_fuzzy", sql(f"""SELECT c.id, x.match_id, x.score, CASE WHEN x.score >= 0.8 THEN 'high' WHEN x.score >= 0.65 THEN 'medium' ELSE 'none' END AS tier FROM catalogue c LEFT JOIN (SELECT id, match_id, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, match_id) AS k FROM (SELECT a.id, b.ref_id AS match_id, {SIM} AS score FROM catalogue a JOIN ref b ON a.brand = b.brand)) x ON c.id = x.id AND k = 1""", C, REF))
 def d4(s, d):
-    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", {"n": (1.0, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name")))}, ["product_name"], [("high", 0.8), ("medium", 0.65)], "none")
+    return m.match(catalogue(s, d), ref(s, d), "brand", "id", "ref_id", {"n": (1.0, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name")))}, ["product_name"], [("high", 0.8), ("medium", 0.65)], "none", by=by_name())
 
 
 @query("d5_exact_then_fuzzy", sql("""SELECT id, match_id, 1.0::DOUBLE AS score, 'exact' AS how FROM (SELECT a.id, min(b.ref_id) AS match_id FROM catalogue a JOIN ref b ON a.brand = b.brand AND a.product_name = b.product_name GROUP BY 1)
@@ -79,7 +80,15 @@ def d5(s, d):
 UNION ALL SELECT a.id, NULL, NULL, 'rejected' FROM catalogue a WHERE a.kcal IS NULL AND NOT EXISTS (SELECT 1 FROM ref b WHERE b.brand = a.brand AND b.kcal IS NOT NULL)""", C, REF))
 def d6(s, d):
     parts = {"n": (0.7, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name"))), "f": (0.3, F.when(F.col("a_form") == F.col("b_form"), 1.0).otherwise(0.0))}
-    return m.match(catalogue(s, d).where("kcal is null"), ref(s, d).where("kcal is not null"), "brand", "id", "ref_id", parts, ["product_name", "form"], [("accepted", 0.4)])
+    return m.match(catalogue(s, d).where("kcal is null"), ref(s, d).where("kcal is not null"), "brand", "id", "ref_id", parts, ["product_name", "form"], [("accepted", 0.4)], by=by_name())
+
+
+def by_tokens():
+    return "tokens", token_candidates(F.split("a_product_name", " "), F.split("b_product_name", " "))
+
+
+def by_name(part="n"):
+    return part, edit_candidates(F.col("a_product_name"), F.col("b_product_name"))
 
 
 URLS = """urls AS (SELECT id, brand, kcal, product_name, 'https://shop.example/' || coalesce(life_stage, 'all') || '/' || CASE WHEN size < 15 THEN 'small' WHEN size > 35 THEN 'large' ELSE 'any' END || '/' || replace(product_name, ' ', '-') || '?v=1' AS url FROM catalogue WHERE kcal IS NULL)"""
@@ -100,7 +109,7 @@ def d6b(s, d):
     parts = {"name": (0.5, m.edit_similarity(F.col("a_product_name"), F.col("b_product_name"))), "stage": (0.2, F.when(stage == F.col("b_life_stage"), 1.0).otherwise(0.0)), "small": (0.1, named("small")), "large": (0.1, named("large"))}
     flags = [f"url_{w}" for w in ("puppy", "adult", "senior", "small", "large")]
     right = ref(s, d).where("kcal is not null").withColumns({f: F.lit(False) for f in flags})
-    return m.match(left, right, "brand", "id", "ref_id", parts, ["product_name", "life_stage", *flags], [("accepted", 0.4)])
+    return m.match(left, right, "brand", "id", "ref_id", parts, ["product_name", "life_stage", *flags], [("accepted", 0.4)], by=by_name("name"))
 
 
 @query("d7_tokens", sql("""SELECT id, match_id, score FROM (SELECT id, match_id, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, match_id) AS k FROM (SELECT a.id, b.ref_id AS match_id, CAST(len(list_intersect(string_split(a.product_name, ' '), string_split(b.product_name, ' '))) AS DOUBLE) AS score FROM catalogue a JOIN ref b ON a.brand = b.brand) WHERE score >= 2) WHERE k = 1""", C, REF))
@@ -116,6 +125,12 @@ def d8(s, d):
     return m.match_variants(catalogue(s, d), ref(s, d), keys, keys, "brand", "product_name", "id", "ref_id")
 
 
+@query("d8_char_ratio")
+def d8b(s, d):
+    """The exact sequence ratio, which SQL can't express; the tests hold it against the library's."""
+    return m.match_ratio(catalogue(s, d), ref(s, d), "brand", "product_name", "id", "ref_id", 0.8)
+
+
 @query("d9_overlap", sql("""SELECT f.id, CASE WHEN n.i IS NOT NULL THEN 'exact' WHEN b.brand IS NOT NULL THEN 'new product' ELSE 'new brand' END AS kind, coalesce(n.i, false) AS improvable FROM feed f LEFT JOIN (SELECT upper(brand) AS brand, upper(product_name) AS product_name, bool_or(kcal IS NULL) AS i FROM catalogue WHERE id % 3 = 1 AND brand <> 'Brand#5' GROUP BY 1, 2) n ON f.brand = n.brand AND f.product_name = n.product_name
 LEFT JOIN (SELECT DISTINCT upper(brand) AS brand FROM catalogue WHERE id % 3 = 1 AND brand <> 'Brand#5') b ON f.brand = b.brand""", C, FEED))
 def d9(s, d):
