@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.functions.text import slug_hy, slug_us
 
 from .relational import mode_by, rank_rows
-from .rules import ranked_rules
+from .rules import ranked_rules, with_phrase
 
 
 def apply_alias(df: DataFrame, alias: DataFrame, col: str = "brand", out: str = "brand_canonical") -> DataFrame:
@@ -25,7 +25,7 @@ def apply_alias_phrase(df: DataFrame, key: str, alias: DataFrame, phrases: DataF
     contains, else the name trimmed with its first letters in capitals."""
     one = alias.groupBy(F.lower(F.trim("alias")).alias("_alias")).agg(F.min("canonical").alias("_by_alias"))
     step = df.join(one, F.lower(F.trim(F.col(col))) == F.col("_alias"), "left").drop("_alias")
-    found = ranked_rules(step, key, phrases.select("ord", "phrase", F.col("canonical").alias("_by_phrase")), lambda: F.contains(F.lower(F.col(col)), F.col("phrase")), [F.col("ord")], ["_by_phrase"])
+    found = with_phrase(step, F.lower(F.col(col)), phrases.select("ord", "phrase", F.col("canonical").alias("_by_phrase")), "phrase", ["_by_phrase"])
     return found.withColumn(out, F.coalesce("_by_alias", "_by_phrase", F.initcap(F.trim(F.col(col))))).drop("_by_alias", "_by_phrase")
 
 
@@ -52,8 +52,9 @@ def repair_split(df: DataFrame, key: str, phrases: DataFrame) -> DataFrame:
     rules (source_brand, prefix, canonical).  Adds brand_fixed, name_fixed, brand_slug_fixed,
     key_fixed and split (whether a rule applied; the longest prefix wins)."""
     rules = phrases.select(F.lower("source_brand").alias("_b"), F.lower("prefix").alias("_p"), F.col("canonical").alias("_canonical"), F.length("prefix").alias("_n"))
-    test = lambda: (F.lower("brand") == F.col("_b")) & F.startswith(F.lower(F.col("product_name")), F.concat("_p", F.lit(" ")))
-    hit = ranked_rules(df, key, rules, test, [-F.col("_n"), F.col("_p")], ["_canonical", "_n"])
+    prefixes = rules.groupBy("_b").agg(F.collect_set(F.struct((-F.col("_n")).alias("o"), "_p", "_canonical", "_n")).alias("_rules"))
+    fits = F.filter("_rules", lambda r: F.startswith(F.lower(F.col("product_name")), F.concat(r["_p"], F.lit(" "))))
+    hit = df.join(prefixes, F.lower("brand") == F.col("_b"), "left").withColumn("_rule", F.array_min(fits)).select(*[F.col(f"`{c}`") for c in df.columns], "_rule._canonical", "_rule._n")
     name = F.coalesce(F.trim(F.substring("product_name", F.col("_n") + 1, F.length("product_name"))), F.col("product_name"))
     out = hit.withColumns({"brand_fixed": F.coalesce("_canonical", "brand"), "name_fixed": name, "split": F.col("_canonical").isNotNull()})
     out = out.withColumn("brand_slug_fixed", slug_us(F.col("brand_fixed")))
@@ -95,12 +96,13 @@ def split_guards(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
 def assign_family(df: DataFrame, key: str, families: DataFrame, series: DataFrame, default: str = "other") -> DataFrame:
     """family by alias (families: ord, family, alias, pattern), else by pattern, else `default`;
     series by the first pattern (ord, family, series, pattern) of the family."""
-    test = lambda: (F.lower("brand") == F.col("_alias")) | F.expr("lower(product_name) rlike _pattern")
+    low, name = F.lower("brand"), F.lower("product_name")
+    test = lambda r: (low == r["_alias"]) | F.regexp_like(name, r["_pattern"])
     rules = families.select("ord", F.col("family").alias("family"), F.col("alias").alias("_alias"), F.col("pattern").alias("_pattern"))
-    got = ranked_rules(df, key, rules, test, [F.when(F.lower("brand") == F.col("_alias"), 0).otherwise(1), F.col("ord")], ["family"])
+    got = ranked_rules(df, rules, test, lambda r: [F.when(low == r["_alias"], 0).otherwise(1), r["ord"]], ["family"])
     got = got.withColumn("family", F.coalesce("family", F.lit(default)))
     lines = series.select(F.col("ord").alias("_so"), F.col("family").alias("_sf"), "series", F.col("pattern").alias("_sp"))
-    return ranked_rules(got, key, lines, lambda: (F.col("family") == F.col("_sf")) & F.expr("lower(product_name) rlike _sp"), [F.col("_so")], ["series"])
+    return ranked_rules(got, lines, lambda r: (F.col("family") == r["_sf"]) & F.regexp_like(name, r["_sp"]), lambda r: [r["_so"]], ["series"])
 
 
 def brand_anomalies(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
@@ -115,8 +117,8 @@ def clean_names(df: DataFrame, key: str, rules: DataFrame, min_confidence: float
     """name_clean by the first rule (ord, brand or *, pattern, confidence) whose pattern is found:
     the match is removed.  `action`: safe, review (confidence too low, name kept) or none."""
     rule = rules.select("ord", F.lower("brand").alias("_b"), F.col("pattern").alias("_pattern"), F.col("confidence").alias("_conf"))
-    test = lambda: ((F.col("_b") == "*") | (F.col("_b") == F.lower("brand"))) & F.expr("product_name rlike _pattern")
-    hit = ranked_rules(df, key, rule, test, [F.col("ord")], ["_pattern", "_conf"])
+    test = lambda r: ((r["_b"] == "*") | (r["_b"] == F.lower("brand"))) & F.regexp_like("product_name", r["_pattern"])
+    hit = ranked_rules(df, rule, test, lambda r: [r["ord"]], ["_pattern", "_conf"])
     action = F.when(F.col("_conf").isNull(), "none").when(F.col("_conf") >= min_confidence, "safe").otherwise("review")
     cleaned = F.trim(F.regexp_replace(F.expr("regexp_replace(product_name, _pattern, ' ')"), " +", " "))
     return hit.withColumn("action", action).withColumn("name_clean", F.when(F.col("action") == "safe", cleaned).otherwise(F.col("product_name"))).drop("_pattern", "_conf")

@@ -11,7 +11,7 @@ from granary.functions.parse import bucket, estimate_energy, json_get, parse_mon
 from granary.functions.text import first_keyword, make_key, norm_tokens, slug_us
 
 from .relational import best_per, median_by
-from .rules import ranked_rules, token_groups
+from .rules import token_groups, with_phrase
 
 #: Confidences of the classifier's stages, and the cut below which a class is dropped.
 CONFIDENCE = {"existing": 0.3, "line": 0.85, "dictionary": 0.9, "numeric": 0.75, "numeric weak": 0.65, "package": 0.7}
@@ -29,7 +29,7 @@ def classify(df: DataFrame, key: str, existing: str, text: Column, dictionary: D
     """
     rows = df.withColumns({"_text": F.lower(text), "_number": number})
     rows = rows.join(lines.select(F.col("brand").alias("_lb"), F.col("label").alias("_line")), F.col("brand") == F.col("_lb"), "left").drop("_lb")
-    rows = ranked_rules(rows, key, dictionary.select("ord", "word", F.col("label").alias("_dict")), lambda: F.contains(F.col("_text"), F.col("word")), [F.col("ord")], ["_dict"])
+    rows = with_phrase(rows, F.col("_text"), dictionary.select("ord", "word", F.col("label").alias("_dict")), "word", ["_dict"])
     step = F.struct(F.col(existing).alias("label"), F.lit(CONFIDENCE["existing"]).alias("confidence"), F.lit("existing").alias("stage"))
     make = lambda label, stage: F.struct(label.alias("label"), F.lit(CONFIDENCE[stage]).alias("confidence"), F.lit(stage).alias("stage"))
     rows = rows.withColumn("_c", F.when(F.col(existing).isNotNull(), step).when(F.col("_line").isNotNull(), make(F.col("_line"), "line")))

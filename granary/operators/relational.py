@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import is_present
 
-from .candidates import contained, numbered
+from .candidates import contained, numbered, stored
+from .phrases import phrase_hits, rule_array
 
 #: Rows and bytes up to which a rule table is met by every row.
 RULE_ROWS, RULE_BYTES = 100_000, 16 << 20
@@ -134,10 +135,19 @@ def block_contains_match(a: DataFrame, b: DataFrame, block: str, name: str, id_a
     return found.join(rows, ["_b", f"b_{name}"]).select(F.col("id").alias("id_a"), "id_b", "confidence")
 
 
-def rule_cross(df: DataFrame, rules: DataFrame, text: str, pattern: str) -> DataFrame:
-    """Pairs of rows and rules whose pattern is found in the text.  Rules are few (checked), so
-    each row meets the broadcast list; nothing is shuffled."""
-    return df.join(small(rules, 10_000), F.expr(f"`{text}` rlike `{pattern}`"))
+def rule_cross(df: DataFrame, rules: DataFrame, text: str, pattern: str, literal: str | None = None) -> DataFrame:
+    """Pairs of rows and rules whose pattern is found in the text.
+
+    With `literal`, a column of text that any match of the pattern contains, one automaton of all
+    literals finds the few rules that a row has to test, so rules may be many.  Without it each
+    row tests a short list (checked).  No row is shuffled and no product formed.
+    """
+    if literal is None:
+        hits = F.filter(rule_array(rules, 10_000, RULE_BYTES), lambda r: F.regexp_like(F.col(text), r[pattern]))
+        return df.withColumn("_rule", F.explode(hits)).select("*", *[F.col(f"_rule.`{c}`").alias(c) for c in rules.columns]).drop("_rule")
+    numbered = stored(rules.coalesce(1).withColumn("_no", F.monotonically_increasing_id().cast("int")), "rules")
+    hits = df.withColumn("_hit", F.explode(phrase_hits(F.col(text), numbered, literal, "_no")))
+    return hits.join(numbered, F.col("_hit") == F.col("_no")).where(F.expr(f"`{text}` rlike `{pattern}`")).drop("_hit", "_no")
 
 
 def semi_on(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
