@@ -57,14 +57,17 @@ def merge_staged(canon: DataFrame, staged: DataFrame, allow: DataFrame, key: str
     row by `pair` fill it (the smallest key of several) and give it their key; the rest are
     inserted if `pair`'s first column is allowlisted ACTIVE or PENDING, else skipped.
 
-    Counts are of staged keys.  Running the same stage again changes nothing.  Of several staged
-    keys that match one row by `pair`, the smallest takes it; the others are inserted or skipped.
+    Counts are of staged keys.  Running the same stage again changes nothing: a pair that a staged
+    key already has in the table is that key's, and no other staged key takes a further row of it.
+    Of several staged keys that match one row by `pair`, the smallest takes it; the others are
+    inserted or skipped.
     """
     one = collapse_staged(staged, key, order, fields, pair)
     known = one.join(canon.select(key), key, "left_semi").withColumn("how", F.lit("updated"))
     rest = one.join(canon.select(key), key, "left_anti")
+    mine = canon.join(known.select(key), key, "left_semi").select(*pair).distinct()
     free = canon.join(known.select(key), key, "left_anti").groupBy(*pair).agg(F.min(key).alias("_target"))
-    paired = rest.join(free, list(pair))
+    paired = rest.join(free.join(mine, list(pair), "left_anti"), list(pair))
     taken = paired.groupBy("_target").agg(F.min(key).alias(key))
     rekey = paired.join(taken, ["_target", key])
     left = rest.join(rekey.select(key), key, "left_anti")

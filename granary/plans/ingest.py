@@ -67,6 +67,22 @@ def t2(s, d):
     return sources.current(s, f"{path}/table")
 
 
+@query("t2_merge_twice", SQL["h2_merge_staged"])
+def t2b(s, d):
+    """The staged rows in two micro-batches, the second a repeat of the first, which is then run
+    again under its number, as after a crash: the table is that of one merge."""
+    path = sources.scratch(s, "t2")
+    sources.write(canon(s, d), f"{path}/table")
+    for _ in range(2):
+        sources.write(staged(s, d).coalesce(1), f"{path}/in", "append")
+    schema = s.read.parquet(f"{path}/in").schema
+    stream = s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    how = (f"{path}/table", allowlist(s, d), "id", ["brand", "product_name"], ["kcal"], ["ord"])
+    streaming.merge_stream(stream, *how)(f"{path}/checkpoint").awaitTermination()
+    streaming.merge_batch(*how)(s.read.parquet(f"{path}/in"), sources.batches_done(s, f"{path}/table")["merge"])
+    return sources.current(s, f"{path}/table")
+
+
 @query("t1_snapshot_stream", SQL["h1_detect_changes"].replace(", act AS action FROM", " FROM"))
 def t1b(s, d):
     """The incoming snapshots as a stream, merged into the stored table."""
@@ -279,6 +295,23 @@ def s12(s, d):
     return sources.rollback(catalogue(s, d).select("id", "kcal"), kept, "id", ["kcal"])
 
 
+@query("t1_keyed_state", "SELECT user_id, count(*) AS changes, arg_max(props, (ts, props)) AS fingerprint, min(ts) AS first_seen, max(ts) AS last_seen FROM (SELECT user_id, ts, props, lag(props) OVER (PARTITION BY user_id ORDER BY ts, props) AS before FROM (SELECT DISTINCT user_id, ts, props FROM events)) WHERE before IS NULL OR before <> props GROUP BY user_id")
+def t1c(s, d):
+    """The events in three micro-batches by time, through the keyed state: what changed, and each
+    key's last change, from the appended rows."""
+    path = sources.scratch(s, "t1")
+    e = table(s, d, "events").select("user_id", F.col("ts").alias("seen"), F.col("props").alias("fingerprint"))
+    first, last = e.agg(F.min("seen"), F.max("seen")).first()
+    for i in range(3):
+        low, high = (F.lit(first + (last - first) * x / 3) for x in (i, i + 1))
+        part = e.where((F.col("seen") >= low) & ((F.col("seen") < high) | F.lit(i == 2)))
+        sources.write(part.coalesce(1), f"{path}/in", "append")
+    stream = s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    streaming.append_changes(stream, f"{path}/out", "user_id")(f"{path}/checkpoint").awaitTermination()
+    changes = s.read.parquet(f"{path}/out")
+    return changes.groupBy("user_id").agg(F.count("*").alias("changes")).join(streaming.latest(changes, "user_id"), "user_id")
+
+
 @query("t1_changed_within", "SELECT user_id, count(*) AS changes FROM (SELECT user_id, props, lag(props) OVER (PARTITION BY user_id ORDER BY ts, props) AS before FROM (SELECT DISTINCT user_id, ts, props FROM events)) WHERE before IS NULL OR before <> props GROUP BY user_id")
 def t1(s, d):
     e = table(s, d, "events").select("user_id", F.col("ts").alias("seen"), F.col("props").alias("fingerprint"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -57,9 +58,12 @@ def load_rules(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder: `spark.checkpoint.dir`, else the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the cluster's shared folder, `spark.checkpoint.dir`; without one, a local
+    session takes its warehouse and a cluster is refused, as executors share no other."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(folder or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def write(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -75,42 +79,65 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _versions(spark: SparkSession, path: str) -> tuple:
-    """File system, folder of versions of a table, and the numbers of the whole ones, in order."""
+def _commits(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system and paths of a table's versions and commits, and the last commit:
+    its number (0: none), its folder and the batch of each stream that it holds."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(f"{path.rstrip('/')}.versions")
+    folder, commits = (hadoop.Path(f"{path.rstrip('/')}.{x}") for x in ("versions", "commits"))
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
-    whole = sorted(int(n[1:]) for n in names if n[0] == "v" and fs.exists(hadoop.Path(folder, f"{n}/_DONE")))
-    return fs, folder, whole
+    names = [x.getPath().getName() for x in fs.listStatus(commits)] if fs.exists(commits) else []
+    last = max((n for n in names if n.isdigit()), default=None)
+    if last is None:
+        return fs, folder, commits, 0, None, {}
+    stream = fs.open(hadoop.Path(commits, last))
+    said = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    return fs, folder, commits, int(last), said["data"], said["batches"]
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The table at `path` as last refreshed, or as first written."""
-    _, folder, whole = _versions(spark, path)
-    return spark.read.parquet(f"{folder}/v{whole[-1]:09d}" if whole else path)
+    _, folder, _, _, data, _ = _commits(spark, path)
+    return spark.read.parquet(f"{folder}/{data}" if data else path)
 
 
-def refresh(df: DataFrame, path: str) -> DataFrame:
+def batches_done(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last batch of each stream that the table at `path` holds."""
+    return _commits(spark, path)[-1]
+
+
+def refresh(df: DataFrame, path: str, batch: tuple[str, int] | None = None) -> DataFrame:
     """Recompute a stored table, even one that `df` reads.
 
-    Each refresh writes a new version beside the table and marks it when it is whole; `current`
-    reads the last whole one, so readers always have a table, and a job that dies leaves the
-    old one in force.  The version before the last stays for those who still read it; older
-    ones go.  One writer at a time: two that meet find the same version and one fails.
+    Each attempt writes a folder of its own beside the table and then commits it under the next
+    number by a rename that fails if the number is taken; `current` reads the last commit.  So
+    readers always have a whole table, a job that dies leaves the old one in force, and of two
+    writers that meet one gets an error and changes nothing.  With `batch` (a stream's name and
+    batch number) the commit says that the table holds it.  The version before the last stays for
+    those who still read it; older ones, and what dead attempts left, go.
     """
     spark = df.sparkSession
-    fs, folder, whole = _versions(spark, path)
-    at = (whole[-1] if whole else 0) + 1
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place = lambda n: hadoop.Path(folder, f"v{n:09d}")
-    if fs.exists(place(at)):
-        fs.delete(place(at), True)  # left by a job that died
-    df.write.mode("errorifexists").parquet(str(place(at)))
-    fs.create(hadoop.Path(place(at), "_DONE"), False).close()
-    for n in whole[:-1]:
-        fs.delete(place(n), True)
-    return spark.read.parquet(str(place(at)))
+    fs, folder, commits, last, before, batches = _commits(spark, path)
+    jvm, at = spark._jvm, last + 1
+    hadoop = jvm.org.apache.hadoop.fs
+    data = f"v{at:09d}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{folder}/{data}")
+    draft = hadoop.Path(commits, f"_{data}")
+    out = fs.create(draft, False)
+    out.write(json.dumps({"data": data, "batches": batches | (dict([batch]) if batch else {})}).encode())
+    out.close()
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(draft, hadoop.Path(commits, f"{at:09d}"), none)
+    except Exception:
+        fs.delete(draft, False)
+        fs.delete(hadoop.Path(folder, data), True)
+        raise
+    for x in fs.listStatus(folder):
+        name = x.getPath().getName()
+        if name not in (data, before) and int(name[1:10]) < at:
+            fs.delete(x.getPath(), True)
+    return spark.read.parquet(f"{folder}/{data}")
 
 
 def snapshot(df: DataFrame, folder: str, tag: str) -> str:
