@@ -202,3 +202,15 @@ def benchmark_accuracy(a: DataFrame, b: DataFrame, keys: Sequence[str], value: s
     theirs = F.coalesce(*[F.col(f"_{k}") for k in keys])
     met = out.select(F.col(value).alias("ours"), theirs.alias("theirs")).where(theirs.isNotNull())
     return met.agg(F.count("*").alias("matched"), F.count_if(F.col("ours") == F.col("theirs")).alias("agreed"), percent(F.count_if(F.col("ours") == F.col("theirs")), F.count("*")).alias("accuracy"))
+
+
+def benchmark_mismatches(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, id_a: str) -> DataFrame:
+    """id, by, ours, theirs: the rows that `benchmark_accuracy` counts as matched but not agreed,
+    with the key that matched them.  A null on either side is no agreement."""
+    out = a
+    for k in keys:
+        out = out.join(b.groupBy(k).agg(F.min(value).alias(f"_{k}")), k, "left")
+    theirs = F.coalesce(*[F.col(f"_{k}") for k in keys])
+    by = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), F.lit(k)) for k in keys])
+    met = out.select(F.col(id_a).alias("id"), by.alias("by"), F.col(value).alias("ours"), theirs.alias("theirs")).where(theirs.isNotNull())
+    return met.where(~F.coalesce(F.col("ours") == F.col("theirs"), F.lit(False)))

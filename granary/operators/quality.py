@@ -194,8 +194,10 @@ def availability(df: DataFrame, arr: Column) -> DataFrame:
     return df.select(F.explode(F.array_distinct(arr)).alias("country")).groupBy("country").agg(F.count("*").alias("n"))
 
 
-def table_health(df: DataFrame, key: str, slugs: Sequence[str], arrays: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:
-    """(metric, value): rows, distinct and repeated keys, bad slugs, array texts, flag counts."""
+def table_health(df: DataFrame, key: str, slugs: Sequence[str], arrays: Sequence[str], flags: Mapping[str, Column], coverage: Sequence[str] = ()) -> DataFrame:
+    """(metric, value): rows, distinct and repeated keys, bad slugs, array texts, flag counts, and
+    how many rows have each column of `coverage`."""
+    flags = {**flags, **{f"present {c}": F.col(c).isNotNull() for c in coverage}}
     bad = [F.count_if(F.regexp_like(F.col(c), F.lit("[^a-z0-9_-]"))).alias(f"bad slug {c}") for c in slugs]
     text = [F.count_if(F.startswith(F.trim(c), F.lit("["))).alias(f"array as text {c}") for c in arrays]
     one = df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("distinct keys"), *bad, *text, *[F.count_if(c).alias(n) for n, c in flags.items()])
@@ -280,6 +282,18 @@ def work_list(df: DataFrame, staging: DataFrame, key: str, url: str, col: str) -
     return lacking.unionByName(new)
 
 
+def work_counts(work: DataFrame) -> DataFrame:
+    """(domain, why, n): how much of a work list each domain has."""
+    return work.groupBy("domain", "why").agg(F.count("*").alias("n"))
+
+
+def missing_fields(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(field, n_missing, percent): how often each column is missing, in one pass."""
+    one = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    cells = [F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("n_missing"), percent(F.col(f"`{c}`"), F.col("_n")).alias("percent")) for c in cols]
+    return one.select(F.inline(F.array(*cells)))
+
+
 def completeness_tiers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows by share of present columns: low (under 40 %), mid (under 70 %), high."""
     share = sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0)) * 100 / len(cols)

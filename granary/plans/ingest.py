@@ -212,6 +212,18 @@ def s2(s, d):
     return sources.read_jsonl(s, path, "event_id long, user_id long, event_type string, props string")
 
 
+@query("s2_quarantine", "SELECT 'good' AS kind, CAST(event_id AS VARCHAR) || '/' || event_type AS value FROM events WHERE event_id % 10 <> 0 UNION ALL SELECT 'bad', '{\"event_id\":' FROM events WHERE event_id % 10 = 0 UNION ALL SELECT 'n_good', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 10 <> 0 UNION ALL SELECT 'n_bad', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 10 = 0")
+def s2b(s, d):
+    """The same lines, with those that are cut short kept apart and counted."""
+    path = sources.scratch(s, "s2")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "props"))
+    cut = F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 12)).otherwise(line)
+    table(s, d, "events").select(cut.alias("value")).write.option("compression", "gzip").text(f"{path}/in")
+    good, bad, counts = sources.quarantine_jsonl(s, f"{path}/in", "event_id long, user_id long, event_type string, props string", f"{path}/out")
+    rows = good.select(F.lit("good").alias("kind"), F.concat_ws("/", F.col("event_id").cast("string"), "event_type").alias("value"))
+    return rows.unionByName(bad.select(F.lit("bad").alias("kind"), F.col("line").alias("value"))).unionByName(s.createDataFrame([(f"n_{k}", str(v)) for k, v in counts.items()], "kind string, value string"))
+
+
 @query("s3_read_json_array", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def s3(s, d):
     """Suppliers as JSON arrays, a file for a thousand keys."""

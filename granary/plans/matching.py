@@ -152,6 +152,13 @@ def d11(s, d):
     return m.benchmark_accuracy(mark(catalogue(s, d)), mark(ref(s, d)), ["k1", "k2"], "form")
 
 
+@query("d11_mismatches", sql("""SELECT id, CASE WHEN t1 IS NOT NULL THEN 'k1' ELSE 'k2' END AS by, form AS ours, coalesce(t1, t2) AS theirs FROM (SELECT a.id, a.form, x.form AS t1, y.form AS t2 FROM catalogue a LEFT JOIN (SELECT brand || '|' || product_name AS k, min(form) AS form FROM ref GROUP BY 1) x ON a.brand || '|' || a.product_name = x.k
+LEFT JOIN (SELECT brand || '|' || replace(product_name, 'super ', '') AS k, min(form) AS form FROM ref GROUP BY 1) y ON a.brand || '|' || replace(a.product_name, 'super ', '') = y.k) WHERE coalesce(t1, t2) IS NOT NULL AND form <> coalesce(t1, t2)""", C, REF))
+def d11b(s, d):
+    mark = lambda x: x.withColumns({"k1": F.concat_ws("|", "brand", "product_name"), "k2": F.concat_ws("|", "brand", F.replace("product_name", F.lit("super "), F.lit("")))})
+    return m.benchmark_mismatches(mark(catalogue(s, d)), mark(ref(s, d)), ["k1", "k2"], "form", "id")
+
+
 KEY = "lower(brand) || '|' || product_name"
 SCORE = "(CASE WHEN kcal IS NOT NULL THEN 3 ELSE 0 END + CASE WHEN protein IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN life_stage IS NOT NULL THEN 1 ELSE 0 END)"
 WEIGHTS = {"kcal": 3, "protein": 2, "life_stage": 1}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import quality as q
 
-from .registry import ALLOW, CATALOGUE, FEED, allowlist, catalogue, feed, query, sql, table
+from .registry import ALLOW, CATALOGUE, FEED, SQL, allowlist, catalogue, feed, query, sql, table
 
 C = CATALOGUE
 P = q.Profile(("kcal", "protein", "fat"), band=("kcal", 260, 490), marks={"kcal": 85, "protein": 90})
@@ -177,6 +177,11 @@ def q23(s, d):
     return q.table_health(rows, "k", ["slug"], ["tags"], {"default kcal": F.col("kcal") == 300})
 
 
+@query("q23_coverage", sql("SELECT unnest(['rows', 'distinct keys', 'present kcal', 'present protein', 'present life_stage']) AS metric, unnest([count(*), count(DISTINCT id), count(kcal), count(protein), count(life_stage)]) AS value FROM catalogue", C))
+def q23b(s, d):
+    return q.table_health(catalogue(s, d), "id", [], [], {}, ["kcal", "protein", "life_stage"])
+
+
 @query("q24_repair_slugs", sql("SELECT id, trim(regexp_replace(regexp_replace(lower(trim(brand || ' -- ' || product_name || '!')), '[^a-z0-9_-]+', '-', 'g'), '-+', '-', 'g'), '-') AS slug FROM catalogue", C))
 def q24(s, d):
     return q.repair_slugs(catalogue(s, d).select("id", F.concat("brand", F.lit(" -- "), "product_name", F.lit("!")).alias("slug")), ["slug"])
@@ -243,6 +248,16 @@ def q34(s, d):
     return q.work_list(p.withColumn("found", F.when(F.col("page_id") % 4 != 0, F.lit(1))), staged, "page_id", "url", "found")
 
 
+@query("q34_work_counts", "SELECT domain, why, count(*) AS n FROM (" + SQL["q34_work_list"] + ") GROUP BY domain, why")
+def q34b(s, d):
+    return q.work_counts(q34(s, d))
+
+
+@query("q35_missing_fields", sql("SELECT unnest(['kcal', 'protein', 'fat', 'life_stage']) AS field, unnest([n - count(kcal), n - count(protein), n - count(fat), n - count(life_stage)]) AS n_missing, unnest([round((n - count(kcal)) * 100.0::DOUBLE / n, 2), round((n - count(protein)) * 100.0::DOUBLE / n, 2), round((n - count(fat)) * 100.0::DOUBLE / n, 2), round((n - count(life_stage)) * 100.0::DOUBLE / n, 2)]) AS percent FROM catalogue, (SELECT count(*) AS n FROM catalogue) t GROUP BY n", C))
+def q35b(s, d):
+    return q.missing_fields(catalogue(s, d), ["kcal", "protein", "fat", "life_stage"])
+
+
 @query("q35_completeness_tiers", sql("SELECT CASE WHEN s < 40 THEN 'low' WHEN s < 70 THEN 'mid' ELSE 'high' END AS tier, count(*) AS n FROM (SELECT ((kcal IS NOT NULL)::INT + (protein IS NOT NULL)::INT + (fat IS NOT NULL)::INT + (life_stage IS NOT NULL)::INT) * 100 / 4.0 AS s FROM catalogue) GROUP BY 1", C))
 def q35(s, d):
     return q.completeness_tiers(catalogue(s, d), ["kcal", "protein", "fat", "life_stage"])

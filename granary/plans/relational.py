@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from granary import sources
 from granary.functions import text as t
 from granary.operators import relational as r
 
@@ -191,6 +192,18 @@ def g4(s, d):
     return catalogue(s, d).groupBy("brand").agg(F.countDistinct("product_name").alias("names"))
 
 
+@query("g4_sketches")
+def g4b(s, d):
+    """Users by day and by month from the same stored sketches: estimates, within the bound that
+    the tests hold against exact counts."""
+    path = sources.scratch(s, "g4")
+    day = table(s, d, "events").withColumn("day", F.to_date("ts"))
+    r.distinct_sketches(day, ["day"], "user_id").write.parquet(path)
+    kept = s.read.parquet(path)
+    days = r.united(kept, ["day"]).withColumn("level", F.lit("day"))
+    return days.unionByName(r.united(kept, [F.to_date(F.date_trunc("month", "day")).alias("day")]).withColumn("level", F.lit("month")))
+
+
 @query("g5_collect_ordered", "SELECT conv_id, to_json(list({'turn': turn, 'role': role} ORDER BY turn)) AS turns FROM conversations GROUP BY conv_id")
 def g5(s, d):
     got = r.collect_ordered(table(s, d, "conversations"), ["conv_id"], [F.col("turn")], ["turn", "role"], "turns")

@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,19 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, partitions: int | No
     return df.repartition(partitions) if partitions else df
 
 
+def quarantine_jsonl(spark: SparkSession, path: str, schema: str, out: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(good, bad, counts) of JSON lines, in one pass: rows that fit the schema, and the lines that
+    don't with their file, as two partitions of the table written at `out`; counts (good, bad) are
+    observed while it is written."""
+    rows = spark.read.schema(f"{schema}, _line string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_line")
+    seen = Observation()
+    rows = rows.withColumns({"_file": F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1), "_bad": F.col("_line").isNotNull()})
+    rows.observe(seen, F.count_if(~F.col("_bad")).alias("good"), F.count_if("_bad").alias("bad")).write.partitionBy("_bad").parquet(out)
+    stored = spark.read.schema(rows.schema).parquet(out)
+    good = stored.where(~F.col("_bad")).drop("_line", "_file", "_bad")
+    return good, stored.where("_bad").select(F.col("_line").alias("line"), F.col("_file").alias("file")), seen.get
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that are one JSON array each; a file is the unit of parallelism."""
     return spark.read.schema(schema).json(path, multiLine=True)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary import sources, streaming
-from granary.operators import consolidate, ingest, match, quality, relational, variants
+from granary.operators import consolidate, ingest, match, phrases, quality, relational, variants
 from granary.plans import consolidate as consolidate_plans
 from granary.plans import ingest as ingest_plans
 from granary.plans import matching as matching_plans
@@ -161,10 +161,9 @@ def test_a_refresh_that_dies_leaves_the_table(spark, tmp_path):
 
 
 def test_rules_are_few_or_refused(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(relational, "RULE_ROWS", 3)
-    assert relational.small(spark.range(3), 3).count() == 3
+    assert spark.range(1).select(F.size(phrases.rule_array(spark.range(3), 3, 1_000)).alias("n")).first()["n"] == 3
     with pytest.raises(ValueError, match="over 3 rules"):
-        relational.small(spark.range(4), 3)
+        phrases.rule_array(spark.range(4), 3, 1_000)
     (tmp_path / "rules.yaml").write_text("# rules\nmeat:\n  - beef\n  - 'lamb'\nfish:\n  - \"cod\"\nnone:\n")
     assert sorted(map(tuple, sources.read_rules(spark, str(tmp_path / "rules.yaml")).collect())) == [("fish", "cod"), ("meat", "beef"), ("meat", "lamb")]
 

@@ -6,9 +6,10 @@ import datetime
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary import sources, streaming
-from granary.operators import ingest
+from granary.operators import ingest, relational
 
 CANON = "id long, brand string, name string, kcal double"
 STAGED = "id long, brand string, name string, kcal double, ord long"
@@ -150,3 +151,21 @@ def test_keyed_state_equals_the_batch_operator(spark, tmp_path):
     streaming.append_changes(stream, str(tmp_path / "out"), "k")(str(tmp_path / "checkpoint")).awaitTermination()
     want = streaming.changed_within(spark.createDataFrame(made, schema), "k").select("k", "fingerprint", "seen")
     assert rows(spark.read.parquet(str(tmp_path / "out")).drop("action")) == rows(want)
+
+
+def test_sketches_are_within_their_bound(spark):
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("day"), F.pmod(F.xxhash64("id"), F.lit(20_000)).alias("user"))
+    kept = relational.distinct_sketches(rows, ["day"], "user")
+    exact = {r["day"]: r["n"] for r in rows.groupBy("day").agg(F.countDistinct("user").alias("n")).collect()}
+    assert all(abs(r["n_distinct"] - exact[r["day"]]) <= 0.03 * exact[r["day"]] and r["n"] == 2_000 for r in relational.united(kept, ["day"]).collect())
+    whole = relational.united(kept, [F.lit("all").alias("all")]).first()
+    n = rows.select("user").distinct().count()
+    assert abs(whole["n_distinct"] - n) <= 0.03 * n and whole["n"] == 60_000
+
+
+def test_bad_lines_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"k": 1}\nnot json\n{"k": "text"}\n{"k": 2}\n\n{"k"\n')
+    good, bad, counts = sources.quarantine_jsonl(spark, str(tmp_path / "a.jsonl"), "k long", str(tmp_path / "out"))
+    assert sorted(r["k"] for r in good.collect()) == [1, 2]
+    assert sorted(r["line"] for r in bad.collect()) == ["not json", '{"k"', '{"k": "text"}'] and bad.first()["file"] == "a.jsonl"
+    assert counts == {"good": 2, "bad": 3}
