@@ -108,6 +108,33 @@ def smart_import(canon: DataFrame, new: DataFrame, id_col: str, url: str, base:
     return out.select(F.col(id_col).alias("id"), how.alias("how"), F.coalesce("_u", "_b").alias("target"))
 
 
+def import_products(canon: DataFrame, new: DataFrame, id_col: str, name: str, url: str, base: str, consolidates: Column, groups: Sequence[Sequence[str]]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(catalogue, variants, outcomes) after an import of `new` (the columns of `canon`).
+
+    A row's parent is the stored row of its URL, else of its base name (smallest id).  `consolidates`
+    (over new rows: a size or a pack, not a stage) makes it a variant: it fills the parent's
+    empty `groups` and is kept under it.  A group of fields is filled together, where its first
+    field is empty, from the variant of smallest id that has that field; a null in it stays.
+    A row with a parent of the same name is a duplicate and changes nothing, one without a name is
+    an error, all others are imported.  Rows meet the stored catalogue only, not each other.
+    """
+    fields = [f for g in groups for f in g]
+    kept = canon.select(F.col(id_col).alias("_id"), F.lower(name).alias("_name"), F.col(url).alias("_url"), F.col(base).alias("_base"))
+    by_url = kept.where(F.col("_url").isNotNull()).groupBy("_url").agg(F.min(F.struct("_id", "_name")).alias("_u"))
+    by_base = kept.where(F.col("_base").isNotNull()).groupBy("_base").agg(F.min(F.struct("_id", "_name")).alias("_b"))
+    met = new.withColumn("_consolidates", consolidates).join(by_url, F.col(url) == F.col("_url"), "left").join(by_base, F.col(base) == F.col("_base"), "left").withColumn("_parent", F.coalesce("_u", "_b"))
+    parent = F.col("_parent._id")
+    status = F.when(F.coalesce(F.trim(name), F.lit("")) == "", "error").when(parent.isNotNull() & F.coalesce("_consolidates", F.lit(False)), "variant").when(F.lower(name) == F.col("_parent._name"), "duplicate").otherwise("imported")
+    met = met.withColumn("status", status).withColumn("parent_id", F.when(F.col("status").isin("variant", "duplicate"), parent))
+    variants = met.where("status = 'variant'").select("parent_id", *new.columns)
+    first = lambda g: F.min(F.when(F.col(g[0]).isNotNull(), F.struct(F.col(id_col).alias("o"), *[F.col(f).alias(f) for f in g]))).alias(f"_g_{g[0]}")
+    fills = variants.groupBy(F.col("parent_id").alias("_parent_id")).agg(*[first(g) for g in groups])
+    filled = canon.join(fills, F.col(id_col) == F.col("_parent_id"), "left")
+    cells = {f: F.when(F.col(g[0]).isNull(), F.coalesce(F.col(f"_g_{g[0]}.{f}"), F.col(f))).otherwise(F.col(f)) for g in groups for f in g}
+    filled = filled.select(*[cells[c].alias(c) if c in fields else F.col(c) for c in canon.columns])
+    return filled.unionByName(met.where("status = 'imported'").select(*canon.columns)), variants, met.select(F.col(id_col).alias("id"), "status", "parent_id")
+
+
 def upsert(base: DataFrame, new: DataFrame, key: str, mode: str = "update") -> DataFrame:
     """base with new rows; of a known key the new row's values win (update; nulls don't) or the
     old row stays (nothing).  Of several new rows of a key the smallest counts."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary import sources, streaming
 from granary.operators import ingest as g
+from granary.operators.variants import variant_type
 
 from .registry import ALLOW, CATALOGUE, FEED, SQL, allowlist, catalogue, feed, query, sql, table
 
@@ -117,6 +118,37 @@ def h5(s, d):
     return g.smart_import(have, new, "id", "url", "base")
 
 
+IMPORT = """have AS (SELECT id, product_name, kcal, fat, day, 'u' || id AS url, product_name AS base FROM catalogue WHERE size % 2 = 0),
+new AS (SELECT id, lower(product_name) || CASE (id - 1000000) // 3 % 4 WHEN 0 THEN ' 400g' WHEN 2 THEN ' extra' ELSE '' END AS product_name, kcal, fat, day, 'u' || ((id - 1000000) // 2) AS url, lower(product_name) AS base FROM feed),
+met AS (SELECT n.*, coalesce(u.t, b.t) AS parent, coalesce(u.name, b.name) AS parent_name FROM new n LEFT JOIN (SELECT url, min(id) AS t, arg_min(product_name, id) AS name FROM have GROUP BY url) u ON n.url = u.url LEFT JOIN (SELECT base, min(id) AS t, arg_min(product_name, id) AS name FROM have GROUP BY base) b ON n.base = b.base),
+told AS (SELECT *, CASE WHEN parent IS NOT NULL AND product_name LIKE '%400g' THEN 'variant' WHEN product_name = parent_name THEN 'duplicate' ELSE 'imported' END AS status FROM met),
+fills AS (SELECT parent, arg_min(kcal, id) FILTER (kcal IS NOT NULL) AS kcal, arg_min(fat, id) FILTER (fat IS NOT NULL) AS fat, arg_min(day, id) FILTER (fat IS NOT NULL) AS day FROM told WHERE status = 'variant' GROUP BY parent)"""
+
+
+def imported(s, d):
+    have = catalogue(s, d).where("size % 2 = 0").select("id", "product_name", "kcal", "fat", "day", F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.col("product_name").alias("base"))
+    k = F.expr("(id - 1000000) div 3 % 4")
+    name = F.concat(F.lower("product_name"), F.when(k == 0, F.lit(" 400g")).when(k == 2, F.lit(" extra")).otherwise(F.lit("")))
+    new = feed(s, d).select("id", name.alias("product_name"), "kcal", "fat", "day", F.concat(F.lit("u"), F.expr("cast((id - 1000000) div 2 as string)")).alias("url"), F.lower("product_name").alias("base"))
+    return g.import_products(have, new, "id", "product_name", "url", "base", variant_type(F.col("product_name")).isNotNull(), [["kcal"], ["fat", "day"]])
+
+
+@query("h5_catalogue", sql("SELECT h.id, h.product_name, coalesce(h.kcal, f.kcal) AS kcal, coalesce(h.fat, f.fat) AS fat, CASE WHEN h.fat IS NULL THEN coalesce(f.day, h.day) ELSE h.day END AS day FROM have h LEFT JOIN fills f ON h.id = f.parent UNION ALL SELECT id, product_name, kcal, fat, day FROM told WHERE status = 'imported'", C, FEED, IMPORT))
+def h5b(s, d):
+    """The catalogue after the import: parents filled from their variants, and what is new."""
+    return imported(s, d)[0].select("id", "product_name", "kcal", "fat", "day")
+
+
+@query("h5_variants", sql("SELECT parent AS parent_id, id, product_name, kcal FROM told WHERE status = 'variant'", C, FEED, IMPORT))
+def h5c(s, d):
+    return imported(s, d)[1].select("parent_id", "id", "product_name", "kcal")
+
+
+@query("h5_outcomes", sql("SELECT id, status, CASE WHEN status <> 'imported' THEN parent END AS parent_id FROM told", C, FEED, IMPORT))
+def h5d(s, d):
+    return imported(s, d)[2]
+
+
 @query("h6_upsert", sql("SELECT coalesce(c.id, f.id) AS id, coalesce(f.kcal, c.kcal) AS kcal, 'update' AS mode FROM (SELECT id, kcal FROM catalogue WHERE id % 2 = 0) c FULL JOIN (SELECT id - 1000000 AS id, kcal FROM feed) f ON c.id = f.id UNION ALL SELECT coalesce(c.id, f.id), CASE WHEN c.id IS NOT NULL THEN c.kcal ELSE f.kcal END, 'nothing' FROM (SELECT id, kcal FROM catalogue WHERE id % 2 = 0) c FULL JOIN (SELECT id - 1000000 AS id, kcal FROM feed) f ON c.id = f.id", C, FEED))
 def h6(s, d):
     base, new = catalogue(s, d).where("id % 2 = 0").select("id", "kcal"), feed(s, d).select((F.col("id") - 1_000_000).alias("id"), "kcal")
