@@ -36,6 +36,7 @@ def fingerprint_changes(stream: DataFrame, key: str, expire_ms: int | None = Non
     """
     key_type = stream.schema[key].dataType.simpleString()
     seen_type = stream.schema["seen"].dataType.simpleString()
+    timed = seen_type in ("timestamp", "timestamp_ntz")
     if expire_ms and seen_type != "timestamp":
         raise ValueError("timers go by timestamps")
     timeout = GroupStateTimeout.EventTimeTimeout if expire_ms else GroupStateTimeout.NoTimeout
@@ -63,12 +64,12 @@ def fingerprint_changes(stream: DataFrame, key: str, expire_ms: int | None = Non
         action = ["new" if n else "updated" for n in new[changed]]
         yield pd.DataFrame({key: [keys[0]] * len(took), "fingerprint": took["fingerprint"].to_numpy(), "seen_us": took["seen_us"].to_numpy(), "action": action})
 
-    micros = F.unix_micros("seen") if seen_type == "timestamp" else F.col("seen").cast("long")
+    micros = F.unix_micros(F.col("seen").cast("timestamp")) if timed else F.col("seen").cast("long")
     good = stream.where(F.col("fingerprint").isNotNull() & F.col("seen").isNotNull())
     good = good.withWatermark("seen", late) if expire_ms else good
     rows = good.select(key, "seen", F.col("fingerprint").cast("string").alias("fingerprint"), micros.alias("seen_us"))
     out = rows.groupBy(key).applyInPandasWithState(run, f"{key} {key_type}, fingerprint string, seen_us long, action string", "fingerprint string, seen_us long", "append", timeout)
-    back = F.timestamp_micros("seen_us") if seen_type == "timestamp" else F.col("seen_us").cast(seen_type)
+    back = (F.timestamp_micros("seen_us") if timed else F.col("seen_us")).cast(seen_type)
     return out.select(key, "fingerprint", back.alias("seen"), "action")
 
 
