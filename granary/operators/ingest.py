@@ -65,9 +65,8 @@ def merge_staged(canon: DataFrame, staged: DataFrame, allow: DataFrame, key: str
     one = collapse_staged(staged, key, order, fields, pair)
     known = one.join(canon.select(key), key, "left_semi").withColumn("how", F.lit("updated"))
     rest = one.join(canon.select(key), key, "left_anti")
-    mine = canon.join(known.select(key), key, "left_semi").select(*pair).distinct()
-    free = canon.join(known.select(key), key, "left_anti").groupBy(*pair).agg(F.min(key).alias("_target"))
-    paired = rest.join(free.join(mine, list(pair), "left_anti"), list(pair))
+    held = canon.join(known.select(key, F.lit(True).alias("_held")), key, "left").groupBy(*pair).agg(F.min(key).alias("_target"), F.count("_held").alias("_held"))
+    paired = rest.join(held.where(F.col("_held") == 0).drop("_held"), list(pair))
     taken = paired.groupBy("_target").agg(F.min(key).alias(key))
     rekey = paired.join(taken, ["_target", key])
     left = rest.join(rekey.select(key), key, "left_anti")
