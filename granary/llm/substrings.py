@@ -551,16 +551,18 @@ def _by_transform(found: DataFrame) -> DataFrame:
 
 def _by_window(found: DataFrame) -> DataFrame:
     """The same for anchors with very many snippets of few different windows: equal snippets are
-    combined, and their windows grouped."""
+    combined, and their windows grouped.  A snippet is shorter than two windows, so its removed
+    windows overlap: they are one span, and a row here."""
     found = found.withColumn("h", F.xxhash64("snippet"))
     distinct = found.groupBy("a", "h", "snippet").agg(F.min("doc").alias("low")).where(F.octet_length("snippet") >= WINDOW)
     rows = distinct.select("a", "h", "low", "snippet", F.explode(F.sequence(F.lit(0), F.octet_length("snippet") - WINDOW)).alias("offset"))
     rows = rows.select("a", "h", "low", "offset", F.expr(f"substring(snippet, offset + 1, {WINDOW})").alias("w"))
     least = rows.groupBy("w").agg(F.min("low").alias("m"))
     least = rows.join(least, "w").groupBy("a", "h").agg(F.collect_list(F.struct("offset", "m")).alias("least"))
-    hits = found.select("a", "h", "doc", "tag", "begin").join(least, ["a", "h"]).select("doc", "tag", "begin", F.explode("least").alias("x"))
-    start = F.col("begin") + F.col("x.offset")
-    return hits.where(F.col("x.m") < F.col("doc")).select("doc", "tag", start.alias("start"), (start + WINDOW).alias("end"))
+    hits = found.select("a", "h", "doc", "tag", "begin").join(least, ["a", "h"])
+    gone = F.transform(F.filter("least", lambda x: x.m < F.col("doc")), lambda x: x.offset)
+    hits = hits.select("doc", "tag", "begin", gone.alias("gone")).where(F.size("gone") > 0)
+    return hits.select("doc", "tag", (F.col("begin") + F.array_min("gone")).alias("start"), (F.col("begin") + F.array_max("gone") + WINDOW).alias("end"))
 
 
 def _crowded(found: DataFrame) -> DataFrame:

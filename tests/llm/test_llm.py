@@ -919,6 +919,24 @@ def test_hot_anchor_and_ids_at_shipped_settings(spark):
     assert sum(n for k, n in want.items() if k[2]) > 1000
 
 
+def test_crowded_snippets_give_a_span_each(spark):
+    """A passage with 40 different ends before and after it: no row for each of a snippet's windows."""
+    rng = random.Random(41)
+    end = lambda: bytes(rng.choice(b"abc") for _ in range(5))
+    passage, texts = bytes(rng.choice(b"abcdefgh") for _ in range(50)), []
+    for _ in range(40):
+        texts.append(end() + passage + end())
+    rows = [(1, i // 2, i % 2, 100 * i, bytearray(t)) for i, t in enumerate(texts + texts[:20])]
+    spans = substrings._by_window(spark.createDataFrame(rows, substrings.FOUND_SCHEMA)).collect()
+    least = {}
+    for _, doc, _, _, t in rows:
+        for i in range(len(t) - 49):
+            least[bytes(t[i : i + 50])] = min(doc, least.get(bytes(t[i : i + 50]), doc))
+    gone = {(doc, tag, begin + i + j) for _, doc, tag, begin, t in rows for i in range(len(t) - 49) if least[bytes(t[i : i + 50])] < doc for j in range(50)}
+    assert {(r["doc"], r["tag"], b) for r in spans for b in range(r["start"], r["end"])} == gone and len(gone) > 2000
+    assert len(spans) == len({(r["doc"], r["tag"]) for r in spans}) <= len(rows)
+
+
 def test_repeats_in_periodic_texts(spark):
     rng, rows = random.Random(7), []
     for i in range(60):
