@@ -170,10 +170,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 # Looser similarity.  Two texts that share 0.8 of their shingles differ in a seventh of all
-# bits; within 64 bits that is too near to chance, and pivot coordinates that far apart
-# discard nothing.  So candidates come from bands of minima of hashed shingles, which two texts
-# share with a probability that only their shared shingles make, and are decided by the shingle
-# sets themselves.
+# bits; within 64 bits that is too near to chance.  So the distance is that of the shingle sets:
+# the number of shingles that one of two has and the other hasn't.  The pivots are reference sets
+# for it: the empty set, whose distance is a set's size, and CELLS sets that part all possible
+# shingles by hash.  A set A is |A| + |P| - 2 |A & P| from pivot P, so its table holds |A & P|.
+# As the pivots are disjoint, the differences of two tables add up to at most the distance.
+# Texts meet in bands of minima of hashed shingles; of those that meet, pairs whose tables differ
+# by more than similar sets can are discarded, and the rest are decided by the shingle sets.
 
 #: Words of a wide fingerprint.
 WIDE = 8
@@ -181,6 +184,10 @@ WIDE = 8
 SLACK = 12
 #: Minima in a band, and bands: at 0.8 a pair has none in common with a probability of 5e-8.
 ROWS, BANDS = 4, 32
+#: Disjoint pivots, a byte each; shared shingles over 255 count as 255.
+CELLS = 64
+#: Members of a band whose tables are compared in one task, and tables that are held against one at once.
+TABLES, LANES = 1 << 16, 1 << 13
 #: Bytes of text of the parts that a large group is compared in, two at a time.
 PART = 8 << 20
 
@@ -237,19 +244,47 @@ def _band_keys(hashed: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def cell_table(hashed: np.ndarray) -> bytes:
+    """How many shingles of a set each disjoint pivot has."""
+    return np.minimum(np.bincount((hashed >> np.uint64(32)).astype(np.int64) % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
+def near_tables(tables: np.ndarray, size: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) of sets whose pivot distances (`tables` to the disjoint ones, `size` to the
+    empty one) allow `similarity`; their components are those of all such pairs: each set that is
+    reached is held against all that aren't yet."""
+    share = (1 - similarity) / (1 + similarity)
+    tables, out, rest = tables.astype(np.int16), [], np.arange(len(size))
+    while len(rest):
+        reached, rest = [int(rest[0])], rest[1:]
+        while reached and len(rest):
+            i, hit = reached.pop(), []
+            for k in range(0, len(rest), LANES):
+                j = rest[k : k + LANES]
+                apart = np.maximum(np.abs(tables[j] - tables[i]).sum(axis=1), np.abs(size[j] - size[i]))
+                hit.append(apart <= share * (size[j] + size[i]) + 1e-6)
+            hit = np.concatenate(hit)
+            near, rest = rest[hit].tolist(), rest[~hit]
+            out += [(i, j) for j in near]
+            reached += near
+    return out
+
+
 def _banded(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """doc_id, text_hash, node (a hash of the shingle set, 0 of an empty one), bands."""
+    """doc_id, text_hash, node (a hash of the shingle set, 0 of an empty one), bands, and the
+    set's pivot distances: size, cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(2)]
             nodes = pa.array([int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True) if len(h) else 0 for h in sets], pa.int64())
             bands = pa.array([_band_keys(h) if len(h) else [] for h in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, bands], names=["doc_id", "text_hash", "node", "bands"])
+            size, cells = pa.array([len(h) for h in sets], pa.int64()), pa.array([cell_table(h) for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, bands, size, cells], names=["doc_id", "text_hash", "node", "bands", "size", "cells"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node long, bands array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node long, bands array<long>, size long, cells binary")
 
 
 def similar_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -281,19 +316,54 @@ def similar_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, i
     return out
 
 
+def band_links(marked: DataFrame, similarity: float) -> DataFrame:
+    """Edges (u, v) between nodes that share a band and whose pivot distances allow `similarity`,
+    directly or over others of the band.
+
+    A band's tables meet in one task.  The members of a band with more than TABLES are all linked
+    to its smallest, which holds the same links and more.
+    """
+    node = marked.groupBy("node").agg(F.first("bands").alias("bands"))
+    filed = node.select("node", F.explode("bands").alias("band"))
+    shared = filed.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("_n")).where(F.col("_n") > 1)
+    met = materialize(filed.join(shared, "band"), "met")
+    table = marked.groupBy("node").agg(F.first("size").alias("size"), F.first("cells").alias("cells"))
+    rows = met.where(F.col("_n") <= TABLES).select("band", "node").join(table, "node").select("band", "node", "size", "cells")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(band: np.ndarray, node: np.ndarray, size: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero(np.append(True, band[1:] != band[:-1])).tolist()
+            found = [(a + i, a + j) for a, b in zip(cuts, [*cuts[1:], len(band)], strict=True) for i, j in near_tables(cells[a:b], size[a:b], similarity)]
+            u, v = (node[[p[k] for p in found]] if found else node[:0] for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+        held = None
+        for batch in batches:
+            now = [batch.column(i).to_numpy() for i in range(3)]
+            now.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, CELLS))
+            held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
+            at = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last band may go on
+            if at:
+                yield done(*(x[:at] for x in held))
+                held = [x[at:] for x in held]
+        if held and len(held[0]):
+            yield done(*held)
+
+    near = rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "u long, v long")
+    large = met.where((F.col("_n") > TABLES) & (F.col("low") < F.col("node"))).select(F.col("low").alias("u"), F.col("node").alias("v"))
+    return near.unionByName(large).distinct()
+
+
 def similar_links(marked: DataFrame, docs: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
     """Edges (u, v) between nodes whose shingle sets are at `similarity` or more; their
     components are those of all such pairs.
 
-    Nodes that share a band, directly or over others, form a group, found by linking a band's
-    members to its smallest.  A group's texts meet in one task and are compared by their shingle
+    Nodes that share a band and that their pivot distances don't part form a group, directly or
+    over others.  A group's texts meet in one task and are compared by their shingle
     sets; of a group of more than twice PART bytes any two parts meet in one.
     """
-    node = marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("bands").alias("bands"))
-    filed = node.select("node", F.explode("bands").alias("band"))
-    lows = filed.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("_n")).where(F.col("_n") > 1)
-    met = filed.join(lows, "band").where(F.col("u") < F.col("node")).select("u", F.col("node").alias("v")).distinct()
-    found = components(met)
+    node = marked.groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    found = components(band_links(marked, similarity))
     of = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     wanted = of.join(node.select("node", "text_hash"), "node").select("node", "root", "text_hash")
     texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
@@ -334,7 +404,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     marked = materialize(_banded(docs, key, text, shingle), "bands")
     edges = similar_links(marked, docs, text, shingle, similarity)
-    return _grouped(marked.drop("bands"), edges, "node").select("doc_id", "text_hash", "component_id")
+    return _grouped(marked.drop("bands", "size", "cells"), edges, "node").select("doc_id", "text_hash", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -648,6 +648,47 @@ def test_similarity_is_that_of_the_shingle_sets(spark):
     assert {r["doc_id"]: r["component_id"] for r in out} == want
 
 
+def test_a_common_passage_makes_no_groups(spark, monkeypatch):
+    """80 words of a document's own and 40 that all have, 0.18 alike: pivot distances part them
+    before groups are made; 30 near copies among them are found all the same."""
+    seen, real = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda e: (seen.append({x for r in e.collect() for x in r}), real(e))[1])
+    rng = random.Random(51)
+    passage = " ".join(f"c{i}" for i in range(40))
+    rows = [(i, " ".join(f"w{rng.randrange(1 << 30)}" for _ in range(80)) + " " + passage) for i in range(600)]
+    rows += [(600 + i, edited(rng, rows[i][1].split(), 1)) for i in range(30)]
+    out = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i - 600 if i >= 600 else i for i, _ in rows}
+    assert len(seen[0]) == 60
+
+
+@pytest.mark.parametrize(("tables", "lanes"), [(20, 1 << 13), (1 << 16, 7)])
+def test_large_bands_lose_no_link(spark, monkeypatch, tables, lanes):
+    monkeypatch.setattr(simhash, "TABLES", tables)
+    monkeypatch.setattr(simhash, "LANES", lanes)
+    rng, rows = random.Random(52), []
+    for base in range(4):
+        words = [f"w{rng.randrange(5000)}" for _ in range(150)]
+        rows += [(40 * base + i, edited(rng, words, i % 5)) for i in range(40)]
+    out = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == brute_similar(rows)
+
+
+def test_tables_differ_by_no_more_than_the_sets():
+    """Also where a pivot has over 255 of a set's shingles; and sets at 0.8 are always linked."""
+    rng = np.random.default_rng(53)
+    for n in (1, 9, 45, 900, 36_000):
+        for _ in range(20):
+            pool = rng.integers(1 << 63, size=n + n // 8, dtype=np.uint64)
+            a, b = np.unique(pool[:n]), np.unique(pool[n // 8 :])
+            apart, both = len(np.setxor1d(a, b)), len(np.intersect1d(a, b))
+            x, y = (np.frombuffer(simhash.cell_table(h), dtype=np.uint8) for h in (a, b))
+            assert np.abs(x.astype(int) - y).sum() <= apart
+            assert both / (len(a) + len(b) - both) < 0.77 or simhash.near_tables(np.stack([x, y]), np.array([len(a), len(b)]), both / (len(a) + len(b) - both)) == [(0, 1)]
+    far = [np.frombuffer(simhash.cell_table(rng.integers(1 << 63, size=100, dtype=np.uint64)), dtype=np.uint8) for _ in range(50)]
+    assert simhash.near_tables(np.stack(far), np.full(50, 100), 0.8) == []
+
+
 def test_accepted_distance():
     assert simhash.most_apart(1.0) == simhash.SLACK
     assert simhash.most_apart(0.8) == 77 + simhash.SLACK
