@@ -19,6 +19,9 @@ A step is one aggregation by group, start and distance bin; running sums along t
 both the H quantile (as a bin edge, so that equal rows are treated alike) and the moments below
 it, so no task ever sees a whole group: windows run over bins (some thousands at most) and, for
 the medians, over the distinct thousandths of a statistic, whose logarithms span under 40,000.
+
+The vectors and what each step estimates are written and read back, so that a step's plan is that
+of one step: the driver's memory grows with the plans, which it copies while it plans and runs them.
 """
 
 from __future__ import annotations
@@ -130,16 +133,19 @@ def _factor(rows: DataFrame, names: list[str], factor: float, floor: tuple, mean
     from sums called `names`."""
     n, s, p = names[0], names[1 : D + 1], dict(zip([(j, k) for j in range(D) for k in range(j + 1)], names[D + 1 :], strict=True))
     mean = [F.col(c) / F.col(n) for c in s]
+
+    def spread(j: int, k: int) -> Column:
+        out = (F.col(p[j, k]) / F.col(n) - mean[j] * mean[k]) * factor
+        for i in range(k):
+            out = out - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
+        return out
+
     if means:
-        for j in range(D):
-            rows = rows.withColumn(f"m{j}", mean[j])
-    for j in range(D):
-        for k in range(j + 1):
-            spread = (F.col(p[j, k]) / F.col(n) - mean[j] * mean[k]) * factor
-            for i in range(k):
-                spread = spread - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
-            cell = F.sqrt(F.greatest(spread, F.lit(0.0)) + floor[j] ** 2) if j == k else spread / F.col(f"l{k}{k}")
-            rows = rows.withColumn(f"l{j}{k}", cell)
+        rows = rows.withColumns(dict(zip(MEANS, mean, strict=True)))
+    for k in range(D):  # by columns: what is below a diagonal cell needs no more than it and the columns before
+        rows = rows.withColumn(f"l{k}{k}", F.sqrt(F.greatest(spread(k, k), F.lit(0.0)) + floor[k] ** 2))
+        if k + 1 < D:
+            rows = rows.withColumns({f"l{j}{k}": spread(j, k) / F.col(f"l{k}{k}") for j in range(k + 1, D)})
     return rows
 
 
@@ -167,7 +173,7 @@ def first_estimates(rows: DataFrame) -> DataFrame:
     turned = [F.when(length > 0, whole(v / length)).otherwise(F.lit(0).cast("long")) for v in z]
     names = {i: [f"_{i}{c}" for c in SUMS] for i in (1, 2, 3)}
     took = both.select(*[F.col(f"r.{c}") for c in (*GROUP, *X)], *[c.alias(f"_b{j}") for j, c in enumerate(bent)], *[c.alias(f"_t{j}") for j, c in enumerate(turned)])
-    sums = took.groupBy(*GROUP).agg(*[c for i, x in ((1, X), (2, [f"_b{j}" for j in range(D)]), (3, [f"_t{j}" for j in range(D)])) for c in _sums([F.col(v) for v in x], names[i])])
+    sums = materialize(took.groupBy(*GROUP).agg(*[c for i, x in ((1, X), (2, [f"_b{j}" for j in range(D)]), (3, [f"_t{j}" for j in range(D)])) for c in _sums([F.col(v) for v in x], names[i])]), "sums")
     out = middle.select(*GROUP, F.lit(0).alias("_start"), *MEANS, *[(F.col(f"s{j}") if j == k else F.lit(0.0)).alias(f"l{j}{k}") for j in range(D) for k in range(j + 1)])
     out = out.unionByName(_factor(sums, names[1], 1.0, FLOOR).select(*GROUP, F.lit(1).alias("_start"), *MEANS, *LOWER))
     for i in (2, 3):
@@ -206,12 +212,12 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 def concentrated(rows: DataFrame, estimate: DataFrame, steps: int) -> DataFrame:
-    return reduce(lambda e, _: concentrate(rows, e), range(steps), estimate)
+    return reduce(lambda e, _: materialize(concentrate(rows, e), "estimate"), range(steps), estimate)
 
 
 def smallest_determinant(rows: DataFrame) -> DataFrame:
     """GROUP, _start, MEANS, LOWER: the estimate of smallest determinant of each group."""
-    now = materialize(concentrated(rows, first_estimates(rows), FIRST_STEPS), "estimate")
+    now = concentrated(rows, materialize(first_estimates(rows), "estimate"), FIRST_STEPS)
     rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy("size", "_start"))  # four rows a group
     now = now.withColumn("_rank", rank).where(F.col("_rank") <= BEST).drop("_rank").withColumn("_on", F.lit(True))
     cells = [*MEANS, *LOWER, "size"]
@@ -260,7 +266,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     sized = sized.select("r.*", "e._level", "e._by_lang")
     own = lambda n: F.struct(F.when(F.lit(n < 2), F.col("_lang")).alias("_lang"), F.when(F.lit(n < 1), F.col("_from")).alias("_source"), F.lit(n).alias("_level"))
     part = [F.when(F.col("_level") == 0, own(0)), F.when(F.col("_by_lang"), own(1)), F.when(F.lit(by_all), own(2))]
-    used = sized.select(F.explode(F.array_compact(F.array(*part))).alias("_g"), *X).select("_g.*", *X)
+    used = materialize(sized.select(F.explode(F.array_compact(F.array(*part))).alias("_g"), *X).select("_g.*", *X), "vectors")
     estimate = materialize(smallest_determinant(used), "estimate")
     estimate = materialize(reweighted(used, estimate), "estimate")
     mine = F.when(F.col("_level") == 0, own(0)).when(F.col("_level") == 1, own(1)).otherwise(own(2))

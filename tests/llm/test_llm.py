@@ -473,6 +473,18 @@ def test_outliers_are_those_of_brute_force(docs, docs_rows):
     assert any(v is not None and v > quality.CUTOFF for d in by_key.values() for v in d)
 
 
+def test_a_step_of_the_estimate_has_a_plan_of_its_own(docs, monkeypatch):
+    joins = []
+
+    def spy(df, name):
+        joins.append(str(df._jdf.queryExecution().optimizedPlan()).count("Join "))
+        return common.materialize(df, name)
+
+    monkeypatch.setattr(quality, "materialize", spy)
+    quality.judge(docs.limit(200))
+    assert len(joins) > quality.FIRST_STEPS and max(joins) <= 2  # whatever the number of steps
+
+
 def test_one_text_in_two_groups_has_two_verdicts(spark):
     """Rows of equal key and text, an outlier in one source only."""
     rng = random.Random(41)
