@@ -110,18 +110,45 @@ def of_rows(a: DataFrame, found: DataFrame, block: str, cols: Sequence[str], id_
     return rows.join(found, reduce(lambda x, y: x & y, on)).select("id", *rest)
 
 
+#: Rows of a value in one of its lists, about; pairs of rows that a task makes, and such tasks at most.
+LISTED, PAIRS, TASKS = 256, 1 << 21, 10_000
+
+
+def listed(rows: DataFrame, values: DataFrame, side: str, block: str, name: str, key: str) -> DataFrame:
+    """`side`_no, `side`_part, `side`_ids: the keys (nulls too) of the rows of each of `values`, about LISTED in a part."""
+    own = rows.select(F.col(block).alias("_in"), F.col(name).alias("_name"), F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_at"))
+    own = stored(own.where(F.col("_in").isNotNull() & F.col("_name").isNotNull()), f"rows_{side}")
+    of = values.select("_block", f"{side}_no", F.col(f"{side}_{name}").alias("_value"), F.ceil(F.col("_rows") / LISTED).alias("_parts"))
+    own = own.join(of, (F.col("_in") == F.col("_block")) & (F.col("_name") == F.col("_value")))
+    nulls = F.array_repeat(F.lit(None).cast(own.schema["_id"].dataType), F.count_if(F.col("_id").isNull()).cast("int"))
+    return own.groupBy(f"{side}_no", F.pmod(F.xxhash64("_at"), "_parts").alias(f"{side}_part")).agg(F.concat(F.collect_list("_id"), nulls).alias(f"{side}_ids"))
+
+
+def list_pairs(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """For `pairs` of values (a_no, a_rows, b_no, b_rows and others), each two of their lists: a_ids,
+    b_ids and the others.  Lists are joined and shuffled, not rows, so that a value's many rows
+    don't meet in one task: they are dealt to tasks of about PAIRS pairs of rows."""
+    made = pairs.agg(F.sum(F.col("a_rows") * F.col("b_rows"))).first()[0] or 0
+    for side, lists in (("a", a), ("b", b)):
+        last = F.ceil(F.col(f"{side}_rows") / LISTED) - 1
+        pairs = pairs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(f"{side}_part"))
+    cells = pairs.join(a, ["a_no", "a_part"]).join(b, ["b_no", "b_part"])
+    cells = cells.repartition(min(TASKS, made // PAIRS + 1), "a_no", "a_part", "b_no", "b_part")
+    return cells.drop("a_no", "a_rows", "a_part", "b_no", "b_rows", "b_part")
+
+
 def block_contains_match(a: DataFrame, b: DataFrame, block: str, name: str, id_a: str, id_b: str, exact: float = 0.95, within: float = 0.8) -> DataFrame:
     """Pairs in a block whose names are equal (confidence `exact`) or contain one another
     (`within`).  Different names meet by the rarest run of letters of the one that is within the
-    other; rows come after."""
+    other; rows come after, as lists of the ids of a name."""
     left, right = (numbered(x, block, [name], n).withColumn("_text", F.col(f"{n}_{name}")) for x, n in ((a, "a"), (b, "b")))
     met = contained(right, left, "b", "a").select(F.col("text_no").alias("a_no"), F.col("needle_no").alias("b_no"))
     met = met.unionByName(contained(left, right, "a", "b").select(F.col("needle_no").alias("a_no"), F.col("text_no").alias("b_no"))).distinct()
-    pairs = met.join(left.select("a_no", "_block", f"a_{name}"), "a_no").join(right.select("b_no", f"b_{name}"), "b_no")
+    pairs = met.join(left.select("a_no", f"a_{name}", F.col("_rows").alias("a_rows")), "a_no").join(right.select("b_no", f"b_{name}", F.col("_rows").alias("b_rows")), "b_no")
     sure = F.when(F.col(f"a_{name}") == F.col(f"b_{name}"), F.lit(exact)).otherwise(F.lit(within))
-    found = of_rows(a, pairs.select(F.col("_block").alias(block), f"a_{name}", F.col("_block").alias("_b"), f"b_{name}", sure.alias("confidence")), block, [name], id_a)
-    rows = b.select(F.col(block).alias("_b"), F.col(name).alias(f"b_{name}"), F.col(id_b).alias("id_b"))
-    return found.join(rows, ["_b", f"b_{name}"]).select(F.col("id").alias("id_a"), "id_b", "confidence")
+    pairs = stored(pairs.select("a_no", "a_rows", "b_no", "b_rows", sure.alias("confidence")), "pairs")
+    cells = list_pairs(pairs, listed(a, left, "a", block, name, id_a), listed(b, right, "b", block, name, id_b))
+    return cells.select(F.explode("a_ids").alias("id_a"), "b_ids", "confidence").select("id_a", F.explode("b_ids").alias("id_b"), "confidence")
 
 
 def rule_cross(df: DataFrame, rules: DataFrame, text: str, pattern: str, literal: str | None = None) -> DataFrame:

@@ -130,6 +130,16 @@ def test_containment_equals_all_pairs(spark, sides):
     assert got == want
 
 
+def test_pairs_of_equal_rows_are_dealt_to_tasks(spark):
+    """One name's rows on both sides, and rows without an id: all pairs, which no task makes most of."""
+    rows = lambda n, name: spark.range(n).select(F.when(F.col("id") % 500 != 0, F.col("id")).alias("id"), F.lit("p").alias("brand"), F.lit(name).alias("name"))
+    got = relational.block_contains_match(rows(4_000, "new bolt"), rows(1_500, "bolt"), "brand", "name", "id", "id")
+    each = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("id_a").alias("a"), F.count("id_b").alias("b"), F.sum("id_a").alias("s"), F.sum("id_b").alias("t"), F.max("confidence").alias("c")).collect()
+    ids = lambda n: [i for i in range(n) if i % 500]
+    assert [sum(r[c] for r in each) for c in "nabst"] == [6_000_000, len(ids(4_000)) * 1_500, len(ids(1_500)) * 4_000, sum(ids(4_000)) * 1_500, sum(ids(1_500)) * 4_000]
+    assert max(r["n"] for r in each) < 4_500_000 and {r["c"] for r in each} == {0.8}
+
+
 def test_exact_ratio_and_how_few_pairs_reach_python(sides):
     a, b, left, right = sides
     ratio = lambda x, y: SequenceMatcher(None, x[0] or "", y[0] or "").ratio()
