@@ -146,14 +146,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _grouped(marked: DataFrame, edges: DataFrame, node: str) -> DataFrame:
-    """`marked` (doc_id, `node`, ...) with component_id from edges between nodes."""
+    """`marked` (doc_id, `node`, ...) with component_id from edges between nodes, and root, the
+    component's smallest node: unlike an id, which may be null or repeated, no two share it."""
     distinct = marked.groupBy(node).agg(F.min("doc_id").alias("first"))
     found = components(edges).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     nodes = found.unionByName(found.select(F.col("_root").alias("_node"), "_root").distinct())
     named = nodes.join(distinct, F.col("_node") == F.col(node))
     lowest = named.groupBy("_root").agg(F.min("first").alias("component_id"))
-    of = nodes.join(lowest, "_root").select(F.col("_node").alias(node), "component_id")
-    ids = distinct.join(of, node, "left").select(node, F.coalesce("component_id", "first").alias("component_id"))
+    of = nodes.join(lowest, "_root").select(F.col("_node").alias(node), "component_id", "_root")
+    ids = distinct.join(of, node, "left").select(node, F.coalesce("component_id", "first").alias("component_id"), F.coalesce("_root", node).alias("root"))
     return marked.join(materialize(ids, "ids"), node)  # a join of two plain shuffles: Spark splits a hot node's rows
 
 
@@ -397,14 +398,15 @@ def similar_links(marked: DataFrame, docs: DataFrame, text: str, shingle: int, s
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, text_hash, component_id; a row per input row.
+    """doc_id, text_hash, component_id, root; a row per input row.
 
     Components over links of texts whose shingle sets have a Jaccard similarity of `similarity`
     or more.  Texts without words link to each other; other cases are as in `near_duplicates`.
+    Components whose documents have no ids, or the same smallest one, differ in root.
     """
     marked = materialize(_banded(docs, key, text, shingle), "bands")
     edges = similar_links(marked, docs, text, shingle, similarity)
-    return _grouped(marked.drop("bands", "size", "cells"), edges, "node").select("doc_id", "text_hash", "component_id")
+    return _grouped(marked.drop("bands", "size", "cells"), edges, "node").select("doc_id", "text_hash", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -413,7 +415,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
     one stays."""
     groups = similar_documents(docs, key, text, shingle, similarity)
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("lead")
-    stay = groups.groupBy("component_id").agg(lead).select(F.col("lead.doc_id").alias("_id"), F.col("lead.text_hash").alias("_th")).distinct()
+    stay = groups.groupBy("root").agg(lead).select(F.col("lead.doc_id").alias("_id"), F.col("lead.text_hash").alias("_th")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_text"))
     kept = rows.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")), "left_semi")
     again = F.row_number().over(Window.partitionBy("_key", "_text").orderBy(F.xxhash64("row")))

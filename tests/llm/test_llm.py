@@ -722,6 +722,15 @@ def test_one_of_each(docs, docs_rows, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
 
 
+def test_one_of_each_group_stays_without_ids_and_with_repeated_ones(spark):
+    """Groups with null ids only, or with one smallest id between them, are groups of their own."""
+    words = lambda k: " ".join(f"{k}{i}" for i in range(30))
+    rows = [(None, "a"), (None, "b"), (None, "b"), (7, "c"), (7, "d"), (9, "d"), (8, "e"), (8, "c"), (None, None)]
+    docs = spark.createDataFrame([(k, x and words(x)) for k, x in rows], "doc_id long, text string")
+    kept = Counter((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect())
+    assert kept == Counter([(None, words("a")), (None, words("b")), (7, words("c")), (7, words("d")), (8, words("e")), (None, None)])
+
+
 # 8 lines
 
 
