@@ -176,15 +176,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 # for it: the empty set, whose distance is a set's size, and CELLS sets that part all possible
 # shingles by hash.  A set A is |A| + |P| - 2 |A & P| from pivot P, so its table holds |A & P|.
 # As the pivots are disjoint, the differences of two tables add up to at most the distance.
-# Texts meet in bands of minima of hashed shingles; of those that meet, pairs whose tables differ
-# by more than similar sets can are discarded, and the rest are decided by the shingle sets.
+# Texts meet by the first shingles of their sets in an order of all shingles: the first one that
+# two similar sets share is so early in both that no pair is missed.  Of those that meet, pairs whose
+# tables differ by more than similar sets can are discarded, and the rest are decided by the sets.
 
 #: Words of a wide fingerprint.
 WIDE = 8
 #: Widening of the accepted distance: one and a half standard deviations of 512 bits at 0.8.
 SLACK = 12
-#: Minima in a band, and bands: at 0.8 a pair has none in common with a probability of 5e-8.
-ROWS, BANDS = 4, 32
+#: Shingles that OFTEN texts hold, of every SAMPLE-th different one, come last in the order; COMMON at most.
+SAMPLE, OFTEN, COMMON = 64, 4, 1 << 17
 #: Disjoint pivots, a byte each; shared shingles over 255 count as 255.
 CELLS = 64
 #: Members of a band whose tables are compared in one task, and tables that are held against one at once.
@@ -230,19 +231,28 @@ def most_apart(similarity: float) -> int:
     return int(64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + SLACK
 
 
-def _band_keys(hashed: np.ndarray) -> np.ndarray:
-    """A hash for each band of a shingle set: of ROWS minima under hash functions of its own."""
-    rng = np.random.default_rng(SEED)
-    flip, times = (rng.integers(1 << 63, size=(ROWS * BANDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-    low = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(hashed), 512):
-            low = np.minimum(low, ((hashed[i : i + 512] ^ flip) * times).min(axis=1))
-        for minima in low.reshape(ROWS, BANDS):
-            key = (key ^ minima) * np.uint64(0xBF58476D1CE4E5B9)
-            key = key ^ (key >> np.uint64(29))
-    return key.view(np.int64)
+def common_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
+    """Sorted hashes of shingles that many texts hold, as a sample shows.  It is for the order alone:
+    whatever it finds, no pair is missed, but common passages are not what texts meet by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]).view(np.int64))], names=["shingle"])
+
+    texts = docs.select(F.col(text).cast("string").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).distinct()
+    counted = texts.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    found = counted.orderBy(F.desc("n"), "shingle").limit(COMMON).select("shingle").toArrow()
+    return np.sort(found.column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
+def first_shingles(hashed: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """The shingles of a set that it meets others by: of n, all but as many as it shares at least
+    with a similar set, less one.  Common ones come last, others by hash."""
+    if len(common):
+        often = common[np.minimum(np.searchsorted(common, hashed), len(common) - 1)] == hashed
+        hashed = np.concatenate([hashed[~often], hashed[often]])
+    return hashed[: len(hashed) - int(np.ceil(similarity * len(hashed) - 1e-6)) + 1].view(np.int64)
 
 
 def cell_table(hashed: np.ndarray) -> bytes:
@@ -250,36 +260,38 @@ def cell_table(hashed: np.ndarray) -> bytes:
     return np.minimum(np.bincount((hashed >> np.uint64(32)).astype(np.int64) % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
+def may_be_near(tables: np.ndarray, size: np.ndarray, i: np.ndarray | int, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the pivot distances of sets i and j allow `similarity`."""
+    apart = np.maximum(np.abs(tables[j].astype(np.int16) - tables[i]).sum(axis=1), np.abs(size[j] - size[i]))
+    return apart <= (1 - similarity) / (1 + similarity) * (size[j] + size[i]) + 1e-6
+
+
 def near_tables(tables: np.ndarray, size: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """Links (i, j) of sets whose pivot distances (`tables` to the disjoint ones, `size` to the
     empty one) allow `similarity`; their components are those of all such pairs: each set that is
     reached is held against all that aren't yet."""
-    share = (1 - similarity) / (1 + similarity)
-    tables, out, rest = tables.astype(np.int16), [], np.arange(len(size))
+    out, rest = [], np.arange(len(size))
     while len(rest):
         reached, rest = [int(rest[0])], rest[1:]
         while reached and len(rest):
-            i, hit = reached.pop(), []
-            for k in range(0, len(rest), LANES):
-                j = rest[k : k + LANES]
-                apart = np.maximum(np.abs(tables[j] - tables[i]).sum(axis=1), np.abs(size[j] - size[i]))
-                hit.append(apart <= share * (size[j] + size[i]) + 1e-6)
-            hit = np.concatenate(hit)
+            i = reached.pop()
+            hit = np.concatenate([may_be_near(tables, size, i, rest[k : k + LANES], similarity) for k in range(0, len(rest), LANES)])
             near, rest = rest[hit].tolist(), rest[~hit]
             out += [(i, j) for j in near]
             reached += near
     return out
 
 
-def _banded(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """doc_id, text_hash, node (a hash of the shingle set, 0 of an empty one), bands, and the
-    set's pivot distances: size, cells."""
+def _banded(docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, text_hash, node (a hash of the shingle set, 0 of an empty one), bands (its first
+    shingles), and the set's pivot distances: size, cells."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(2)]
             nodes = pa.array([int.from_bytes(xxhash.xxh64_digest(h.tobytes(), SEED), "big", signed=True) if len(h) else 0 for h in sets], pa.int64())
-            bands = pa.array([_band_keys(h) if len(h) else [] for h in sets], pa.list_(pa.int64()))
+            bands = pa.array([first_shingles(h, similarity, common.value) if len(h) else [] for h in sets], pa.list_(pa.int64()))
             size, cells = pa.array([len(h) for h in sets], pa.int64()), pa.array([cell_table(h) for h in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, bands, size, cells], names=["doc_id", "text_hash", "node", "bands", "size", "cells"])
 
@@ -321,20 +333,24 @@ def band_links(marked: DataFrame, similarity: float) -> DataFrame:
     """Edges (u, v) between nodes that share a band and whose pivot distances allow `similarity`,
     directly or over others of the band.
 
-    A band's tables meet in one task.  The members of a band with more than TABLES are all linked
-    to its smallest, which holds the same links and more.
+    A band's tables meet in one task, once where several bands have the same members.  The members
+    of a band with more than TABLES are all linked to its smallest, which holds the same links and more.
     """
     node = marked.groupBy("node").agg(F.first("bands").alias("bands"))
     filed = node.select("node", F.explode("bands").alias("band"))
-    shared = filed.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("_n")).where(F.col("_n") > 1)
+    shared = filed.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("_n"), F.bit_xor("node").alias("_all")).where(F.col("_n") > 1)
+    shared = shared.groupBy("low", "_n", "_all").agg(F.min("band").alias("band")).drop("_all")
     met = materialize(filed.join(shared, "band"), "met")
     table = marked.groupBy("node").agg(F.first("size").alias("size"), F.first("cells").alias("cells"))
     rows = met.where(F.col("_n") <= TABLES).select("band", "node").join(table, "node").select("band", "node", "size", "cells")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(band: np.ndarray, node: np.ndarray, size: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
-            cuts = np.flatnonzero(np.append(True, band[1:] != band[:-1])).tolist()
-            found = [(a + i, a + j) for a, b in zip(cuts, [*cuts[1:], len(band)], strict=True) for i, j in near_tables(cells[a:b], size[a:b], similarity)]
+            cuts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            many = np.diff(np.append(cuts, len(band)))
+            two = cuts[many == 2]  # most
+            two = two[may_be_near(cells, size, two, two + 1, similarity)].tolist()
+            found = [(i, i + 1) for i in two] + [(a + i, a + j) for a, n in zip(cuts[many > 2].tolist(), many[many > 2].tolist(), strict=True) for i, j in near_tables(cells[a : a + n], size[a : a + n], similarity)]
             u, v = (node[[p[k] for p in found]] if found else node[:0] for k in (0, 1))
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
@@ -404,7 +420,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     or more.  Texts without words link to each other; other cases are as in `near_duplicates`.
     Components whose documents have no ids, or the same smallest one, differ in root.
     """
-    marked = materialize(_banded(docs, key, text, shingle), "bands")
+    marked = materialize(_banded(docs, key, text, shingle, similarity), "bands")
     edges = similar_links(marked, docs, text, shingle, similarity)
     return _grouped(marked.drop("bands", "size", "cells"), edges, "node").select("doc_id", "text_hash", "component_id", "root")
 

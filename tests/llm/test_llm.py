@@ -674,6 +674,27 @@ def test_a_common_passage_makes_no_groups(spark, monkeypatch):
     assert len(seen[0]) == 60
 
 
+def test_no_similar_pair_is_missed(spark):
+    """200 words that two texts share, and 13 chosen so that 32 bands of four minima had none in common."""
+    own = [288, 1803, 319, 668, 781, 936, 202, 907, 1147, 1812, 1820, 217, 504]
+    texts = [" ".join(f"w{i}" for i in [*range(200), *some]) for some in (own[::2], own[1::2])]
+    out = simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shingle=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {0: 0, 1: 0}
+
+
+def test_first_shingles_meet():
+    """Sets at a similarity share one of their first shingles, whatever comes last."""
+    rng = np.random.default_rng(54)
+    for n in (1, 4, 5, 9, 45, 300):
+        for _ in range(50):
+            pool = rng.permutation(np.unique(rng.integers(1 << 63, size=n + n // 8, dtype=np.uint64)))
+            a, b = np.unique(pool[:n]), np.unique(pool[n // 8 :])
+            both = len(np.intersect1d(a, b))
+            for last in (pool[:0], np.unique(pool[: n // 2]), np.unique(pool)):
+                x, y = (simhash.first_shingles(h, both / (len(a) + len(b) - both), last) for h in (a, b))
+                assert len(np.intersect1d(x, y))
+
+
 @pytest.mark.parametrize(("tables", "lanes"), [(20, 1 << 13), (1 << 16, 7)])
 def test_large_bands_lose_no_link(spark, monkeypatch, tables, lanes):
     monkeypatch.setattr(simhash, "TABLES", tables)
