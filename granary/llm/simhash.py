@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, once
 
 BITS_APART = 2
 SHINGLE = 3
@@ -336,11 +336,12 @@ def band_links(marked: DataFrame, similarity: float) -> DataFrame:
     A band's tables meet in one task, once where several bands have the same members.  The members
     of a band with more than TABLES are all linked to its smallest, which holds the same links and more.
     """
-    node = marked.groupBy("node").agg(F.first("bands").alias("bands"))
-    filed = node.select("node", F.explode("bands").alias("band"))
-    shared = filed.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("_n"), F.bit_xor("node").alias("_all")).where(F.col("_n") > 1)
-    shared = shared.groupBy("low", "_n", "_all").agg(F.min("band").alias("band")).drop("_all")
-    met = materialize(filed.join(shared, "band"), "met")
+    filed = once(marked.select("node", "bands"), "node", []).select("node", F.explode("bands").alias("band"))
+    own = Window.partitionBy("band")  # shuffled once; nearly all bands have one member
+    shared = filed.select("band", "node", F.min("node").over(own).alias("low"), F.count("*").over(own).alias("_n"), F.bit_xor("node").over(own).alias("_all"))
+    shared = materialize(shared.where(F.col("_n") > 1), "shared")
+    one = shared.groupBy("low", "_n", "_all").agg(F.min("band").alias("band"))
+    met = materialize(shared.join(one, ["low", "_n", "_all", "band"]).drop("_all"), "met")
     table = marked.groupBy("node").agg(F.first("size").alias("size"), F.first("cells").alias("cells"))
     rows = met.where(F.col("_n") <= TABLES).select("band", "node").join(table, "node").select("band", "node", "size", "cells")
 
@@ -430,9 +431,12 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, key:
     is kept: the one with the smallest key (nulls last), then text hash; of fully repeated rows
     one stays."""
     groups = similar_documents(docs, key, text, shingle, similarity)
-    lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("lead")
-    stay = groups.groupBy("root").agg(lead).select(F.col("lead.doc_id").alias("_id"), F.col("lead.text_hash").alias("_th")).distinct()
+    each = groups.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n")).alias("lead")
+    stay = each.groupBy("root").agg(lead).select(F.col("lead.doc_id").alias("_id"), F.col("lead.text_hash").alias("_th"), F.col("lead.n").alias("_n"))
+    stay = materialize(stay, "stay")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_text"))
-    kept = rows.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")), "left_semi")
-    again = F.row_number().over(Window.partitionBy("_key", "_text").orderBy(F.xxhash64("row")))
-    return kept.withColumn("_again", again).where(F.col("_again") == 1).select("row.*")
+    kept = rows.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_th")))
+    again = F.row_number().over(Window.partitionBy("_key", "_text").orderBy(F.xxhash64("row")))  # of repeated rows alone
+    first = kept.where(F.col("_n") > 1).withColumn("_again", again).where(F.col("_again") == 1)
+    return kept.where(F.col("_n") == 1).select("row").unionByName(first.select("row")).select("row.*")
